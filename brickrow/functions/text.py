@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from brickrow import lookups
 from brickrow.workers import nfkc_batch
@@ -91,7 +92,7 @@ def norm_label(c: Column) -> Column:
 
 
 # Marked so that the optimizer leaves one call per value instead of copying it into pushed filters.
-nfkc_worker = F.arrow_udf(nfkc_batch, "string").asNondeterministic()
+nfkc_worker = F.arrow_udf(nfkc_batch, StringType()).asNondeterministic()
 
 
 def nfkc(c: Column) -> Column:

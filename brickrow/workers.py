@@ -11,9 +11,9 @@ from collections.abc import Iterable, Iterator
 from html import unescape
 from html.entities import html5
 from html.parser import HTMLParser
+from unicodedata import normalize
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import cloudpickle
 
 from brickrow.lookups import ASIDE_TAGS, VOID_TAGS
@@ -268,7 +268,9 @@ class NodeColumns:
 
 
 def nfkc_batch(values: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(values, form="NFKC")
+    if values.null_count == len(values):
+        return values
+    return pa.array([v if v is None else normalize("NFKC", v) for v in values.to_pylist()], pa.string())
 
 
 def parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
