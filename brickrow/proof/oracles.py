@@ -129,7 +129,7 @@ SILVER_TYPES = {
 }
 
 ANCHORS = """anchors AS (
-  SELECT page_id, generate_subscripts(h, 1) - 1 AS pos, unnest(h) AS href
+  SELECT page_id, CAST(generate_subscripts(h, 1) - 1 AS INTEGER) AS pos, unnest(h) AS href
   FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS h FROM pages))"""
 
 # Character references that occur in the pages; '&amp' may lack its semicolon.
@@ -153,7 +153,7 @@ CARDS = f"""{O}, cards AS (
       WHEN 5 THEN '../x/./../' || path[2:]
       ELSE path END AS href
   FROM o WHERE (k // 20) % 4 < 3 AND k % 10 <> 4),
-numbered AS (SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY k) - 1 AS pos, href, k FROM cards)"""
+numbered AS (SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY k) - 1 AS INTEGER) AS pos, href, k FROM cards)"""
 
 STAGED = """spelled AS (
   SELECT page_id * 4 AS seq, url, 0 AS kind FROM pages
@@ -203,15 +203,15 @@ SELECT count(*) AS n_rows, count(*) FILTER (price_eur IS NULL) AS n_null_prices,
     ('Liège', 'liege', 7), ('Limburg', 'limburg', 8), ('Namur', 'namur', 9),
     ('Luxembourg', 'luxembourg', 10)) AS s(name, province, province_no)),
 counted AS (
-  SELECT s.province, s.province_no, CAST(ceil(count(*) / 20) AS BIGINT) AS n_pages
+  SELECT s.province, CAST(s.province_no AS BIGINT) AS province_no, CAST(ceil(count(*) / 20) AS BIGINT) AS n_pages
   FROM (SELECT {province("postal")} AS name FROM o) l JOIN slugs s ON l.name = s.name GROUP BY ALL),
-paged AS (SELECT province_no, province, unnest(range(1, n_pages + 1)) AS page FROM counted)
+paged AS (SELECT province_no, province, CAST(unnest(range(1, n_pages + 1)) AS INTEGER) AS page FROM counted)
 SELECT province_no, province, page, '{SITE}/en/real-estate?transactiontypes=for-sale,in-public-sale'
   || '&propertytypes=house,apartment&provinces=' || province || '&islifeannuity=no&page=' || page
   || '&noindex=1' AS listing_url FROM paged""",
     "link_extract": f"WITH {ANCHORS} SELECT page_id, pos, href FROM anchors",
     "link_normalize": f"""WITH {ANCHORS}
-SELECT page_id, pos, kind, CASE kind
+SELECT page_id, pos, CAST(kind AS INTEGER) AS kind, CASE kind
     WHEN 0 THEN '{SITE}' || href
     WHEN 1 THEN '{SITE}' || href
     WHEN 2 THEN 'https://cdn.example.net' || href
@@ -232,15 +232,15 @@ FROM anchors WHERE pos % 2 = 0 GROUP BY href""",
 loose AS (
   SELECT k // 20 AS page_id, min(k) AS k, '{SITE}/en/detail/sale/house/' || (k // 8) AS href
   FROM o WHERE (k // 20) % 4 = 3 AND k % 4 < 2 GROUP BY 1, 3)
-SELECT page_id, pos, href FROM named
-UNION ALL SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY k) - 1, href FROM loose""",
+SELECT page_id, CAST(pos AS INTEGER) AS pos, href FROM named
+UNION ALL SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY k) - 1 AS INTEGER), href FROM loose""",
     "collect_urls": f"""WITH {CARDS}, resolved AS (
   SELECT page_id, k, CASE WHEN href LIKE 'http%' THEN href WHEN href LIKE '/%' THEN '{SITE}' || href
     ELSE '{SITE}/' || replace(href, '../x/./../', '') END AS url
   FROM cards WHERE href NOT LIKE '%projectdetail%'),
 once AS (SELECT page_id, url, min(k) AS k FROM resolved GROUP BY page_id, url),
 placed AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY k) - 1 AS pos FROM once)
-SELECT url, min(page_id) AS first_page, arg_min(pos, page_id) AS first_pos FROM placed GROUP BY url""",
+SELECT url, min(page_id) AS first_page, CAST(arg_min(pos, page_id) AS INTEGER) AS first_pos FROM placed GROUP BY url""",
     "url_stage": f"""WITH {STAGED}
 SELECT seq, url, kind FROM spelled WHERE {IS_STAGED}
 QUALIFY row_number() OVER (PARTITION BY url ORDER BY seq) = 1""",
@@ -261,7 +261,7 @@ GROUP BY url ORDER BY first_seen LIMIT 25""",
     "page_text": f"""WITH t AS (SELECT page_id, {squeezed(decoded(
         "regexp_replace(html, '<script>.*?</script>|<style>.*?</style>|<!--.*?-->|<[^>]*>', ' ', 'gs')"
     ))} AS t FROM pages)
-SELECT page_id, md5(t) AS text_md5, length(t) AS n_chars FROM t""",
+SELECT page_id, md5(t) AS text_md5, CAST(length(t) AS INTEGER) AS n_chars FROM t""",
     "page_outcomes": f"""WITH {ANCHORS}
 SELECT false AS scraping_error, count(DISTINCT url) AS n_urls FROM pages
 UNION ALL SELECT true, count(DISTINCT href) FROM anchors""",
@@ -286,7 +286,7 @@ SELECT {RAW_COLUMNS} FROM raw UNION ALL BY NAME SELECT property_url FROM gone"""
     "raw_distinct": f"""WITH {O}
 SELECT url AS property_url, CASE WHEN k % 2 = 1 THEN {N} END AS price_eur, CAST(NULL AS BIGINT) AS garden_m2 FROM o""",
     "collapse_text": f"""WITH t AS (SELECT doc_id, {squeezed("text")} AS t FROM documents)
-SELECT doc_id, md5(t) AS text_md5, length(t) AS n_chars FROM t""",
+SELECT doc_id, md5(t) AS text_md5, CAST(length(t) AS INTEGER) AS n_chars FROM t""",
     "parse_price": scalar(f"CASE k % 6 WHEN 2 THEN NULL WHEN 4 THEN {N} % 1000 WHEN 5 THEN NULL ELSE {N} END", "price_eur"),
     "parse_area": scalar(f"CASE k % 4 WHEN 2 THEN 5 WHEN 3 THEN NULL ELSE {AREA} END", "area_m2"),
     "parse_epc": scalar("CASE k % 3 WHEN 1 THEN NULL ELSE k % 600 END", "energy_kwh"),
@@ -329,6 +329,6 @@ SELECT doc_id, md5(t) AS text_md5, length(t) AS n_chars FROM t""",
     "stream_best": f"WITH {PAGE_ROWS}, {BEST} SELECT * FROM silver",
 }
 ORACLES["url_list_roundtrip"] = ORACLES["collect_urls"].replace(
-    "SELECT url, min(page_id) AS first_page, arg_min(pos, page_id) AS first_pos FROM placed GROUP BY url",
+    "SELECT url, min(page_id) AS first_page, CAST(arg_min(pos, page_id) AS INTEGER) AS first_pos FROM placed GROUP BY url",
     "SELECT DISTINCT url FROM placed",
 )

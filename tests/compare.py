@@ -14,6 +14,9 @@ TABLES = (
 ).split()
 
 
+SAME_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for name in TABLES:
@@ -37,11 +40,9 @@ def differences(df, relation) -> list[str]:
     found = []
     if sorted(df.columns) != sorted(relation.columns):
         return [f"columns {sorted(df.columns)} / {sorted(relation.columns)}"]
-    kinds = {"BIGINT": "n", "INTEGER": "n", "VARCHAR": "s", "DOUBLE": "d", "BOOLEAN": "b", '"NULL"': "?"}
-    spark_kinds = {"bigint": "n", "int": "n", "string": "s", "double": "d", "boolean": "b"}
     types = dict(zip(relation.columns, map(str, relation.types)))
     for name, kind in df.dtypes:
-        if kinds.get(types[name]) != spark_kinds.get(kind):
+        if SAME_TYPE.get(kind) != types[name]:
             found.append(f"type of {name}: {kind} / {types[name]}")
     ours = rows_of(df.columns, df.collect())
     theirs = rows_of(relation.columns, relation.fetchall())
