@@ -44,11 +44,11 @@ def resolve_link(href: Column, base_url: str) -> Column:
     host = F.regexp_extract(rest, "^//([^/?#]*)", 1)
     target = F.regexp_extract(rest, r"(?s)^(?://[^/?#]*)?([^?#]*)", 1)
     # A ';' that ends the last segment carries no parameters and is dropped.
-    path = F.when(target.endswith(";"), F.regexp_replace(target, "^((?:.*/)?[^/;]*);$", "$1")).otherwise(target)
+    path = F.when(target.endswith(";"), F.regexp_replace(target, "(?s)^((?:.*/)?[^/;]*);$", "$1")).otherwise(target)
     query = F.regexp_extract(rest, r"(?s)^[^?#]*(\?[^#]+)", 1)
     fragment = F.regexp_extract(rest, "(?s)^[^#]*(#.+)", 1)
-    crooked = path.rlike(DOT_SEGMENT) | (~path.startswith("/") & path.contains("//")) | path.rlike(r"/\.\.?;")
-    bare = F.regexp_extract(path, "^((?:.*/)?[^/;]*)", 1)
+    bare = F.regexp_extract(path, "(?s)^((?:.*/)?[^/;]*)", 1)
+    crooked = bare.rlike(DOT_SEGMENT) | (~bare.startswith("/") & bare.contains("//"))
     params = F.substr(path, F.char_length(bare) + 1)
     clean = F.when(crooked, F.concat(_resolved_path(bare), params)).otherwise(path)
     rooted = F.when((path == "") | clean.startswith("/"), clean).otherwise(F.concat(F.lit("/"), clean))

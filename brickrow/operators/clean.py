@@ -103,8 +103,6 @@ def whole_numbers(rows: DataFrame) -> DataFrame:
 
 def clean_rows(raw: DataFrame, max_build_year: int = lookups.MAX_BUILD_YEAR) -> DataFrame:
     """Everything that looks at one record at a time."""
-    if dict(raw.dtypes)["price_eur"] != "string":
-        raw = filter_prices(raw)  # typed prices can be filtered in the scan
     return blank_years(filter_prices(normalize_rows(raw)), high=max_build_year)
 
 

@@ -50,7 +50,9 @@ def refine(
     keep_null_codes: bool = False,
     max_build_year: int = lookups.MAX_BUILD_YEAR,
 ) -> Row:
-    """RAW to a published SILVER."""
+    """A stored RAW table to a published SILVER."""
+    if dict(raw.dtypes)["price_eur"] != "string":
+        raw = clean.filter_prices(raw)  # on typed prices the scan itself can skip rows
     return publish(clean.silver(raw, keep_null_codes, max_build_year), path)
 
 

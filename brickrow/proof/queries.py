@@ -227,8 +227,7 @@ def page_outcomes(spark, sf_dir):
 
 
 def h4_pairs(spark, sf_dir):
-    found = listing.label_pairs(html.parse_pages(_listing_pages(spark, sf_dir)))
-    return found.select("page_id", F.inline("pairs")).select("page_id", "field", "value")
+    return listing.labelled_values(_listing_pages(spark, sf_dir)).select("page_id", "field", "value")
 
 
 def cadastral_fallback(spark, sf_dir):

@@ -19,3 +19,14 @@ def make_session() -> SparkSession:
 @pytest.fixture(scope="session")
 def spark():
     return make_session()
+
+
+@pytest.fixture(scope="session")
+def evaluate(spark):
+    """``evaluate(fn, values)``: a column function on a list of texts, in order."""
+
+    def run(fn, values, kind="string"):
+        rows = spark.createDataFrame(list(enumerate(values)), f"i int, v {kind}")
+        return [r.r for r in rows.select("i", fn(rows.v).alias("r")).orderBy("i").collect()]
+
+    return run
