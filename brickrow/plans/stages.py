@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row
+import logging
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from brickrow import lookups
@@ -11,12 +13,36 @@ from brickrow.sources import tables
 from brickrow.sources.scratch import scratch_dir
 
 
+log = logging.getLogger(__name__)
+
+
 def collect(result_pages: DataFrame, base_url: str, path: str) -> str:
     """Result pages to the ordered list of distinct detail URLs."""
     urls = frontier.collect_urls(result_pages, base_url)
     return tables.write_url_list(urls, path, ["first_page", "first_pos"])
 
 
+def stage(spark: SparkSession, source: str, path: str) -> Row | None:
+    """Sale and project pages of a URL list, each once and in order, to a new list.
+
+    Returns the counts; a missing or empty list is left alone and gives none.
+    """
+    table = tables.read_staging_csv(spark, source)
+    counts = frontier.staging_counts(table).first()
+    if not counts.n_before:
+        log.warning("no URLs to stage in %s", source)
+        return None
+    tables.write_csv(frontier.stage_urls(table).orderBy("seq").drop("seq"), path)
+    return counts
+
+
+def stage_all(spark: SparkSession, source: str, path: str) -> tuple[int, int]:
+    """All distinct rows of a URL list to a new list; rows before and after. Must exist."""
+    table = tables.read_csv(spark, source, multiline=False)
+    tables.write_csv(frontier.stage_distinct(table), path)
+    return table.count(), tables.read_csv(spark, path, multiline=False).count()
+
+
 def raw_records(url_table: DataFrame, pages: DataFrame, limit: int | None = None) -> DataFrame:
     """URL list and pages to RAW, one row per URL in the list.
 
