@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -29,7 +31,7 @@ def whole_number(digits: Column) -> Column:
 
 
 def _digits_only(c: Column) -> Column:
-    return whole_number(F.regexp_replace(c, "[^0-9]", ""))
+    return whole_number(F.regexp_replace(c, "[^0-9]+", ""))
 
 
 def first_int(c: Column) -> Column:
@@ -103,13 +105,14 @@ def nfkc(c: Column) -> Column:
 
 def blank_tokens(c: Column) -> Column:
     """Collapse white space; the words that stand for "missing" become null."""
-    s = collapse(c)
-    return F.when(~F.lower(s).isin(lookups.NULL_TOKENS), s)
+    words = "|".join(re.escape(word) for word in lookups.NULL_TOKENS)
+    spaced = F.trim(F.regexp_replace(c, WS + "+", " "))
+    return F.nullif(F.regexp_replace(spaced, f"(?i)^(?:{words})$", ""), F.lit(""))
 
 
 def to_number(c: Column) -> Column:
     """Comma as decimal point, everything but digits, dots and minus dropped; bad is null."""
-    return F.regexp_replace(F.translate(c, ",", "."), r"[^0-9.\-]", "").try_cast("double")
+    return F.regexp_replace(F.translate(c, ",", "."), r"[^0-9.\-]+", "").try_cast("double")
 
 
 def yes_no_strict(c: Column) -> Column:

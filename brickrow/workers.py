@@ -44,11 +44,11 @@ TEXT, START, END, CUT = range(4)
 # Markup that every tokenizer reads the same way. Anything else goes to the standard parser.
 ATTRIBUTE = r"""[ \t\r\n\f]+[a-zA-Z_][a-zA-Z0-9_:-]*(?:=(?:"[^"]*"|'[^']*'|[^ \t\r\n\f"'=<>`&/]+))?"""
 PLAIN_TOKEN = re.compile(
-    rf"""([^<]+)
+    rf"""([^<]+
     |<(script|style)((?:{ATTRIBUTE})*)[ \t\r\n\f]*>(.*?)</\2[ \t\r\n\f]*>
     |<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:{ATTRIBUTE})*)[ \t\r\n\f]*(/?)>
     |<!--(?!-?>)[^-]*(?:-[^-]+)*-->
-    |<!(?:DOCTYPE|doctype)[ ][^<>\[\]"']*>""",
+    |<!(?:DOCTYPE|doctype)[ ][^<>\[\]"']*>)""",
     re.VERBOSE | re.DOTALL,
 )
 PLAIN_ATTRIBUTE = re.compile(
@@ -72,19 +72,16 @@ def _named(name: str) -> str:
 
 def plain_events(html: str) -> list[tuple] | None:
     """Events of a page of plain markup, or None when something else turns up."""
-    events, at = [], 0
+    events, size = [], 0
     add = events.append
-    for token in PLAIN_TOKEN.finditer(html):
-        if token.start() != at:
-            return None
-        at = token.end()
-        text, raw, raw_attributes, raw_text, closing, tag, attributes, slash = token.groups()
-        if text is not None:
-            if "&" in text:
-                if OTHER_REFERENCE.search(text):
+    for token, raw, raw_attributes, raw_text, closing, tag, attributes, slash in PLAIN_TOKEN.findall(html):
+        size += len(token)
+        if token[0] != "<":
+            if "&" in token:
+                if OTHER_REFERENCE.search(token):
                     return None
-                text = PLAIN_REFERENCE.sub(_character, text)
-            add((TEXT, text))
+                token = PLAIN_REFERENCE.sub(_character, token)
+            add((TEXT, token))
             continue
         if closing:
             if attributes or slash:
@@ -95,13 +92,13 @@ def plain_events(html: str) -> list[tuple] | None:
             if RAW_TEXT_END.search(raw_text):
                 return None
             tag, attributes = raw, raw_attributes
-        elif tag is None:
-            add((CUT,))
-            continue
-        else:
+        elif tag:
             tag = tag.lower()
             if tag in RAW_TEXT_TAGS and not slash:
                 return None
+        else:
+            add((CUT,))
+            continue
         cls = href = None
         if attributes:
             for name, double, single, bare in PLAIN_ATTRIBUTE.findall(attributes):
@@ -116,12 +113,13 @@ def plain_events(html: str) -> list[tuple] | None:
                         cls = value
                     else:
                         href = value
-        add((START, tag, cls, href, slash == "/"))
+        add((START, tag, cls, href, slash))
         if raw:
             if raw_text:
                 add((TEXT, raw_text))
             add((END, tag))
-    return events if at == len(html) else None
+    # The tokens must have covered the page.
+    return events if size == len(html) else None
 
 
 class StandardEvents(HTMLParser):
@@ -184,87 +182,92 @@ class NodeColumns:
     def add_page(self, events: Iterable[tuple]) -> None:
         """Void elements close at once, an end tag closes up to the nearest open element of its
         name, a stray end tag is ignored, and nothing is closed implicitly."""
-        parent, end, after, tags, cls, href = self.parent, self.end, self.next, self.tag, self.cls, self.href
-        seg_from, seg_to, own, pieces = self.seg_from, self.seg_to, self.own, self.pieces
-        base, piece_base = len(tags), len(pieces)
+        tags, parent, after, end = ["[document]"], [-1], [None], [0]
+        cls, href, own, seg_from, seg_to = [None], [None], [None], [0], [0]
+        pieces: list[str] = []
         text: list[str] = []
-        stack: list[int] = []  # open elements
-        last: list[int] = []  # the last child of each, -1 without one
+        stack, last = [0], [-1]  # the open elements, and the last child of each
         asides: list[int] = []
 
         def cut() -> None:
             piece = " ".join("".join(text).split())
             text.clear()
-            if not piece:
-                return
-            if not asides:
+            if piece and asides:
+                name = tags[asides[-1]]
+                for i in asides:  # the open elements of the innermost one's name
+                    if tags[i] == name:
+                        own[i] = f"{own[i]} {piece}" if own[i] else piece
+            elif piece:
                 pieces.append(piece)
-                return
-            name = tags[base + asides[-1]]
-            for i in asides:  # the open elements of the innermost one's name
-                if tags[base + i] == name:
-                    own[base + i] = f"{own[base + i]} {piece}" if own[base + i] else piece
 
         def close() -> None:
             i = stack.pop()
             last.pop()
-            end[base + i] = len(tags) - base
-            seg_to[base + i] = len(pieces) - piece_base
+            end[i] = len(tags)
+            seg_to[i] = len(pieces)
             if asides and asides[-1] == i:
                 asides.pop()
 
-        def open_node(tag: str, class_names: str | None, link: str | None) -> None:
-            i = len(tags) - base
-            if last:
-                if last[-1] >= 0:
-                    after[base + last[-1]] = i
-                last[-1] = i
-            parent.append(stack[-1] if stack else -1)
-            end.append(0)
-            after.append(None)
-            tags.append(tag)
-            cls.append(None if class_names is None else class_names.split())
-            href.append(link)
-            seg_from.append(len(pieces) - piece_base)
-            seg_to.append(0)
-            own.append("" if tag in ASIDE_TAGS else None)
-            stack.append(i)
-            last.append(-1)
-            if tag in ASIDE_TAGS:
-                asides.append(i)
-
-        open_node("[document]", None, None)
         for event in events:
             kind = event[0]
             if kind == TEXT:
                 text.append(event[1])
-                continue
-            if kind == END:
+            elif kind == START:
+                if text:
+                    cut()
+                _, tag, class_names, link, empty = event
+                i = len(tags)
+                if last[-1] >= 0:
+                    after[last[-1]] = i
+                last[-1] = i
+                tags.append(tag)
+                parent.append(stack[-1])
+                after.append(None)
+                cls.append(None if class_names is None else class_names.split())
+                href.append(link)
+                seg_from.append(len(pieces))
+                if empty or tag in VOID_TAGS:
+                    end.append(i + 1)
+                    seg_to.append(len(pieces))
+                    own.append("" if tag in ASIDE_TAGS else None)
+                    continue
+                end.append(0)
+                seg_to.append(0)
+                stack.append(i)
+                last.append(-1)
+                if tag in ASIDE_TAGS:
+                    own.append("")
+                    asides.append(i)
+                else:
+                    own.append(None)
+            elif kind == END:
                 tag = event[1]
                 if tag in VOID_TAGS:
                     continue
                 if text:
                     cut()
-                if tags[base + stack[-1]] == tag and len(stack) > 1:
-                    close()
-                    continue
                 for depth in range(len(stack) - 1, 0, -1):
-                    if tags[base + stack[depth]] == tag:
+                    if tags[stack[depth]] == tag:
                         while len(stack) > depth:
                             close()
                         break
-                continue
-            if text:
+            elif text:
                 cut()
-            if kind == START:
-                open_node(*event[1:4])
-                if event[4] or event[1] in VOID_TAGS:
-                    close()
         if text:
             cut()
         while stack:
             close()
-        self.idx.extend(range(len(tags) - base))
+        self.idx.extend(range(len(tags)))
+        self.tag += tags
+        self.parent += parent
+        self.next += after
+        self.end += end
+        self.cls += cls
+        self.href += href
+        self.own += own
+        self.seg_from += seg_from
+        self.seg_to += seg_to
+        self.pieces += pieces
 
 
 def nfkc_batch(values: pa.Array) -> pa.Array:
