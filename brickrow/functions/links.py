@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from urllib.parse import urlsplit
 
 from pyspark.sql import Column
@@ -9,8 +10,14 @@ from pyspark.sql import functions as F
 
 from brickrow import lookups
 
+SCHEME = r"[A-Za-z][A-Za-z0-9+.\-]*"
 DOT_SEGMENT = r"(^|/)\.\.?(/|$)"
 
+# The usual links, which need no taking apart: a path from the root without dot segments, and an
+# absolute URL, both without query, fragment and parameters.
+PLAIN_PATH = r"^(?:/[^/.?#;\x00-\x20][^/?#;\x00-\x20]*+)++/?\z"
+PLAIN_REST = r"://[^/?#;\x00-\x20]++(?:/[^?#;\x00-\x20]*+)?\z"
+
 
 def _resolved_path(path: Column) -> Column:
     """``.`` and ``..`` segments worked off; a relative path also loses its empty segments."""
@@ -30,6 +37,47 @@ def _resolved_path(path: Column) -> Column:
     return F.array_join(closed, "/")
 
 
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _resolve_parts(parts: Column, href: Column, origin: str, scheme: str) -> Column:
+    clean = F.when(parts.crooked, F.concat(_resolved_path(parts.bare), parts.params)).otherwise(parts.path)
+    rooted = F.when((parts.path == "") | clean.startswith("/"), clean).otherwise(F.concat(F.lit("/"), clean))
+    return (
+        F.when((parts.scheme != "") & (parts.scheme != scheme), href)
+        .when(parts.host != "", F.concat(F.lit(f"{scheme}://"), parts.host, parts.path, parts.query, parts.fragment))
+        .otherwise(F.concat(F.lit(origin), rooted, parts.query, parts.fragment))
+    )
+
+
+def _split(link: Column) -> Column:
+    """Scheme, host, path, query and fragment of a link, as a struct."""
+
+    def of_rest(rest: Column) -> Column:
+        target = F.regexp_extract(rest, r"(?s)^(?://[^/?#]*)?([^?#]*)", 1)
+        # A ';' that ends the last segment carries no parameters and is dropped.
+        return _bind(
+            F.regexp_replace(target, "(?s)^((?:.*/)?[^/;]*);$", "$1"),
+            lambda path: _bind(
+                F.regexp_extract(path, "(?s)^((?:.*/)?[^/;]*)", 1),
+                lambda bare: F.struct(
+                    F.lower(F.regexp_extract(link, f"^({SCHEME}):", 1)).alias("scheme"),
+                    F.regexp_extract(rest, "^//([^/?#]*)", 1).alias("host"),
+                    path.alias("path"),
+                    bare.alias("bare"),
+                    F.substr(path, F.char_length(bare) + 1).alias("params"),
+                    (bare.rlike(DOT_SEGMENT) | (~bare.startswith("/") & bare.contains("//"))).alias("crooked"),
+                    F.regexp_extract(rest, r"(?s)^[^?#]*(\?[^#]+)", 1).alias("query"),
+                    F.regexp_extract(rest, "(?s)^[^#]*(#.+)", 1).alias("fragment"),
+                ),
+            ),
+        )
+
+    return _bind(F.regexp_replace(link, f"^{SCHEME}:", ""), of_rest)
+
+
 def resolve_link(href: Column, base_url: str) -> Column:
     """Absolute URL of ``href`` on the site ``base_url`` (scheme and host); empty is null.
 
@@ -38,27 +86,16 @@ def resolve_link(href: Column, base_url: str) -> Column:
     base = urlsplit(base_url)
     if base.scheme not in ("http", "https") or not base.netloc or base.path.strip("/"):
         raise ValueError(f"base_url must be scheme and host only: {base_url!r}")
+    origin = f"{base.scheme}://{base.netloc}"
     link = F.regexp_replace(F.regexp_replace(href, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
-    scheme = F.lower(F.regexp_extract(link, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1))
-    rest = F.regexp_replace(link, r"^[A-Za-z][A-Za-z0-9+.\-]*:", "")
-    host = F.regexp_extract(rest, "^//([^/?#]*)", 1)
-    target = F.regexp_extract(rest, r"(?s)^(?://[^/?#]*)?([^?#]*)", 1)
-    # A ';' that ends the last segment carries no parameters and is dropped.
-    path = F.when(target.endswith(";"), F.regexp_replace(target, "(?s)^((?:.*/)?[^/;]*);$", "$1")).otherwise(target)
-    query = F.regexp_extract(rest, r"(?s)^[^?#]*(\?[^#]+)", 1)
-    fragment = F.regexp_extract(rest, "(?s)^[^#]*(#.+)", 1)
-    bare = F.regexp_extract(path, "(?s)^((?:.*/)?[^/;]*)", 1)
-    crooked = bare.rlike(DOT_SEGMENT) | (~bare.startswith("/") & bare.contains("//"))
-    params = F.substr(path, F.char_length(bare) + 1)
-    clean = F.when(crooked, F.concat(_resolved_path(bare), params)).otherwise(path)
-    rooted = F.when((path == "") | clean.startswith("/"), clean).otherwise(F.concat(F.lit("/"), clean))
-    own_host = F.concat(F.lit(f"{base.scheme}://"), host, path, query, fragment)
-    on_base = F.concat(F.lit(f"{base.scheme}://{base.netloc}"), rooted, query, fragment)
+    any_link = _bind(
+        link, lambda v: _bind(_split(v), lambda parts: _resolve_parts(parts, href, origin, base.scheme))
+    )
     return (
         F.when(href == "", None)
-        .when((scheme != "") & (scheme != base.scheme), href)
-        .when(host != "", own_host)
-        .otherwise(on_base)
+        .when(href.rlike(PLAIN_PATH), F.concat(F.lit(origin), href))
+        .when(href.rlike(f"^{base.scheme}{PLAIN_REST}"), href)
+        .otherwise(any_link)
     )
 
 
