@@ -19,7 +19,7 @@ NODE = T.StructType(
         T.StructField("end", T.IntegerType()),
         T.StructField("next", T.IntegerType()),
         T.StructField("tag", T.StringType()),
-        T.StructField("cls", T.ArrayType(T.StringType())),
+        T.StructField("cls", T.StringType()),
         T.StructField("href", T.StringType()),
         T.StructField("seg_from", T.IntegerType()),
         T.StructField("seg_to", T.IntegerType()),
@@ -52,8 +52,10 @@ def first(nodes: Column) -> Column:
 def has_class(node: Column, name: str) -> Column:
     """One token of the class attribute, or the whole attribute if ``name`` has several."""
     if " " in name:
-        return F.coalesce(F.array_join(node.cls, " ") == name, F.lit(False))
-    return F.coalesce(F.array_contains(node.cls, name), F.lit(False))
+        return F.coalesce(node.cls == name, F.lit(False))
+    token = F.concat(F.lit(" "), node.cls, F.lit(" ")).contains(f" {name} ")
+    # Most elements fail the plain search, which needs no new text.
+    return F.coalesce(node.cls.contains(name) & token, F.lit(False))
 
 
 def inside(node: Column, outer: Column) -> Column:

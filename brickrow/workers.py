@@ -29,7 +29,7 @@ NODE = pa.struct(
         ("end", pa.int32()),
         ("next", pa.int32()),
         ("tag", pa.string()),
-        ("cls", pa.list_(pa.string())),
+        ("cls", pa.string()),
         ("href", pa.string()),
         ("seg_from", pa.int32()),
         ("seg_to", pa.int32()),
@@ -171,7 +171,8 @@ class NodeColumns:
     Node 0 of a page is the document. ``end`` is the first node after the subtree, ``next`` the
     next sibling, and ``pieces[seg_from:seg_to]`` the subtree's text, so nothing is stored twice.
     All numbers count from the start of the page. ``own`` is the text of elements such as scripts,
-    which is not text of the elements around them.
+    which is not text of the elements around them. ``cls`` is the class attribute with single
+    spaces, null without one.
     """
 
     def __init__(self) -> None:
@@ -223,7 +224,7 @@ class NodeColumns:
                 tags.append(tag)
                 parent.append(stack[-1])
                 after.append(None)
-                cls.append(None if class_names is None else class_names.split())
+                cls.append(class_names and " ".join(class_names.split()))
                 href.append(link)
                 seg_from.append(len(pieces))
                 if empty or tag in VOID_TAGS:
@@ -289,15 +290,6 @@ def _list_array(offsets: list, values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
 
 
-def _class_lists(values: list) -> pa.Array:
-    offsets, flat = [], []
-    for tokens in values:
-        offsets.append(None if tokens is None else len(flat))
-        flat.extend(tokens or ())
-    offsets.append(len(flat))
-    return _list_array(offsets, pa.array(flat, pa.string()))
-
-
 def _parse_slice(standard: StandardEvents, batch: pa.RecordBatch) -> pa.RecordBatch:
     columns = NodeColumns()
     node_at, piece_at = [], []
@@ -312,10 +304,7 @@ def _parse_slice(standard: StandardEvents, batch: pa.RecordBatch) -> pa.RecordBa
             columns.add_page(events)
     node_at.append(len(columns.tag))
     piece_at.append(len(columns.pieces))
-    arrays = [
-        _class_lists(columns.cls) if field.name == "cls" else pa.array(getattr(columns, field.name), field.type)
-        for field in NODE
-    ]
+    arrays = [pa.array(getattr(columns, field.name), field.type) for field in NODE]
     nodes = pa.StructArray.from_arrays(arrays, fields=list(NODE))
     segs = pa.array(columns.pieces, pa.string())
     kept = [i for i, name in enumerate(batch.schema.names) if name != "html"]

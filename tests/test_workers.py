@@ -60,7 +60,7 @@ def test_scripts_and_the_like_are_no_text_of_their_parents():
 
 def test_attributes():
     page = columns('<a class=" x  y " HREF="/q?a=1&amp;b=2">t</a><h4 class>u</h4><h4>v</h4><a href=\'z\' href=w>')
-    assert page.cls == [None, ["x", "y"], [], None, None]
+    assert page.cls == [None, "x y", "", None, None]
     assert page.href == [None, "/q?a=1&b=2", None, None, "w"]
 
 
