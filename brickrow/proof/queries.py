@@ -313,8 +313,8 @@ def url_list_roundtrip(spark, sf_dir):
 
 def _landed(spark, sf_dir):
     path = scratch_dir(spark, "landing")
-    render.listing_pages(_orders(spark, sf_dir).repartition(3, "o_orderkey")).write.parquet(path)
-    return incremental.landed_pages(spark, path, files_per_run=1)
+    render.listing_pages(_orders(spark, sf_dir).repartition(24, "o_orderkey")).write.parquet(path)
+    return incremental.landed_pages(spark, path, files_per_run=8)
 
 
 def stream_available_now(spark, sf_dir):

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from brickrow import lookups, schemas
 
+log = logging.getLogger(__name__)
+
 CSV_FORMAT = {
     "header": True,
     "escape": '"',
@@ -65,14 +69,27 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def counted(table: DataFrame) -> tuple[DataFrame, Observation]:
+    """The table, and a count of its rows that is known once the table has been written."""
+    rows = Observation()
+    return table.observe(rows, F.count("*").alias("n_rows")), rows
+
+
+def _saved(rows: Observation, path: str) -> str:
+    log.info("%d rows saved to %s", rows.get.get("n_rows", 0), path)
+    return path
+
+
 def write_table(table: DataFrame, path: str) -> str:
+    table, rows = counted(table)
     table.write.mode("overwrite").parquet(path)
-    return path
+    return _saved(rows, path)
 
 
 def write_csv(table: DataFrame, path: str) -> str:
+    table, rows = counted(table)
     table.write.mode("overwrite").options(**CSV_FORMAT).csv(path)
-    return path
+    return _saved(rows, path)
 
 
 def write_url_list(frontier: DataFrame, path: str, order: list[str]) -> str:

@@ -1,5 +1,6 @@
 """Files in and out, stage by stage."""
 
+import logging
 from types import SimpleNamespace
 
 import pytest
@@ -21,6 +22,14 @@ def test_csv_keeps_quotes_breaks_accents_and_zeros(spark, tmp_path):
     assert tables.read_csv(spark, path).first() == row
 
 
+def test_saved_rows_are_counted(spark, tmp_path, caplog):
+    with caplog.at_level(logging.INFO, logger="brickrow.sources.tables"):
+        tables.write_table(spark.range(7).repartition(3), str(tmp_path / "a"))
+        tables.write_csv(spark.range(9).orderBy("id"), str(tmp_path / "b"))
+        tables.write_table(spark.createDataFrame([], "a int").where("a > 1"), str(tmp_path / "c"))
+    assert [r.args[0] for r in caplog.records] == [7, 9, 0]
+
+
 def test_csv_missing_values(spark, tmp_path):
     path = tmp_path / "raw.csv"
     path.write_text('property_url,price_eur,postal_code\nu,N/A,0123\nv,"",-\nw,#N/A,none\n', "utf-8")
