@@ -72,10 +72,13 @@ def _named(name: str) -> str:
 
 def plain_events(html: str) -> list[tuple] | None:
     """Events of a page of plain markup, or None when something else turns up."""
-    events, size = [], 0
+    events, at = [], 0
     add = events.append
-    for token, raw, raw_attributes, raw_text, closing, tag, attributes, slash in PLAIN_TOKEN.findall(html):
-        size += len(token)
+    for found in PLAIN_TOKEN.finditer(html):
+        if found.start() != at:
+            return None
+        at = found.end()
+        token, raw, raw_attributes, raw_text, closing, tag, attributes, slash = found.groups()
         if token[0] != "<":
             if "&" in token:
                 if OTHER_REFERENCE.search(token):
@@ -118,8 +121,7 @@ def plain_events(html: str) -> list[tuple] | None:
             if raw_text:
                 add((TEXT, raw_text))
             add((END, tag))
-    # The tokens must have covered the page.
-    return events if size == len(html) else None
+    return events if at == len(html) else None
 
 
 class StandardEvents(HTMLParser):
@@ -188,7 +190,9 @@ class NodeColumns:
         pieces: list[str] = []
         text: list[str] = []
         stack, last = [0], [-1]  # the open elements, and the last child of each
+        n_open: dict[str, int] = {}  # open elements per name
         asides: list[int] = []
+        aside_pieces: dict[int, list[str]] = {}
 
         def cut() -> None:
             piece = " ".join("".join(text).split())
@@ -197,13 +201,15 @@ class NodeColumns:
                 name = tags[asides[-1]]
                 for i in asides:  # the open elements of the innermost one's name
                     if tags[i] == name:
-                        own[i] = f"{own[i]} {piece}" if own[i] else piece
+                        aside_pieces[i].append(piece)
             elif piece:
                 pieces.append(piece)
 
         def close() -> None:
             i = stack.pop()
             last.pop()
+            if i:
+                n_open[tags[i]] -= 1
             end[i] = len(tags)
             seg_to[i] = len(pieces)
             if asides and asides[-1] == i:
@@ -234,30 +240,31 @@ class NodeColumns:
                     continue
                 end.append(0)
                 seg_to.append(0)
+                own.append(None)
                 stack.append(i)
                 last.append(-1)
+                n_open[tag] = n_open.get(tag, 0) + 1
                 if tag in ASIDE_TAGS:
-                    own.append("")
                     asides.append(i)
-                else:
-                    own.append(None)
+                    aside_pieces[i] = []
             elif kind == END:
                 tag = event[1]
                 if tag in VOID_TAGS:
                     continue
                 if text:
                     cut()
-                for depth in range(len(stack) - 1, 0, -1):
-                    if tags[stack[depth]] == tag:
-                        while len(stack) > depth:
-                            close()
-                        break
+                if n_open.get(tag):
+                    left = n_open[tag]
+                    while n_open[tag] == left:
+                        close()
             elif text:
                 cut()
         if text:
             cut()
         while stack:
             close()
+        for i, found in aside_pieces.items():
+            own[i] = " ".join(found)
         self.idx.extend(range(len(tags)))
         self.tag += tags
         self.parent += parent

@@ -1,5 +1,7 @@
 """Pages as node columns."""
 
+import time
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -71,6 +73,14 @@ def test_odd_markup_goes_to_the_standard_parser():
     assert columns("<![CDATA[c]]>d").pieces in (["c", "d"], ["d"])
 
 
+def test_odd_pages_take_linear_time():
+    n = 40_000
+    for html in ["<p>" * n + "</div>" * n, "<template>" + "<b>x</b>" * n, "<p><i>" * n + "</p>" * n]:
+        start = time.perf_counter()
+        columns(html)
+        assert time.perf_counter() - start < 10
+
+
 PIECES = st.sampled_from(
     ["<p>", "</p>", "<b class='x y'>", "</b>", "<br>", "<br/>", "</br>", "<div id=1 class=\"c\">", "</div>", "<a href=/x/y>", "<a href='q'/>", "</a>", "text ", " &amp; ", "&eacute;", "&nosuch;", "&#65;", "&#x41;", "&", "&am", "<", ">", "\n", "<!-- c -->", "<!---->", "<!-- a -- b -->", "<script>if (a<b) '</p>'</script>", "<script src=x></script>", "<STYLE>p</STYLE>", "<style>q</style >", "<!DOCTYPE html>", "<li>", "</li >", "<H4>", "</h4>", "é", "<template>", "</template>", "<a class=x href=\"a&amp;b\" disabled>", "<i\n>", "</i>", "<p/ >", "<x-y>", "<?pi?>"]
 )
