@@ -220,7 +220,7 @@ def page_outcomes(spark, sf_dir):
     """The pages' own URLs can be read, the URLs they link to cannot."""
     pages = _pages(spark, sf_dir)
     detailed = pages.withColumn("url", F.concat(F.col("url"), F.lit("/en/detail/")))
-    linked = frontier.normalize_links(frontier.anchor_links(pages), render.SITE + "")
+    linked = frontier.normalize_links(frontier.anchor_links(pages), render.SITE)
     linked = linked.select(F.replace("url", F.lit(render.SITE), F.lit(render.SITE + "/en/detail")).alias("url"))
     urls = detailed.select("url").unionByName(linked).distinct()
     return listing.outcomes(listing.scrape(urls, detailed))
@@ -264,7 +264,8 @@ def _scalar(source: Callable, **results: Callable) -> Query:
 
 
 def collapse_text(spark, sf_dir):
-    prose = _table(spark, sf_dir, "documents").select("doc_id", text.collapse(F.col("text")).alias("t"))
+    documents = tables.spread(_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    prose = documents.select("doc_id", text.collapse(F.col("text")).alias("t"))
     return prose.select("doc_id", F.md5("t").alias("text_md5"), F.char_length("t").alias("n_chars"))
 
 

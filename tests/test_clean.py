@@ -1,3 +1,6 @@
+import random
+
+import pandas as pd
 import pytest
 
 from brickrow import schemas
@@ -48,6 +51,22 @@ def test_best_record_per_code_then_per_url(spark):
     assert listed(clean.silver(table), "property_code", "property_url") == [("A", "u0"), ("C", "u4")]
 
 
+def test_choice_agrees_with_brute_force_under_a_hot_key(spark):
+    rng = random.Random(3)
+    rows = []
+    for _ in range(3000):
+        hot = rng.random() < 0.34
+        code = "HOT" if hot else rng.choice([None, *(f"C{i}" for i in range(400))])
+        url = "hot" if rng.random() < 0.34 else f"u{rng.randrange(500)}"
+        rows.append((code, url, 20000 + rng.randrange(300)))
+    frame = pd.DataFrame(rows, columns=["code", "url", "price"])
+    ordered = frame.sort_values(["price", "url", "code"], ascending=[False, True, True], na_position="last")
+    best = ordered.drop_duplicates("code").drop_duplicates("url")
+    expected = sorted(((None if pd.isna(c) else c, u, p) for c, u, p in best.itertuples(index=False)), key=repr)
+    table = spark.createDataFrame(rows, "property_code string, property_url string, price_eur bigint").repartition(6)
+    assert listed(clean.silver(table), "property_code", "property_url", "price_eur") == expected
+
+
 def test_missing_codes_are_one_code(spark):
     rows = [{"property_url": f"u{i}", "price_eur": 20000 + i} for i in range(4)]
     rows.append({"property_url": "u3", "property_code": "n/a", "price_eur": 20009})
