@@ -3,6 +3,8 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from brickrow.proof.oracles import ORACLES
+from brickrow.proof.queries import QUERIES
 from tests.compare import differences, duck
 
 SF = "/root/testdata/sf0.001"
@@ -14,12 +16,16 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+def test_entry_has_every_query():
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    assert differences(queries()[name](spark, SF), con.sql(oracle_sql()[name])) == []
+    assert differences(QUERIES[name](spark, SF), con.sql(ORACLES[name])) == []
 
 
 def test_entry(spark):
