@@ -56,37 +56,6 @@ def steps(batches: Iterable[pa.RecordBatch], column: str, limit: int = STEP_BYTE
                 yield batch.slice(a, b - a)
 
 
-def by_rows(fn: Callable, column: str, schema: str) -> Callable[[DataFrame], DataFrame]:
-    """``df.transform(by_rows(...))``: ``fn(batch)`` gives the columns of ``schema`` for bounded batches."""
-
-    def apply(df: DataFrame) -> DataFrame:
-        names = [x.strip().split()[0] for x in _fields(schema)]
-
-        def run(batches):
-            for batch in steps(batches, column):
-                yield pa.RecordBatch.from_arrays([_array(x) for x in fn(batch)], names=names)
-
-        return df.mapInArrow(run, schema)
-
-    return apply
-
-
-def _fields(schema: str) -> list[str]:
-    """The top-level fields of a schema in DDL."""
-    out, depth = [""], 0
-    for c in schema:
-        depth += (c == "<") - (c == ">")
-        if c == "," and not depth:
-            out.append("")
-        else:
-            out[-1] += c
-    return out
-
-
-def _array(x) -> pa.Array:
-    return x if isinstance(x, pa.Array) else pa.array(x)
-
-
 def texts_of(column: pa.Array) -> list[str]:
     """Whole texts; null is the empty text."""
     return [x or "" for x in column.to_pylist()]
@@ -158,3 +127,47 @@ def in_order(docs: DataFrame, lookahead: bool = False) -> Ordered:
 def unpacked(column: pa.Array) -> list[str]:
     expand = zstandard.ZstdDecompressor()
     return [expand.decompress(x).decode() for x in column.to_pylist()]
+
+
+def sample(df: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
+    """At most ``n`` rows, those with the least hash of ``key``: a bounded sample to fit a model on.
+
+    The bound on the hash comes from the keys alone, so that whole rows are sorted for few of them.
+    """
+    order = F.xxhash64(F.lit(0), F.col(key))
+    least = df.select(order.alias("h")).orderBy("h").limit(n).agg(F.max("h").alias("h")).first()
+    return df.where(order <= F.lit(least.h)).orderBy(order, *df.columns).limit(n)
+
+
+def labelled(docs: DataFrame, labels: DataFrame, column: str, per_class: int) -> tuple[DataFrame, dict[int, float]]:
+    """At most ``per_class`` documents of each label 0 and 1, as ``doc_id, text, label``, to learn from.
+
+    Rows of fold 0 and null labels are never taken. The second value weighs each class so that the
+    sample counts as the labels are spread. The joined side is bounded by ``2 * per_class`` rows.
+    """
+    known = labels.select("doc_id", F.col(column).cast("int").alias("label")).where(
+        F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 0)
+    )
+    total = {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    parts = [sample(known.where(F.col("label") == y), per_class) for y in sorted(total)]
+    weights = {y: total[y] / sum(total.values()) / (min(total[y], per_class) / sum(min(n, per_class) for n in total.values())) for y in total}
+    if not parts:
+        return docs.select("doc_id", "text", F.lit(0).alias("label")).limit(0), weights
+    chosen = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    # One label for each id, so that a repeated label row does not repeat its document.
+    chosen = chosen.groupBy("doc_id").agg(F.max("label").alias("label"))
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), weights
+
+
+def keep_rows(docs: DataFrame, decide: Callable[[list[str]], np.ndarray]) -> DataFrame:
+    """The rows, with all their columns, whose whole text ``decide`` accepts; nothing is shuffled."""
+    place = docs.columns.index("text")
+    names = [f"c{i}" for i in range(len(docs.columns))]
+
+    def run(batches):
+        for batch in steps(batches, names[place]):
+            yield batch.filter(pa.array(np.asarray(decide(texts_of(batch.column(place))), bool)))
+
+    # Positional names inside, so that columns whose names differ only in case do no harm.
+    inner = docs.toDF(*names)
+    return inner.mapInArrow(run, inner.schema).toDF(*docs.columns)

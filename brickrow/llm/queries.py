@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brickrow.llm import packing, quality_rules, token_store
+from brickrow.llm import packing, phrases, quality_classifier, quality_rules, secret_scan, token_store, toxicity
 from brickrow.llm.common import shared_path, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -19,17 +19,58 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.checksums(token_store.documents(spark, path))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secret_digests(secret_scan.scan(docs, secret_scan.fit(docs)))
+
+
+def secret_digests(scanned: DataFrame) -> DataFrame:
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x.kind, x.start, x.end)), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda x: x.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda x: x.kind != "crf")
+    return scanned.select(
+        "doc_id",
+        count("assign"),
+        count("access"),
+        count("hex"),
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_classifier.classify(docs, quality_classifier.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.compare_edits(table(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.classify(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("lang", "source")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
+    "op3_secret_scan": op3_secret_scan,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_document_fingerprints": op7_document_fingerprints,
+    "op8_toxicity": op8_toxicity,
     "op9_quality_rules": op9_quality_rules,
 }
 
