@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brickrow.llm import packing, phrases, quality_classifier, quality_rules, secret_scan, token_store, toxicity
+from brickrow.llm import bpe, packing, phrases, quality_classifier, quality_rules, secret_scan, token_store, toxicity
 from brickrow.llm.common import shared_path, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +43,13 @@ def secret_digests(scanned: DataFrame) -> DataFrame:
     )
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = bpe.round_trip(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+    return rows.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_classifier.classify(docs, quality_classifier.fit(docs, table(spark, sf_dir, "labels")))
@@ -67,6 +75,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op3_secret_scan": op3_secret_scan,
+    "op4_byte_bpe": op4_byte_bpe,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_document_fingerprints": op7_document_fingerprints,
