@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brickrow.llm import bpe, packing, phrases, quality_classifier, quality_rules, secret_scan, token_store, toxicity
+from brickrow.llm import bpe, main_text, packing, phrases, quality_classifier, quality_rules, secret_scan, token_store, toxicity
 from brickrow.llm.common import shared_path, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -72,6 +72,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("lang", "source")
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return main_text.extract(pages, main_text.fit(pages)).withColumn("n_chars", F.length("text").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op3_secret_scan": op3_secret_scan,
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_document_fingerprints": op7_document_fingerprints,
     "op8_toxicity": op8_toxicity,
     "op9_quality_rules": op9_quality_rules,
+    "op10_main_text": op10_main_text,
 }
 
 ORACLES: dict[str, str] = {}
