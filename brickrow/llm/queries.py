@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brickrow.llm import bpe, main_text, packing, phrases, quality_classifier, quality_rules, secret_scan, token_store, toxicity
+from brickrow.llm import bpe, jaccard_join, main_text, packing, phrases, quality_classifier, quality_rules, secret_scan, token_store, toxicity
 from brickrow.llm.common import shared_path, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -20,6 +20,10 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.checksums(token_store.documents(spark, path))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.classes(table(spark, sf_dir, "documents")).drop("n_links")
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return secret_digests(secret_scan.scan(docs, secret_scan.fit(docs)))
@@ -79,6 +83,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_secret_scan": op3_secret_scan,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_quality_classifier": op5_quality_classifier,
@@ -89,4 +94,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_main_text": op10_main_text,
 }
 
-ORACLES: dict[str, str] = {}
+#: Words as the operators take them: runs of anything but the six ASCII white-space characters.
+_WORDS = "[^\\x20\\x09-\\x0D]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES: dict[str, str] = {
+    "op2_jaccard_join": f"""
+WITH RECURSIVE words AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_WORDS}') AS w FROM documents
+), sets AS MATERIALIZED (
+  SELECT DISTINCT r, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
+    ELSE [w[i:i + 4] FOR i IN range(1, len(w) - 3)] END) AS s
+  FROM words
+), numbered AS MATERIALIZED (
+  SELECT r, dense_rank() OVER (ORDER BY s) AS s FROM sets
+), sizes AS MATERIALIZED (
+  SELECT r, count(*) AS n FROM numbered GROUP BY r
+), links AS MATERIALIZED (
+  SELECT p.a, p.b FROM (
+    SELECT x.r AS a, y.r AS b, count(*) AS c FROM numbered x JOIN numbered y ON x.s = y.s AND x.r <> y.r GROUP BY ALL
+  ) p JOIN sizes u ON u.r = p.a JOIN sizes v ON v.r = p.b
+  WHERE 100 * c >= 75 * (u.n + v.n - c)
+), reach AS (
+  SELECT r AS a, r AS b FROM words
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+)
+SELECT words.doc_id, coalesce(any_value(sizes.n), 0)::BIGINT AS n_shingles, min(other.doc_id) AS component_id
+FROM words JOIN reach ON reach.a = words.r JOIN words other ON other.r = reach.b LEFT JOIN sizes ON sizes.r = words.r
+GROUP BY words.r, words.doc_id
+""",
+}
