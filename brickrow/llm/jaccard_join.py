@@ -31,7 +31,8 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brickrow.llm.common import shuffle_partitions, steps, stored, texts_of
@@ -392,6 +393,31 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * common >= 75 * (len(a) + len(b) - common)
 
 
+class Filter:
+    """Which documents may be among some given ones, by three bits of a table of fixed size for each id."""
+
+    def __init__(self, given: DataFrame):
+        place = given.select(F.explode(F.array(*self.columns(F.col("doc_id")))).alias("h"))
+        bits = place.select(F.shiftrightunsigned("h", 46).alias("word"), F.expr("shiftleft(1L, int(h & 63))").alias("bit"))
+        found = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most FILTER rows
+        words = np.zeros(FILTER, np.int64)
+        words[found["word"].to_numpy()] = found["bits"].to_numpy()
+        self.words = given.sparkSession.sparkContext.broadcast(words.tobytes())
+
+    @staticmethod
+    def columns(doc_id: Column) -> list[Column]:
+        """The hashes that ``hit`` looks up; a null id is an id like others."""
+        return [F.xxhash64(F.lit(k), doc_id.cast("long")).alias(f"filter_{k}") for k in (1, 2, 3)]
+
+    def hit(self, batch: pa.RecordBatch) -> pa.Array:
+        bits = np.frombuffer(self.words.value, np.int64)
+        keep = np.ones(batch.num_rows, bool)
+        for k in (1, 2, 3):
+            h = batch.column(f"filter_{k}").to_numpy()
+            keep &= (bits[(h.view(np.uint64) >> np.uint64(46)).astype(np.int64)] >> (h & 63)) & 1 == 1
+        return pa.array(keep)
+
+
 def sets_of(docs: DataFrame, records: DataFrame, wanted: DataFrame) -> DataFrame:
     """``node, n, data`` with the whole sets of the wanted nodes.
 
@@ -399,23 +425,12 @@ def sets_of(docs: DataFrame, records: DataFrame, wanted: DataFrame) -> DataFrame
     few others that pass are dropped by the join.
     """
     mine = records.join(wanted, "node", "left_semi").select("node", "key", "doc_id")
-    hashes = F.array(*[F.xxhash64(F.lit(k), "doc_id") for k in (1, 2, 3)])
-    place = mine.select(F.explode(hashes).alias("h"))
-    bits = place.select(F.shiftrightunsigned("h", 46).alias("word"), F.expr("shiftleft(1L, int(h & 63))").alias("bit"))
-    found = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most FILTER rows
-    words = np.zeros(FILTER, np.int64)
-    words[found["word"].to_numpy()] = found["bits"].to_numpy()
-    filter_ = docs.sparkSession.sparkContext.broadcast(words.tobytes())
+    near = Filter(mine)
 
     def run(batches):
-        bits = np.frombuffer(filter_.value, np.int64)
         seen: set[bytes] = set()
         for batch in batches:
-            keep = np.ones(batch.num_rows, bool)
-            for c in ("h1", "h2", "h3"):
-                h = batch.column(c).to_numpy()
-                keep &= (bits[(h.view(np.uint64) >> np.uint64(46)).astype(np.int64)] >> (h & 63)) & 1 == 1
-            for part in steps([batch.filter(pa.array(keep))], "text"):
+            for part in steps([batch.filter(near.hit(batch))], "text"):
                 rows = []
                 for text in texts_of(part.column("text")):
                     x = shingles(text)
@@ -426,8 +441,7 @@ def sets_of(docs: DataFrame, records: DataFrame, wanted: DataFrame) -> DataFrame
                     kinds = [pa.binary(), pa.int64(), pa.binary()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["key", "n", "data"])
 
-    hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    hashed = hashed.select("text", *[F.xxhash64(F.lit(k), "doc_id").alias(f"h{k}") for k in (1, 2, 3)])
+    hashed = docs.select("text", *Filter.columns(F.col("doc_id")))
     rows = hashed.mapInArrow(run, "key binary, n long, data binary").join(mine.select("node", "key"), "key")
     return rows.groupBy("node").agg(F.first("n").alias("n"), F.first("data").alias("data"))
 
@@ -463,6 +477,49 @@ def classes(docs: DataFrame) -> DataFrame:
 
     ``n_links`` counts the links found at the row's set: enough to hold its component together, not all.
     """
+    return placed(docs).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """``docs``, of every component one row: of its smallest ``doc_id``. Rows without shingles all stay.
+
+    Only rows whose id may be among those to be dropped (``Filter``) are shuffled, for the exact answer.
+    """
+    rows = stored(placed(docs).where(F.col("key").isNotNull()).select("doc_id", "key", "root"), "placed")
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "key")
+    kept = stored(rows.groupBy("root").agg(F.min(order).alias("kept")).select("kept.doc_id", "kept.key"), "kept")
+    # Rows that are not the one kept, and the kept ones that are there more than once.
+    times = rows.groupBy("doc_id", "key").agg(F.count("*").alias("times"))
+    mark = kept.select(F.col("doc_id").alias("kept_id"), F.col("key").alias("kept_key"))
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("key") == F.col("kept_key"))
+    doubtful = Filter(times.join(mark, same, "left").where(F.col("kept_key").isNull() | (F.col("times") > 1)).select("doc_id"))
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    place = docs.columns.index("text")
+    id_ = F.col(names[docs.columns.index("doc_id")])
+    inner = docs.toDF(*names)
+    hashed = inner.select("*", *Filter.columns(id_))
+
+    def others(batches):
+        for batch in batches:
+            yield batch.filter(pc.invert(doubtful.hit(batch))).select(names)
+
+    def asked(batches):
+        for batch in batches:
+            for part in steps([batch.filter(doubtful.hit(batch))], names[place]):
+                sets = [shingles(t) for t in texts_of(part.column(place))]
+                keys = pa.array([key_of(x) if len(x) else None for x in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([*part.select(names).columns, keys], names=[*names, "key"])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in inner.schema)
+    rest = hashed.mapInArrow(asked, f"{schema}, key binary")
+    found = rest.join(mark, id_.cast("long").eqNullSafe(F.col("kept_id")) & (F.col("key") == F.col("kept_key")))
+    first = found.withColumn("nth", F.row_number().over(Window.partitionBy("key", "kept_id").orderBy("kept_key")))
+    parts = [hashed.mapInArrow(others, schema), rest.where(F.col("key").isNull()).select(names), first.where("nth = 1").select(names)]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2]).toDF(*docs.columns)
+
+
+def placed(docs: DataFrame) -> DataFrame:
+    """Every row as ``doc_id, n_shingles, key, root, component_id, n_links``; ``root`` numbers the component."""
     rows = stored(described(docs), "described")
     known = rows.where(F.col("key").isNotNull())
     once = known.groupBy("key").agg(
@@ -478,9 +535,9 @@ def classes(docs: DataFrame) -> DataFrame:
     links = confirmed(docs, records, candidates(inside.withColumn("root", F.col("node")), False), blocks, "first")
     roots = components(links, "x", "y")
     # Buckets whose members are in one component have nothing to add.
-    placed = inside.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b")
-    rest = placed.join(mixed.select("bucket"), "bucket", "left_semi")
+    rooted = inside.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = rooted.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b")
+    rest = rooted.join(mixed.select("bucket"), "bucket", "left_semi")
     links = links.unionByName(confirmed(docs, records, candidates(rest, True), blocks, "second"))
     short = stored(lacking(records), "lacking")
     if not short.isEmpty():
@@ -490,12 +547,17 @@ def classes(docs: DataFrame) -> DataFrame:
     least = records.join(roots, "node").groupBy("root").agg(F.min("doc_id").alias("least"))
     ends = links.select(F.col("x").alias("node")).unionAll(links.select(F.col("y").alias("node")))
     degree = ends.groupBy("node").agg(F.count("*").alias("n_links"))
-    joined = roots.join(least, "root").join(degree, "node").select("node", "least", "n_links")
+    joined = roots.join(least, "root").join(degree, "node").select("node", "root", "least", "n_links")
     final = records.join(joined, "node", "left").select(
-        F.col("key").alias("key_"), F.coalesce("least", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+        F.col("key").alias("key_"),
+        F.coalesce("root", "node").alias("root"),
+        F.coalesce("least", "doc_id").alias("component_id"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"),
     )
-    out = known.join(final, F.col("key") == F.col("key_"), "left").select("doc_id", "n_shingles", "component_id", "n_links")
+    columns = ["doc_id", "n_shingles", "key", "root", "component_id", "n_links"]
+    out = known.join(final, F.col("key") == F.col("key_"), "left").select(columns)
+    none = F.lit(None).cast("long").alias("root")
     empty = rows.where(F.col("key").isNull()).select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links")
+        "doc_id", "n_shingles", "key", none, F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links")
     )
     return out.unionByName(empty)

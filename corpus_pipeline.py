@@ -1,29 +1,64 @@
 """The corpus pipeline: documents are filtered, de-duplicated, cleaned of secrets and packed.
 
-Every stage works on all that its predecessor kept, read back from Parquet.
+Every stage works on all that its predecessor kept, written as Parquet and read back. All but the last
+return the columns of ``documents``; null texts count as empty.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from brickrow.llm import packing
-from brickrow.llm.common import shared_path, table
+from brickrow.llm import jaccard_join, packing, quality_classifier, secret_scan, toxicity
+from brickrow.llm.common import keep_rows, shared_path, table
 from brickrow.llm.queries import TOKENIZER
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the toxicity model does not reject."""
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+
+    def accept(texts: list[str]) -> np.ndarray:
+        return np.array([score < toxicity.THRESHOLD for score, _ in model.score(texts, {})], bool)
+
+    return keep_rows(docs, accept)
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the quality model does not reject."""
+    model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
+    return keep_rows(docs, lambda texts: model.score(texts)[0] >= quality_classifier.THRESHOLD)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near copies: the one with the smallest id."""
+    return jaccard_join.representatives(docs)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets replaced by a mark, and ``n_chars`` of the text that is left."""
+    clean = secret_scan.redact(docs, secret_scan.fit(docs))
+    size = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
+    return clean.withColumn("n_chars", size)
+
+
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their places in sequences of 2048 tokens."""
     return packing.pack(docs, TOKENIZER)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("quality_classifier", keep_quality),
+    ("ngram_jaccard_join", keep_one_of_each),
+    ("secret_scans", redact_secrets),
     ("best_fit_packing", pack_documents),
 ]
 
-#: No stage but the last could be said in SQL: models are trained and spans decoded.
+#: Models are learned and spans decoded on the way, which SQL cannot express.
 ORACLE_SQL = None
 
 
