@@ -123,5 +123,64 @@ WITH RECURSIVE words AS MATERIALIZED (
 SELECT words.doc_id, coalesce(any_value(sizes.n), 0)::BIGINT AS n_shingles, min(other.doc_id) AS component_id
 FROM words JOIN reach ON reach.a = words.r JOIN words other ON other.r = reach.b LEFT JOIN sizes ON sizes.r = words.r
 GROUP BY words.r, words.doc_id
+""",
+    "op9_quality_rules": f"""
+WITH texts AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w
+  FROM documents
+), windows AS (
+  SELECT r, i, [w[i], w[i + 1], w[i + 2]] AS g FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM texts)
+), again AS (
+  SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, g) > 1
+), repeated AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY r
+), measured AS MATERIALIZED (
+  SELECT texts.r, doc_id, lang, source, len(w)::BIGINT AS n_words,
+    coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+    (len(full_lines) - len(list_distinct(full_lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM (SELECT *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORDS}')) AS full_lines FROM texts) texts
+  LEFT JOIN repeated ON repeated.r = texts.r
+), judged AS MATERIALIZED (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured
+), valued AS MATERIALIZED (
+  SELECT r, lang, source, base_failed, unnest(['word_length', 'symbols', 'dup_lines', 'repeats']) AS measure,
+    unnest([word_chars, n_symbols, n_dup_lines, n_repeat_words]) * 1000 // greatest(n_words, 1) AS v
+  FROM judged
+), sketch AS MATERIALIZED (
+  SELECT lang, source, measure, CASE WHEN v < 1 THEN 0 ELSE floor(ln(v) / ln({quality_rules.GROWTH}::DOUBLE)) + 1 END::INTEGER AS b, count(*) AS n
+  FROM valued WHERE NOT base_failed GROUP BY ALL
+), ranked AS (
+  SELECT *, sum(n) OVER (PARTITION BY lang, source, measure) AS total,
+    sum(n) OVER (PARTITION BY lang, source, measure ORDER BY b) AS upto FROM sketch
+), merged AS (
+  SELECT *, sum(n) OVER (PARTITION BY lang, measure) AS total, sum(n) OVER (PARTITION BY lang, measure ORDER BY b) AS upto
+  FROM (SELECT lang, measure, b, sum(n) AS n FROM sketch GROUP BY ALL)
+), own AS (
+  SELECT lang, source, measure, max(total) AS total, min(b) FILTER (upto >= 0.25 * total) AS b1, min(b) FILTER (upto >= 0.75 * total) AS b3
+  FROM ranked GROUP BY ALL
+), whole AS (
+  SELECT lang, measure, min(b) FILTER (upto >= 0.25 * total) AS b1, min(b) FILTER (upto >= 0.75 * total) AS b3 FROM merged GROUP BY ALL
+), quartiles AS (
+  SELECT own.lang, own.source, own.measure,
+    CASE WHEN x1 < 1 THEN 0 ELSE 2 * pow({quality_rules.GROWTH}::DOUBLE, x1) / {quality_rules.GROWTH + 1}::DOUBLE END AS q1,
+    CASE WHEN x3 < 1 THEN 0 ELSE 2 * pow({quality_rules.GROWTH}::DOUBLE, x3) / {quality_rules.GROWTH + 1}::DOUBLE END AS q3
+  FROM (
+    SELECT own.*, CASE WHEN total >= {quality_rules.LEAST} THEN own.b1 ELSE whole.b1 END AS x1,
+      CASE WHEN total >= {quality_rules.LEAST} THEN own.b3 ELSE whole.b3 END AS x3
+    FROM own JOIN whole ON own.lang IS NOT DISTINCT FROM whole.lang AND own.measure = whole.measure
+  ) own
+), fences AS (
+  SELECT *, greatest({quality_rules.SPREAD} * (q3 - q1), CASE measure WHEN 'word_length' THEN 2000 WHEN 'symbols' THEN 100 WHEN 'dup_lines' THEN 60 ELSE 250 END) AS wide
+  FROM quartiles
+), outside AS (
+  SELECT DISTINCT valued.r FROM valued JOIN fences
+    ON valued.lang IS NOT DISTINCT FROM fences.lang AND valued.source IS NOT DISTINCT FROM fences.source AND valued.measure = fences.measure
+  WHERE v > q3 + wide OR (fences.measure = 'word_length' AND v < q1 - wide)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND r NOT IN (SELECT r FROM outside) AS kept
+FROM judged
 """,
 }
