@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,33 +16,39 @@ def read_cadastral(value: Column) -> Column:
     return F.coalesce(F.nullif(text.price_eur(value), F.lit(0)), text.first_int(value))
 
 
+def _short(value: Column) -> Column:
+    return F.char_length(value) <= lookups.MAX_TEXT_VALUE
+
+
+def _worded(value: Column) -> Column:
+    return value.rlike("[A-Za-z]") & ~F.lower(value).rlike(r"^[0-9]+ *(m2|m²)?$")
+
+
+def _as_it_is(value: Column) -> Column:
+    return value
+
+
+#: Fields, how their values are read, and what else a value must be besides readable.
+RULES: list[tuple[list[str], Callable[[Column], Column], Callable[[Column], Column] | None]] = [
+    (lookups.COUNT_FIELDS, text.first_int, None),
+    (lookups.AREA_FIELDS, text.area_m2, None),
+    ([lookups.ENERGY_FIELD], text.energy_kwh, None),
+    (lookups.FLAG_FIELDS, text.yes_no_lenient, None),
+    ([lookups.CADASTRAL_FIELD], read_cadastral, None),
+    ([lookups.STATE_FIELD], _as_it_is, lambda v: _short(v) & ~text.looks_like_locality(v)),
+    ([lookups.HEATING_FIELD], _as_it_is, lambda v: _short(v) & _worded(v)),
+]
+READERS = {field: read for names, read, _ in RULES for field in names}
+
+
 def read_field(field: str, value: Column) -> Column:
     """The typed value of one field."""
-    if field in lookups.COUNT_FIELDS:
-        return text.first_int(value)
-    if field in lookups.AREA_FIELDS:
-        return text.area_m2(value)
-    if field == lookups.ENERGY_FIELD:
-        return text.energy_kwh(value)
-    if field in lookups.FLAG_FIELDS:
-        return text.yes_no_lenient(value)
-    if field == lookups.CADASTRAL_FIELD:
-        return read_cadastral(value)
-    return value
+    return READERS.get(field, _as_it_is)(value)
 
 
 def is_valid(field: Column, value: Column) -> Column:
     """Whether ``value`` is acceptable for the field named in ``field``."""
-    short = F.char_length(value) <= lookups.MAX_TEXT_VALUE
-    worded = value.rlike("[A-Za-z]") & ~F.lower(value).rlike(r"^[0-9]+ *(m2|m²)?$")
-    rule = (
-        F.when(F.coalesce(value, F.lit("")) == "", False)
-        .when(field.isin(lookups.COUNT_FIELDS), text.first_int(value).isNotNull())
-        .when(field.isin(lookups.AREA_FIELDS), text.area_m2(value).isNotNull())
-        .when(field == lookups.ENERGY_FIELD, text.energy_kwh(value).isNotNull())
-        .when(field.isin(lookups.FLAG_FIELDS), text.yes_no_lenient(value).isNotNull())
-        .when(field == lookups.STATE_FIELD, short & ~text.looks_like_locality(value))
-        .when(field == lookups.HEATING_FIELD, short & worded)
-        .when(field == lookups.CADASTRAL_FIELD, read_cadastral(value).isNotNull())
-    )
+    rule = F.when(F.coalesce(value, F.lit("")) == "", False)
+    for names, read, also in RULES:
+        rule = rule.when(field.isin(names), also(value) if also else read(value).isNotNull())
     return rule.otherwise(True)

@@ -30,12 +30,13 @@ def canonical_type(c: Column) -> Column:
 def field_of_label(label: Column) -> Column:
     """Field that a heading names; any other heading about cadastral income counts as that."""
     fields = literal_map(lookups.LABEL_FIELDS)
-    plain = norm_label(label)
-    return F.coalesce(
-        fields[F.lower(label)],  # already in normal form
-        fields[plain],
-        F.when(plain.contains(lookups.CADASTRAL_WORD), lookups.CADASTRAL_FIELD),
-    )
+
+    def named(plain: Column) -> Column:
+        return F.coalesce(fields[plain], F.when(plain.contains(lookups.CADASTRAL_WORD), lookups.CADASTRAL_FIELD))
+
+    # Most labels are in normal form but for their case; the others are normalised once.
+    other = F.get(F.transform(F.array(norm_label(label)), named), F.lit(0))
+    return F.coalesce(fields[F.lower(label)], other)
 
 
 def province(postal: Column) -> Column:

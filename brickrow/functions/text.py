@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -105,9 +103,8 @@ def nfkc(c: Column) -> Column:
 
 def blank_tokens(c: Column) -> Column:
     """Collapse white space; the words that stand for "missing" become null."""
-    words = "|".join(re.escape(word) for word in lookups.NULL_TOKENS)
     spaced = F.trim(F.regexp_replace(c, WS + "+", " "))
-    return F.nullif(F.regexp_replace(spaced, f"(?i)^(?:{words})$", ""), F.lit(""))
+    return F.when(~F.lower(spaced).isin(lookups.NULL_TOKENS), spaced)
 
 
 def to_number(c: Column) -> Column:

@@ -16,6 +16,20 @@ PROVINCE_SLUGS = [
     "luxembourg",
 ]
 
+SLUG_OF = {
+    "Antwerp": "antwerp",
+    "Flemish Brabant": "vlaams-brabant",
+    "Walloon Brabant": "brabant-wallon",
+    "East Flanders": "east-flanders",
+    "West Flanders": "west-flanders",
+    "Hainaut": "hainaut",
+    "Brussels": "brussels",
+    "Liège": "liege",
+    "Limburg": "limburg",
+    "Namur": "namur",
+    "Luxembourg": "luxembourg",
+}
+
 SEARCH_QUERY = (
     "/en/real-estate?transactiontypes=for-sale,in-public-sale&propertytypes=house,apartment"
     "&provinces={province}&islifeannuity=no&page={page}&noindex=1"
@@ -32,6 +46,7 @@ CODE_CLASS = "vlancode"
 PRICE_CLASS = "detail__header_price_data"
 LOCALITY_CLASS = "city-line"
 MORE_INFORMATION = "more information"
+FAILED_STATUS = 400  # of an HTTP answer, from here on
 
 URL_TYPES = {
     "apartment": "apartment",

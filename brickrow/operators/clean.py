@@ -91,10 +91,10 @@ def best_per_url(rows: DataFrame) -> DataFrame:
 
 
 def whole_numbers(rows: DataFrame) -> DataFrame:
-    """Numeric columns as integers, fractions cut off; SILVER column order."""
+    """Numeric columns as integers, fractions cut off, null beyond 64 bits; SILVER column order."""
     return rows.select(
         *[
-            F.col(f.name).cast(f.dataType).alias(f.name)
+            F.col(f.name).try_cast(f.dataType).alias(f.name)
             for f in schemas.SILVER
             if f.name in rows.columns
         ]

@@ -47,7 +47,7 @@ def _anchor_hrefs(nodes: Column) -> Column:
 
 def _exploded(pages: DataFrame, hrefs: Column) -> DataFrame:
     keys = [c for c in pages.columns if c != "html"]
-    return html.parse_pages(pages).select(*keys, F.posexplode(hrefs).alias("pos", "href"))
+    return html.parse_pages(pages, html.LINK_FIELDS, False).select(*keys, F.posexplode(hrefs).alias("pos", "href"))
 
 
 def anchor_links(pages: DataFrame) -> DataFrame:
@@ -65,7 +65,7 @@ def card_links_or_anchors(pages: DataFrame, base_url: str) -> DataFrame:
     keys = [c for c in pages.columns if c != "html"]
     nodes = F.col("nodes")
     sale = F.filter(_anchor_hrefs(nodes), lambda h: h.contains(lookups.SALE_DETAIL_MARK))
-    found = html.parse_pages(pages).select(*keys, _card_hrefs(nodes).alias("cards"), sale.alias("sale"))
+    found = html.parse_pages(pages, html.LINK_FIELDS, False).select(*keys, _card_hrefs(nodes).alias("cards"), sale.alias("sale"))
 
     def absolute(hrefs: Column) -> Column:
         return F.transform(hrefs, lambda h: links.root_relative(h, base_url))
@@ -92,7 +92,7 @@ def collect_urls(result_pages: DataFrame, base_url: str) -> DataFrame:
     """
     resolved = F.transform(_card_hrefs(F.col("nodes")), lambda h: links.resolve_link(h, base_url))
     details = F.filter(resolved, lambda u: F.coalesce(links.is_detail(u), F.lit(False)))
-    per_page = html.parse_pages(result_pages.select("page_id", "html")).select(
+    per_page = html.parse_pages(result_pages.select("page_id", "html"), html.LINK_FIELDS, False).select(
         "page_id", F.posexplode(F.array_distinct(details)).alias("pos", "url")
     )
     return per_page.groupBy("url").agg(
@@ -139,5 +139,12 @@ def staging_counts(table: DataFrame) -> DataFrame:
 
 
 def not_yet_scraped(frontier: DataFrame, raw: DataFrame) -> DataFrame:
-    """Frontier URLs that RAW does not hold yet."""
-    return frontier.join(raw.select(F.col("property_url").alias("url")), "url", "left_anti")
+    """Frontier URLs of which RAW has no record yet. A URL that failed is offered again.
+
+    RAW keeps a failed URL with nothing but its ``property_url``.
+    """
+    values = [c for c in raw.columns if c not in ("property_url", "scraping_error")]
+    read = F.coalesce(*[F.col(c).cast("string") for c in values]).isNotNull() if values else F.lit(True)
+    if "scraping_error" in raw.columns:
+        read = ~F.col("scraping_error")
+    return frontier.join(raw.where(read).select(F.col("property_url").alias("url")), "url", "left_anti")

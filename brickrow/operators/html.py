@@ -1,6 +1,6 @@
 """HTML as columns: one pass of a Python worker turns a page into arrays, and every later step is
 an expression on those arrays. ``nodes`` holds the elements in document order and ``segs`` the text
-pieces; see :class:`brickrow.workers.NodeRecorder`.
+pieces; see :class:`brickrow.workers.NodeColumns`.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brickrow import lookups
-from brickrow.workers import parse_batches
+from brickrow.workers import parser
 
 NODE = T.StructType(
     [
@@ -28,11 +28,22 @@ NODE = T.StructType(
 )
 
 
-def parse_pages(pages: DataFrame) -> DataFrame:
-    """Replace ``html`` by ``nodes`` and ``segs``. Narrow: no shuffle, pages stay where they are."""
+#: Node fields that links are read from; no text is needed for them.
+LINK_FIELDS = ["idx", "end", "tag", "cls", "href"]
+#: Node fields that texts and values are read from.
+TEXT_FIELDS = ["idx", "parent", "end", "next", "tag", "cls", "seg_from", "seg_to", "own"]
+
+
+def parse_pages(pages: DataFrame, fields: list[str] = NODE.names, with_text: bool = True) -> DataFrame:
+    """Replace ``html`` by ``nodes`` and ``segs``. Narrow: no shuffle, pages stay where they are.
+
+    The worker hands over only the node ``fields`` asked for, and ``segs`` only ``with_text``.
+    """
     kept = [f for f in pages.schema if f.name != "html"]
-    out = T.StructType(kept).add("nodes", T.ArrayType(NODE)).add("segs", T.ArrayType(T.StringType()))
-    return pages.mapInArrow(parse_batches, out)
+    out = T.StructType(kept).add("nodes", T.ArrayType(T.StructType([NODE[f] for f in fields])))
+    if with_text:
+        out = out.add("segs", T.ArrayType(T.StringType()))
+    return pages.mapInArrow(parser(fields, with_text), out)
 
 
 def node_text(node: Column, segs: Column) -> Column:

@@ -13,9 +13,11 @@ def range_lookup(table: DataFrame, ranges: DataFrame, value: str, width: int) ->
 
     Each range is entered once per block of ``width`` it touches, which makes the look-up an
     equi-join on the block; Spark broadcasts a small range table and shuffles a large one.
-    Ranges must not overlap.
+    Ranges must not overlap. Rows without a value have blocks of their own, below all others, so that
+    they do not meet in one task.
     """
-    block = F.floor(F.col(value) / width)
+    spread = -1 - F.pmod(F.xxhash64(*table.columns), F.lit(1000))
+    block = F.when(F.col(value).isNull(), F.lit(-(2**40)) + spread).otherwise(F.floor(F.col(value) / width))
     blocks = F.sequence(F.floor(F.col("low") / width), F.floor(F.col("high") / width))
     entered = ranges.withColumn("_block", F.explode(blocks))
     hit = (block == F.col("_block")) & F.col(value).between(F.col("low"), F.col("high"))

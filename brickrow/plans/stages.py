@@ -9,9 +9,7 @@ from pyspark.sql import functions as F
 
 from brickrow import lookups
 from brickrow.operators import clean, frontier, listing, quality
-from brickrow.sources import tables
-from brickrow.sources.scratch import scratch_dir
-
+from brickrow.sources import files, tables, versions
 
 log = logging.getLogger(__name__)
 
@@ -37,10 +35,14 @@ def stage(spark: SparkSession, source: str, path: str) -> Row | None:
 
 
 def stage_all(spark: SparkSession, source: str, path: str) -> tuple[int, int]:
-    """All distinct rows of a URL list to a new list; rows before and after. Must exist."""
-    table = tables.read_csv(spark, source, multiline=False)
-    tables.write_csv(frontier.stage_distinct(table), path)
-    return table.count(), tables.read_csv(spark, path, multiline=False).count()
+    """All distinct rows of a URL list to a new list; rows before and after. Must exist.
+
+    Both are counted while the list is written.
+    """
+    table, before = tables.counted(tables.read_csv(spark, source))
+    distinct, after = tables.counted(frontier.stage_distinct(table))
+    tables.write_csv(distinct, path)
+    return before.get["n_rows"], after.get["n_rows"]
 
 
 def raw_records(url_table: DataFrame, pages: DataFrame, limit: int | None = None) -> DataFrame:
@@ -57,16 +59,53 @@ def scrape(url_table: DataFrame, pages: DataFrame, path: str, limit: int | None
     return tables.write_table(raw_records(url_table, pages, limit), path)
 
 
-def publish(silver: DataFrame, path: str) -> Row:
-    """Write SILVER if it passes the gate, and return the gate's counts.
+def scrape_new(frontier_table: DataFrame, raw: DataFrame | None, pages: DataFrame) -> DataFrame:
+    """RAW records of the frontier URLs that RAW has not read yet, failed ones included."""
+    urls = frontier_table if raw is None else frontier.not_yet_scraped(frontier_table, raw)
+    return listing.to_raw(listing.scrape_new(urls, pages))
 
-    The result is computed once into the shared scratch folder; the gate reads two of its columns,
-    and nothing is written to ``path`` when it fails.
+
+def append_new(frontier_table: DataFrame, pages: DataFrame, path: str) -> str:
+    """From a frontier to RAW under ``path``, a run at a time: what is new or failed before is scraped.
+
+    RAW is replaced as a whole and without a gap (``versions``): records that failed before give way.
+    """
+    spark = pages.sparkSession
+    raw = current_raw(spark, path)
+    rows = scrape_new(frontier_table, raw, pages)
+    if raw is not None:
+        asked = frontier.not_yet_scraped(frontier_table, raw).select(F.col("url").alias("property_url"))
+        rows = raw.join(asked, "property_url", "left_anti").unionByName(rows)
+    folder = versions.new_folder(path)
+    tables.write_table(rows, f"{path}/{folder}")
+    versions.switch(spark, path, {"raw": folder})
+    return path
+
+
+def current_raw(spark: SparkSession, path: str) -> DataFrame | None:
+    """RAW as ``append_new`` left it, or none."""
+    folder = versions.current(spark, path).get("raw")
+    return tables.read_table(spark, f"{path}/{folder}") if folder else None
+
+
+def publish(silver: DataFrame, path: str, csv_path: str | None = None) -> Row:
+    """Write SILVER and make it the published version if it passes the gate; the gate's counts.
+
+    It is written once, to a folder beside the published one; the gate reads two columns of that. A
+    table that fails, or a run that breaks off, leaves the published version as it was. With
+    ``csv_path`` the published version is also written as CSV, dearest first.
     """
     spark = silver.sparkSession
-    staged = tables.read_table(spark, tables.write_table(silver, scratch_dir(spark, "silver")))
-    counts = quality.check(staged)
-    tables.write_silver(staged, path)
+    folder = tables.write_silver(silver, path)
+    staged = tables.read_silver_folder(spark, f"{path}/{folder}")
+    try:
+        counts = quality.check(staged)
+    except quality.QualityGateError:
+        files.remove(spark, f"{path}/{folder}")
+        raise
+    versions.switch(spark, path, {"silver": folder})
+    if csv_path:
+        tables.write_silver_csv(staged, csv_path)
     return counts
 
 
@@ -75,11 +114,12 @@ def refine(
     path: str,
     keep_null_codes: bool = False,
     max_build_year: int = lookups.MAX_BUILD_YEAR,
+    csv_path: str | None = None,
 ) -> Row:
     """A stored RAW table to a published SILVER."""
     if dict(raw.dtypes)["price_eur"] != "string":
         raw = clean.filter_prices(raw)  # on typed prices the scan itself can skip rows
-    return publish(clean.silver(raw, keep_null_codes, max_build_year), path)
+    return publish(clean.silver(raw, keep_null_codes, max_build_year), path, csv_path)
 
 
 def province_summary(silver: DataFrame) -> DataFrame:

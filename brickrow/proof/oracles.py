@@ -83,13 +83,13 @@ cleaned AS (
     CASE k % 6 WHEN 0 THEN 'Good' WHEN 1 THEN 'To renovate' END AS state_of_the_property,
     ['yes','no','yes','no',NULL,'yes',NULL][k % 7 + 1] AS currently_leased,
     CASE WHEN k % 400 BETWEEN 100 AND 326 THEN 1700 + k % 400 END AS build_year,
-    k % 7 AS bedrooms,
+    CASE WHEN k % 43 > 0 THEN k % 7 END AS bedrooms,
     CAST([2,NULL,3,3,3,3][k % 6 + 1] AS BIGINT) AS bathrooms,
     CAST([NULL,1,-2,4][k % 4 + 1] AS BIGINT) AS toilets,
     30 + cu % 400 AS livable_surface_m2,
     CASE WHEN k % 2 = 0 THEN 100 + k % 900 END AS total_land_surface_m2,
     CAST(CASE k % 5 WHEN 0 THEN 12 WHEN 1 THEN 1200 END AS BIGINT) AS terrace_m2,
-    CASE WHEN k % 3 > 0 THEN k % 50 END AS garden_m2,
+    CASE WHEN k % 3 > 0 AND k % 37 > 0 THEN k % 50 END AS garden_m2,
     CASE WHEN k % 11 <> 0 THEN k % 600 END AS epc_kwh_m2_year,
     ['yes','no','no','yes',NULL][k % 5 + 1] AS swimming_pool,
     {province("CASE WHEN k % 41 <> 0 THEN postal END")} AS province
@@ -167,6 +167,12 @@ def scalar(expression: str, name: str, more: str = "") -> str:
     return f"WITH {O} SELECT k, {expression} AS {name}{more} FROM o"
 
 
+def recrawled(rows: str) -> str:
+    """The same rows where every fifth listing was later found at half the price."""
+    half = "CASE WHEN o_orderkey % 5 = 0 THEN o_totalprice * 0.5 ELSE o_totalprice END AS o_totalprice"
+    return rows.replace("FROM orders)", f"FROM (SELECT * REPLACE ({half}) FROM orders))")
+
+
 N = "CAST(floor(total) AS BIGINT)"
 AREA = "30 + cu % 400"
 
@@ -179,7 +185,9 @@ SELECT province, count(*) AS n_listings, avg(price_eur) AS avg_price FROM silver
     PARTITION BY property_code ORDER BY price_eur DESC, property_url) = 1),
 best AS (SELECT * FROM coded QUALIFY row_number() OVER (
     PARTITION BY property_url ORDER BY price_eur DESC, property_code ASC NULLS LAST) = 1)
-SELECT * REPLACE (CAST(trunc(price_eur) AS BIGINT) AS price_eur) FROM best WHERE property_code IS NULL""",
+SELECT * REPLACE (CAST(trunc(price_eur) AS BIGINT) AS price_eur) FROM best""",
+    "silver_without_postal": f"""{DIRTY_SILVER}
+SELECT * REPLACE (CAST(NULL AS VARCHAR) AS postal_code, 'Unknown' AS province) FROM silver""",
     "silver_from_pages": f"WITH {PAGE_ROWS}, {BEST} SELECT * FROM silver",
     "clean_rows": f"""WITH {DIRTY_ROWS}
 SELECT province, count(*) AS n_rows, count(build_year) AS n_years, count(property_type) AS n_types,
@@ -191,6 +199,12 @@ ORDER BY price_eur DESC, property_url ASC NULLS LAST LIMIT 5""",
     "quality_gate": f"""{DIRTY_SILVER}
 SELECT count(*) AS n_rows, count(*) FILTER (price_eur IS NULL) AS n_null_prices,
   count(*) FILTER (province = 'Outside Belgium / Invalid') AS n_outside FROM silver""",
+    "gate_outcomes": f"""{DIRTY_SILVER}
+SELECT 'good' AS table_name, count(*) || ' records pass' AS outcome FROM silver
+UNION ALL SELECT 'empty', 'the cleaned table is empty'
+UNION ALL SELECT 'no price', count(*) FILTER (bedrooms IS NULL OR bedrooms = 3) || ' records without a price' FROM silver""",
+    "table_shape": f"""{DIRTY_SILVER}
+SELECT count(*) AS n_rows, CAST({len(SILVER_TYPES)} AS BIGINT) AS n_columns, count(*) AS n_saved FROM silver""",
     "profile": f"{DIRTY_SILVER} "
     + " UNION ALL ".join(
         f"SELECT {i} AS position, '{c}' AS column_name, '{t}' AS column_type, count({c}) AS n_values FROM silver"
@@ -252,7 +266,15 @@ SELECT count(*) AS n_before, count(*) FILTER ({IS_STAGED}) AS n_passed,
 SELECT url, min(seq) AS first_seen FROM spelled WHERE contains(url, '/en/detail/') GROUP BY url""",
     "url_limit": f"""WITH {STAGED}, firsts AS (SELECT * FROM spelled ORDER BY seq LIMIT 120)
 SELECT url, min(seq) AS first_seen FROM firsts WHERE contains(url, '/en/detail/')
-GROUP BY url ORDER BY first_seen LIMIT 25""",
+GROUP BY url ORDER BY first_seen LIMIT 10""",
+    "staged_files": f"""WITH {STAGED}, counts AS (
+  SELECT count(*) AS n_before, count(*) FILTER ({IS_STAGED}) AS n_passed,
+    count(DISTINCT url) FILTER ({IS_STAGED}) AS n_staged, count(DISTINCT url) AS n_distinct,
+    count(*) AS all_before, count(DISTINCT (url, kind)) AS all_after, CAST(0 AS BIGINT) AS missing, CAST(1 AS BIGINT) AS missing_raises
+  FROM spelled)
+UNPIVOT counts ON COLUMNS(*) INTO NAME url VALUE n
+UNION ALL SELECT url, CAST(kind AS BIGINT) AS n FROM spelled WHERE {IS_STAGED}
+QUALIFY row_number() OVER (PARTITION BY url ORDER BY seq) = 1""",
     "incremental_frontier": f"WITH {O} SELECT url FROM o WHERE status <> 'F'",
     "page_class_text": f"""SELECT page_id,
   {squeezed(decoded("regexp_extract(html, '<div class=\"ad\">([^<]*)</div>', 1)"))} AS ad_text FROM pages""",
@@ -262,9 +284,9 @@ GROUP BY url ORDER BY first_seen LIMIT 25""",
         "regexp_replace(html, '<script>.*?</script>|<style>.*?</style>|<!--.*?-->|<[^>]*>', ' ', 'gs')"
     ))} AS t FROM pages)
 SELECT page_id, md5(t) AS text_md5, CAST(length(t) AS INTEGER) AS n_chars FROM t""",
-    "page_outcomes": f"""WITH {ANCHORS}
-SELECT false AS scraping_error, count(DISTINCT url) AS n_urls FROM pages
-UNION ALL SELECT true, count(DISTINCT href) FROM anchors""",
+    "page_outcomes": f"""WITH {ANCHORS}, latest AS (SELECT url, max(page_id) % 10 = 0 AS failed FROM pages GROUP BY url)
+SELECT false AS scraping_error, count(*) AS n_urls FROM latest WHERE NOT failed
+UNION ALL SELECT true, (SELECT count(DISTINCT href) FROM anchors) + (SELECT count(*) FROM latest WHERE failed)""",
     "h4_pairs": f"""WITH {RAW}
 SELECT k AS page_id, 'build_year' AS field, CAST(build_year AS VARCHAR) AS value FROM raw
 UNION ALL SELECT k, 'bedrooms', CAST(bedrooms AS VARCHAR) FROM raw
@@ -283,6 +305,8 @@ UNION ALL SELECT k, 'cadastral_income_eur', cadastral_income_eur || ' €' FROM
     "cadastral_fallback": f"WITH {RAW} SELECT k AS page_id, cadastral_income_eur FROM raw",
     "raw_records": f"""WITH {RAW}, gone AS (SELECT url || '/gone' AS property_url FROM o)
 SELECT {RAW_COLUMNS} FROM raw UNION ALL BY NAME SELECT property_url FROM gone""",
+    "scrape_new": f"""WITH {RAW.replace("FROM o)", "FROM o WHERE status <> 'F')")} SELECT {RAW_COLUMNS} FROM raw""",
+    "append_new": f"WITH {RAW} SELECT {RAW_COLUMNS} FROM raw",
     "raw_distinct": f"""WITH {O}
 SELECT url AS property_url, CASE WHEN k % 2 = 1 THEN {N} END AS price_eur, CAST(NULL AS BIGINT) AS garden_m2 FROM o""",
     "collapse_text": f"""WITH t AS (SELECT doc_id, {squeezed("text")} AS t FROM documents)
@@ -325,8 +349,10 @@ SELECT doc_id, md5(t) AS text_md5, CAST(length(t) AS INTEGER) AS n_chars FROM t"
     "type_synonyms": scalar("['house','house','house','house','loft',NULL][k % 6 + 1]", "property_type"),
     "io_roundtrip": f"{DIRTY_SILVER} SELECT * FROM silver",
     "csv_roundtrip": f"WITH {RAW} SELECT {RAW_COLUMNS} FROM raw",
-    "stream_available_now": f"WITH {RAW} SELECT {RAW_COLUMNS} FROM raw",
-    "stream_best": f"WITH {PAGE_ROWS}, {BEST} SELECT * FROM silver",
+    "silver_csv": f"{DIRTY_SILVER} SELECT * FROM silver",
+    "stream_available_now": f"""WITH {recrawled(RAW)}, gone AS (SELECT url AS property_url FROM o WHERE k % 7 = 0)
+SELECT {RAW_COLUMNS} FROM raw WHERE k % 7 > 0 UNION ALL BY NAME SELECT property_url FROM gone""",
+    "stream_best": f"WITH {recrawled(PAGE_ROWS).replace('FROM raw WHERE', 'FROM raw WHERE k % 7 > 0 AND')}, {BEST} SELECT * FROM silver",
 }
 ORACLES["url_list_roundtrip"] = ORACLES["collect_urls"].replace(
     "SELECT url, min(page_id) AS first_page, CAST(arg_min(pos, page_id) AS INTEGER) AS first_pos FROM placed GROUP BY url",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,11 +29,12 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _spread_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.spread(_orders(spark, sf_dir), "o_orderkey")
+    """Three narrow columns, dealt out so that rendering them uses all tasks."""
+    return _orders(spark, sf_dir).repartition("o_orderkey")
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.spread(tables.read_pages(spark, f"{sf_dir}/pages.parquet"), "page_id")
+    return tables.read_pages(spark, f"{sf_dir}/pages.parquet")
 
 
 def _listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +57,12 @@ def listings_by_province(spark, sf_dir):
 
 
 def silver_no_code_kept(spark, sf_dir):
-    return clean.silver(_dirty_raw(spark, sf_dir), keep_null_codes=True).where("property_code IS NULL")
+    return clean.silver(_dirty_raw(spark, sf_dir), keep_null_codes=True)
+
+
+def silver_without_postal(spark, sf_dir):
+    """RAW without the postal column: every province is unknown."""
+    return clean.silver(_dirty_raw(spark, sf_dir).drop("postal_code"))
 
 
 def silver_from_pages(spark, sf_dir):
@@ -81,31 +88,38 @@ def quality_gate(spark, sf_dir):
     return quality.gate_counts(_silver(spark, sf_dir))
 
 
+def gate_outcomes(spark, sf_dir):
+    """What the gate says of a good table, an empty one, and one that lacks prices."""
+    good = _silver(spark, sf_dir)
+    without = good.withColumn("price_eur", F.when(F.col("bedrooms") != 3, F.col("price_eur")))
+    rows = []
+    for name, table in {"good": good, "empty": good.where("bedrooms < -1"), "no price": without}.items():
+        try:
+            rows.append((name, f"{quality.check(table).n_rows} records pass"))
+        except quality.QualityGateError as error:
+            rows.append((name, str(error)))
+    return spark.createDataFrame(rows, "table_name string, outcome string")
+
+
+def table_shape(spark, sf_dir):
+    """Rows and columns of SILVER, and the rows that were counted as it was saved."""
+    path = scratch_dir(spark, "counted")
+    table, saved = tables.counted(_silver(spark, sf_dir))
+    table.write.parquet(path)
+    n_rows, n_columns = quality.shape(tables.read_table(spark, path))
+    return spark.createDataFrame([(n_rows, n_columns, saved.get["n_rows"])], "n_rows bigint, n_columns bigint, n_saved bigint")
+
+
 def profile(spark, sf_dir):
     return quality.profile(_silver(spark, sf_dir))
 
 
 # --- frontier and links ----------------------------------------------------------------------
 
-SLUG_OF = {
-    "Antwerp": "antwerp",
-    "Flemish Brabant": "vlaams-brabant",
-    "Walloon Brabant": "brabant-wallon",
-    "East Flanders": "east-flanders",
-    "West Flanders": "west-flanders",
-    "Hainaut": "hainaut",
-    "Brussels": "brussels",
-    "Liège": "liege",
-    "Limburg": "limburg",
-    "Namur": "namur",
-    "Luxembourg": "luxembourg",
-}
-
-
 def frontier_urls(spark, sf_dir):
     """As many search pages per province as its listings fill."""
     located = render.keyed(_orders(spark, sf_dir)).select(places.province(render.postal()).alias("name"))
-    slug = places.literal_map(SLUG_OF)[F.col("name")]
+    slug = places.literal_map(lookups.SLUG_OF)[F.col("name")]
     counted = located.groupBy(slug.alias("province")).agg(F.ceil(F.count("*") / render.CARDS_PER_PAGE).alias("n_pages"))
     slugs = F.array(*map(F.lit, lookups.PROVINCE_SLUGS))
     numbered = counted.where("province IS NOT NULL").withColumn("province_no", F.array_position(slugs, F.col("province")) - 1)
@@ -178,6 +192,23 @@ def staging_counts(spark, sf_dir):
     return frontier.staging_counts(_url_table(spark, sf_dir))
 
 
+def staged_files(spark, sf_dir):
+    """Staging from file to file: counts, the list that was written, and a missing source."""
+    source, path, every, none = (scratch_dir(spark, n) for n in ("source", "staged", "every", "none"))
+    tables.write_csv(_url_table(spark, sf_dir).orderBy("seq").select("url", "kind"), source)
+    counts = stages.stage(spark, source, path)
+    before, after = stages.stage_all(spark, source, every)
+    missing = 0 if stages.stage(spark, none, scratch_dir(spark, "unused")) is None else 1
+    try:
+        stages.stage_all(spark, none, scratch_dir(spark, "unused"))
+        raises = 0
+    except AnalysisException:
+        raises = 1
+    rows = [*counts.asDict().items(), ("all_before", before), ("all_after", after), ("missing", missing), ("missing_raises", raises)]
+    listed = tables.read_csv(spark, path).select("url", F.col("kind").cast("bigint").alias("n"))
+    return spark.createDataFrame(rows, "url string, n bigint").unionByName(listed)
+
+
 def load_urls(spark, sf_dir):
     spaced = _url_table(spark, sf_dir).withColumn("link", F.concat(F.lit(render.HARD), "url", F.lit(" ")))
     return frontier.load_urls(spaced.select("link", "seq"))
@@ -185,7 +216,7 @@ def load_urls(spark, sf_dir):
 
 def url_limit(spark, sf_dir):
     loaded = frontier.load_urls(_url_table(spark, sf_dir).select("url", "seq"), limit=120)
-    return frontier.take_first(loaded, 25)
+    return frontier.take_first(loaded, 10)
 
 
 def incremental_frontier(spark, sf_dir):
@@ -199,27 +230,28 @@ def incremental_frontier(spark, sf_dir):
 
 
 def page_class_text(spark, sf_dir):
-    parsed = html.parse_pages(_pages(spark, sf_dir))
+    parsed = html.parse_pages(_pages(spark, sf_dir), html.TEXT_FIELDS)
     node = html.first(F.filter("nodes", lambda n: html.has_class(n, "ad")))
     return parsed.select("page_id", html.node_text(node, F.col("segs")).alias("ad_text"))
 
 
 def page_heading(spark, sf_dir):
-    parsed = html.parse_pages(_pages(spark, sf_dir))
+    parsed = html.parse_pages(_pages(spark, sf_dir), html.TEXT_FIELDS)
     node = html.first(F.filter("nodes", lambda n: n.tag == "h1"))
     return parsed.select("page_id", html.node_text(node, F.col("segs")).alias("heading"))
 
 
 def page_text(spark, sf_dir):
-    parsed = html.parse_pages(_pages(spark, sf_dir))
+    parsed = html.parse_pages(_pages(spark, sf_dir), html.TEXT_FIELDS)
     whole = html.node_text(html.first(F.col("nodes")), F.col("segs"))
     return parsed.select("page_id", F.md5(whole).alias("text_md5"), F.char_length(whole).alias("n_chars"))
 
 
 def page_outcomes(spark, sf_dir):
-    """The pages' own URLs can be read, the URLs they link to cannot."""
+    """The pages' own URLs can be read but for one in ten with an error status; the URLs they link to cannot."""
     pages = _pages(spark, sf_dir)
-    detailed = pages.withColumn("url", F.concat(F.col("url"), F.lit("/en/detail/")))
+    failed = F.when(F.col("page_id") % 10 == 0, 404).when(F.col("page_id") % 10 == 1, 200)
+    detailed = pages.withColumn("url", F.concat(F.col("url"), F.lit("/en/detail/"))).withColumn("status", failed)
     linked = frontier.normalize_links(frontier.anchor_links(pages), render.SITE)
     linked = linked.select(F.replace("url", F.lit(render.SITE), F.lit(render.SITE + "/en/detail")).alias("url"))
     urls = detailed.select("url").unionByName(linked).distinct()
@@ -243,6 +275,34 @@ def raw_records(spark, sf_dir):
     return stages.raw_records(urls, pages.unionByName(older))
 
 
+def _filled(spark, sf_dir):
+    """RAW as an earlier run left it: the filled orders were read, the pending ones failed."""
+    orders = _table(spark, sf_dir, "orders").repartition("o_orderkey")
+    read = listing.to_raw(listing.records(render.listing_pages(orders.where("o_orderstatus = 'F'"))))
+    failed = render.keyed(orders.where("o_orderstatus = 'P'")).select(render.listing_url().alias("property_url"))
+    stored = tables.write_table(listing.stack_ragged([read, failed]), scratch_dir(spark, "raw"))
+    return orders, tables.read_table(spark, stored)
+
+
+def scrape_new(spark, sf_dir):
+    """Only what is not read yet, failed pages again; every page also in an older, empty version."""
+    orders, raw = _filled(spark, sf_dir)
+    pages = render.listing_pages(orders)
+    older = pages.select((-1 - F.col("page_id")).alias("page_id"), "url", F.lit("<p>soon</p>").alias("html"))
+    return stages.scrape_new(pages.select("url"), raw, pages.unionByName(older))
+
+
+def append_new(spark, sf_dir):
+    """Two runs into one RAW: half of the listings first, then all; pages that failed at first are read."""
+    path = scratch_dir(spark, "raw-runs")
+    pages = _listing_pages(spark, sf_dir)
+    half = pages.where("page_id % 2 = 0")
+    failing = half.withColumn("html", F.when(F.col("page_id") % 3 > 0, F.col("html")))
+    stages.append_new(half.select("url"), failing, path)
+    stages.append_new(pages.select("url"), pages, path)
+    return stages.current_raw(spark, path)
+
+
 def raw_distinct(spark, sf_dir):
     """Ragged record sets stacked; the first record per URL kept."""
     rows = render.keyed(_orders(spark, sf_dir)).withColumn("property_url", render.listing_url())
@@ -264,7 +324,7 @@ def _scalar(source: Callable, **results: Callable) -> Query:
 
 
 def collapse_text(spark, sf_dir):
-    documents = tables.spread(_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    documents = _table(spark, sf_dir, "documents")
     prose = documents.select("doc_id", text.collapse(F.col("text")).alias("t"))
     return prose.select("doc_id", F.md5("t").alias("text_md5"), F.char_length("t").alias("n_chars"))
 
@@ -302,7 +362,17 @@ def io_roundtrip(spark, sf_dir):
 def csv_roundtrip(spark, sf_dir):
     path = scratch_dir(spark, "raw-csv")
     tables.write_csv(listing.to_raw(listing.records(_listing_pages(spark, sf_dir))), path)
-    return listing.to_raw(tables.read_raw_csv(spark, path))
+    return listing.to_raw(tables.read_csv(spark, path))
+
+
+def silver_csv(spark, sf_dir):
+    """Published twice, the second time with the CSV beside it, which is read back."""
+    path, csv_path = scratch_dir(spark, "published"), scratch_dir(spark, "silver-csv")
+    silver = _silver(spark, sf_dir)
+    stages.publish(silver.limit(0).unionByName(silver.where("price_eur > 100000")), path)
+    stages.publish(silver, path, csv_path)
+    read = tables.read_csv(spark, csv_path)
+    return read.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.SILVER])
 
 
 def url_list_roundtrip(spark, sf_dir):
@@ -312,32 +382,37 @@ def url_list_roundtrip(spark, sf_dir):
     return frontier.load_urls(tables.read_urls_csv(spark, path)).select("url")
 
 
-def _landed(spark, sf_dir):
-    path = scratch_dir(spark, "landing")
-    render.listing_pages(_orders(spark, sf_dir).repartition(24, "o_orderkey")).write.parquet(path)
-    return incremental.landed_pages(spark, path, files_per_run=8)
+def _runs(spark, sf_dir):
+    """Pages landed in several runs, some URLs again later; the folder of the kept records."""
+    landing, path, progress = (scratch_dir(spark, n) for n in ("landing", "stream-kept", "progress"))
+    orders = _spread_orders(spark, sf_dir)
+    first = render.listing_pages(orders).withColumn("status", F.lit(None).cast("int"))
+    for pages in (first, render.recrawled_pages(orders)):
+        pages.repartition(8, "page_id").write.mode("append").parquet(landing)
+        landed = incremental.landed_pages(spark, landing, files_per_run=8)
+        incremental.stream_records(landed, path, progress, parts=16).awaitTermination()
+    return path
 
 
 def stream_available_now(spark, sf_dir):
-    path = scratch_dir(spark, "stream-raw")
-    incremental.stream_records(_landed(spark, sf_dir), path, scratch_dir(spark, "progress")).awaitTermination()
-    return tables.read_table(spark, path)
+    return incremental.current_raw(spark, _runs(spark, sf_dir))
 
 
 def stream_best(spark, sf_dir):
-    path = scratch_dir(spark, "stream-best")
-    incremental.stream_best(_landed(spark, sf_dir), path, scratch_dir(spark, "progress")).awaitTermination()
-    return incremental.best_silver(spark, path)
+    return incremental.current_silver(spark, _runs(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
     "listings_by_province": listings_by_province,
     "silver": _silver,
     "silver_no_code_kept": silver_no_code_kept,
+    "silver_without_postal": silver_without_postal,
     "silver_from_pages": silver_from_pages,
     "clean_rows": clean_rows,
     "top_head": top_head,
     "quality_gate": quality_gate,
+    "gate_outcomes": gate_outcomes,
+    "table_shape": table_shape,
     "profile": profile,
     "frontier_urls": frontier_urls,
     "link_extract": link_extract,
@@ -349,6 +424,7 @@ QUERIES: dict[str, Query] = {
     "url_stage": url_stage,
     "url_stage_distinct": url_stage_distinct,
     "staging_counts": staging_counts,
+    "staged_files": staged_files,
     "load_urls": load_urls,
     "url_limit": url_limit,
     "incremental_frontier": incremental_frontier,
@@ -359,6 +435,8 @@ QUERIES: dict[str, Query] = {
     "h4_pairs": h4_pairs,
     "cadastral_fallback": cadastral_fallback,
     "raw_records": raw_records,
+    "scrape_new": scrape_new,
+    "append_new": append_new,
     "raw_distinct": raw_distinct,
     "collapse_text": collapse_text,
     "parse_price": _scalar(texts.price, price_eur=text.price_eur),
@@ -380,6 +458,7 @@ QUERIES: dict[str, Query] = {
     "type_synonyms": _scalar(texts.type_name, property_type=places.canonical_type),
     "io_roundtrip": io_roundtrip,
     "csv_roundtrip": csv_roundtrip,
+    "silver_csv": silver_csv,
     "url_list_roundtrip": url_list_roundtrip,
     "stream_available_now": stream_available_now,
     "stream_best": stream_best,

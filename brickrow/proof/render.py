@@ -101,6 +101,9 @@ def label_values() -> list[tuple[Column, Column]]:
             pick(8, "Cadastral income (not indexed)", "Cadastral estimate", None, None, "CADASTRAL Income:", "Cadastral estimate"),
             pick(4, cadastral, cadastral, None),
         ),
+        # A second valid value of a field that is there already; the first one counts.
+        (F.lit("Build year"), pick(3, "1850", None)),
+        (F.lit("Swimming pool"), F.when(F.col("k") % 20 == 0, "No")),
     ]
 
 
@@ -146,6 +149,22 @@ def listing_pages(orders: DataFrame) -> DataFrame:
     return keyed(orders).select(F.col("k").alias("page_id"), listing_url().alias("url"), html.alias("html"))
 
 
+def recrawled_pages(orders: DataFrame) -> DataFrame:
+    """Later versions of listing pages: every fifth at half the price; every seventh failed, half of those with a status."""
+    cheaper = listing_pages(orders.where("o_orderkey % 5 = 0").withColumn("o_totalprice", F.col("o_totalprice") * 0.5))
+    cheaper = cheaper.select((F.col("page_id") + LATER).alias("page_id"), "url", "html", F.lit(200).alias("status"))
+    gone = listing_pages(orders.where("o_orderkey % 7 = 0"))
+    even = F.col("page_id") % 2 == 0
+    failed = gone.select(
+        (F.col("page_id") + 2 * LATER).alias("page_id"),
+        "url",
+        F.when(even, F.col("html")).alias("html"),
+        F.when(even, 404).alias("status"),
+    )
+    return cheaper.unionByName(failed)
+
+
+LATER = 1_000_000_000
 CARDS_PER_PAGE = 20
 
 
@@ -196,13 +215,13 @@ def dirty_raw(orders: DataFrame) -> DataFrame:
     columns["state_of_the_property"] = pick(6, "Good", " To  renovate", "--", "Not Specified", "unknown", None)
     columns["currently_leased"] = pick(7, "1", "0", "TRUE", "n", "unknown", " Yes ", None)
     columns["build_year"] = cat(num("1700 + k % 400"), ".0")
-    columns["bedrooms"] = num("k % 7")
+    columns["bedrooms"] = F.when(k % 43 == 0, "9" * 25).otherwise(num("k % 7"))
     columns["bathrooms"] = pick(6, "2 rooms", "none", "3")
     columns["toilets"] = pick(4, "-", "1.9", "-2", "4")
     columns["livable_surface_m2"] = cat(num("30 + cu % 400"), pick(2, ".5", ""))
     columns["total_land_surface_m2"] = pick(2, cat(num("100 + k % 900"), " m"), None)
     columns["terrace_m2"] = pick(5, "12,5", "1 200", None)
-    columns["garden_m2"] = pick(3, "N/A", num("k % 50"))
+    columns["garden_m2"] = F.when(k % 37 == 0, "0032 475 12 34 56 / 0032 475 65 43 21").otherwise(pick(3, "N/A", num("k % 50")))
     columns["heating_type"] = F.lit("Gas")
     columns["epc_kwh_m2_year"] = pick(11, "B", num("k % 600"))
     columns["swimming_pool"] = pick(5, "yes", "False", "No", "Y", "maybe")

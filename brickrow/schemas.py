@@ -2,6 +2,8 @@
 
 from pyspark.sql import types as T
 
+# --- Fixed values: columns of RAW, in order -------------------------------------------------
+
 RAW = T.StructType(
     [
         T.StructField("property_url", T.StringType()),
@@ -27,8 +29,7 @@ RAW = T.StructType(
     ]
 )
 
-# The same columns as text: how RAW is read back from CSV, so that no type is guessed.
-RAW_TEXT = T.StructType([T.StructField(f.name, T.StringType()) for f in RAW])
+# --------------------------------------------------------------------------------------------
 
 SILVER = T.StructType(
     [f for f in RAW if f.name != "heating_type"] + [T.StructField("province", T.StringType())]
@@ -42,7 +43,6 @@ PAGES = T.StructType(
         T.StructField("page_id", T.LongType()),
         T.StructField("url", T.StringType()),
         T.StructField("html", T.StringType()),
+        T.StructField("status", T.IntegerType()),
     ]
 )
-
-URLS = T.StructType([T.StructField("link", T.StringType())])

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from brickrow import lookups, schemas
+from brickrow.operators import clean
+from brickrow.sources import versions
 
 log = logging.getLogger(__name__)
 
@@ -21,11 +23,11 @@ CSV_FORMAT = {
 }
 
 
-def read_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """A CSV file or directory with header, every column as text, missing-value texts as null.
 
-    ``multiline`` allows line breaks inside quotes but reads each file in one task; turn it off
-    for large files that have none. A missing path raises.
+    A file is split among tasks; ``multiline`` allows line breaks inside quotes, but reads each file
+    in one task. A missing path raises.
     """
     table = spark.read.options(**CSV_FORMAT).option("multiLine", multiline).csv(path)
     return table.select(
@@ -33,11 +35,6 @@ def read_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFram
     )
 
 
-def read_raw_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """RAW from CSV as text, so that codes and postal codes keep their leading zeros."""
-    return read_csv(spark, path, multiline)
-
-
 def read_urls_csv(spark: SparkSession, path: str) -> DataFrame:
     """A URL list with ``seq``, the place of every row: file, block, row."""
     table = spark.read.options(**CSV_FORMAT).csv(path)
@@ -61,7 +58,8 @@ def read_staging_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Fetched pages: ``page_id, url, html``, a null ``html`` for a failed fetch."""
+    """Fetched pages: ``page_id, url, html, status``. A null ``html`` or a status from 400 on is a failed
+    fetch; the status is null where it was not kept."""
     return spark.read.schema(schemas.PAGES).parquet(path)
 
 
@@ -86,7 +84,11 @@ def write_table(table: DataFrame, path: str) -> str:
     return _saved(rows, path)
 
 
-def write_csv(table: DataFrame, path: str) -> str:
+def write_csv(table: DataFrame, path: str, multiline: bool = False) -> str:
+    """Every row on one line: line breaks inside texts become spaces, unless ``multiline`` keeps them."""
+    if not multiline:
+        texts = {c for c, kind in table.dtypes if kind == "string"}
+        table = table.select(*[F.translate(c, "\r\n", "  ").alias(c) if c in texts else c for c in table.columns])
     table, rows = counted(table)
     table.write.mode("overwrite").options(**CSV_FORMAT).csv(path)
     return _saved(rows, path)
@@ -98,17 +100,28 @@ def write_url_list(frontier: DataFrame, path: str, order: list[str]) -> str:
 
 
 def write_silver(silver: DataFrame, path: str) -> str:
-    """SILVER by province. The rebalance keeps files few and splits a province that is large."""
+    """SILVER by province, as a new data folder under ``path`` that no reader sees yet; its name.
+
+    The rebalance keeps files few and splits a province that is large.
+    """
+    folder = versions.new_folder(path)
     balanced = silver.hint("rebalance", "province")
-    balanced.write.mode("overwrite").partitionBy("province").parquet(path)
-    return path
+    balanced.write.partitionBy("province").parquet(f"{path}/{folder}")
+    return folder
 
 
-def read_silver(spark: SparkSession, path: str) -> DataFrame:
+def read_silver_folder(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.SILVER).parquet(path).select(*schemas.SILVER.names)
 
 
-def spread(table: DataFrame, key: str) -> DataFrame:
-    """Use all cores for costly row work on a small input; a table with enough splits is kept."""
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores, key) if table.rdd.getNumPartitions() < cores else table
+def read_silver(spark: SparkSession, path: str) -> DataFrame:
+    """The published SILVER."""
+    folders = versions.current(spark, path)
+    if not folders:
+        raise FileNotFoundError(f"nothing is published in {path}")
+    return read_silver_folder(spark, f"{path}/{folders['silver']}")
+
+
+def write_silver_csv(silver: DataFrame, path: str) -> str:
+    """SILVER as CSV, dearest first."""
+    return write_csv(clean.dearest_first(silver), path)

@@ -279,17 +279,27 @@ class NodeColumns:
 
 
 def nfkc_batch(values: pa.Array) -> pa.Array:
+    """Each distinct value is normalised once. (Arrow's own NFKC does not compose, so it is not used.)"""
     if values.null_count == len(values):
         return values
-    return pa.array([v if v is None else normalize("NFKC", v) for v in values.to_pylist()], pa.string())
+    coded = values.dictionary_encode()
+    plain = pa.array([normalize("NFKC", v) for v in coded.dictionary.to_pylist()], pa.string())
+    return plain.take(coded.indices)
 
 
-def parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(..., html)`` batches to ``(..., nodes, segs)`` batches; unreadable html gives null."""
-    standard = StandardEvents()
-    for batch in batches:
-        for start in range(0, batch.num_rows, PAGES_PER_BATCH):
-            yield _parse_slice(standard, batch.slice(start, PAGES_PER_BATCH))
+def parser(fields: list[str], with_text: bool):
+    """A function over batches ``(..., html)`` to ``(..., nodes[, segs])``; unreadable html gives null.
+
+    Nodes have the named fields only, and ``segs`` is left out without ``with_text``.
+    """
+
+    def parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        standard = StandardEvents()
+        for batch in batches:
+            for start in range(0, batch.num_rows, PAGES_PER_BATCH):
+                yield _parse_slice(standard, batch.slice(start, PAGES_PER_BATCH), fields, with_text)
+
+    return parse_batches
 
 
 def _list_array(offsets: list, values: pa.Array) -> pa.Array:
@@ -297,7 +307,7 @@ def _list_array(offsets: list, values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
 
 
-def _parse_slice(standard: StandardEvents, batch: pa.RecordBatch) -> pa.RecordBatch:
+def _parse_slice(standard: StandardEvents, batch: pa.RecordBatch, fields: list[str], with_text: bool) -> pa.RecordBatch:
     columns = NodeColumns()
     node_at, piece_at = [], []
     for html in batch.column("html").to_pylist():
@@ -311,11 +321,13 @@ def _parse_slice(standard: StandardEvents, batch: pa.RecordBatch) -> pa.RecordBa
             columns.add_page(events)
     node_at.append(len(columns.tag))
     piece_at.append(len(columns.pieces))
-    arrays = [pa.array(getattr(columns, field.name), field.type) for field in NODE]
-    nodes = pa.StructArray.from_arrays(arrays, fields=list(NODE))
-    segs = pa.array(columns.pieces, pa.string())
+    wanted = [NODE.field(name) for name in fields]
+    nodes = pa.StructArray.from_arrays([pa.array(getattr(columns, f.name), f.type) for f in wanted], fields=wanted)
+    added = {"nodes": _list_array(node_at, nodes)}
+    if with_text:
+        added["segs"] = _list_array(piece_at, pa.array(columns.pieces, pa.string()))
     kept = [i for i, name in enumerate(batch.schema.names) if name != "html"]
     return pa.RecordBatch.from_arrays(
-        [batch.column(i) for i in kept] + [_list_array(node_at, nodes), _list_array(piece_at, segs)],
-        names=[batch.schema.names[i] for i in kept] + ["nodes", "segs"],
+        [batch.column(i) for i in kept] + list(added.values()),
+        names=[batch.schema.names[i] for i in kept] + list(added),
     )

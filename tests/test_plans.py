@@ -50,6 +50,25 @@ def test_html_is_not_shuffled(spark, pages):
     assert "StringContains(url,/en/detail/)" in text
 
 
+def test_only_the_pages_that_are_asked_for_are_parsed(pages):
+    """The join with the frontier lies below the parser."""
+    text = plan(listing.scrape_new(pages.select("url").distinct(), pages))
+    tree = text.split("\n\n")[0].split("\n")
+    parser = next(i for i, line in enumerate(tree) if "MapInArrow" in line)
+    assert any("Join LeftSemi" in line for line in tree[parser:])
+
+
+PAGE_QUERIES = ["link_extract", "link_normalize", "page_class_text", "page_heading", "page_text", "page_outcomes", "collapse_text"]
+
+
+@pytest.mark.parametrize("name", PAGE_QUERIES)
+def test_registered_queries_do_not_shuffle_pages_or_texts(spark, name):
+    text = plan(QUERIES[name](spark, SF))
+    exchanges = [part for part in text.split("\n\n") if part.lstrip().startswith("(") and ") Exchange" in part]
+    wide = ("html", "nodes", "segs", " text#", "[text#")
+    assert not any(word in part for part in exchanges for word in wide)
+
+
 def test_nodes_are_scanned_once(pages):
     parsed = html.parse_pages(pages)
     assert plan(listing.label_pairs(parsed)).count("filter(nodes#") == 1
@@ -63,7 +82,7 @@ def test_price_filter_reaches_the_scan(spark, tmp_path, monkeypatch):
     raw = listing.to_raw(spark.createDataFrame([("u", 20000)], "property_url string, price_eur bigint"))
     stored = tables.read_table(spark, tables.write_table(raw, str(tmp_path / "raw")))
     seen = []
-    monkeypatch.setattr(stages, "publish", lambda silver, path: seen.append(silver))
+    monkeypatch.setattr(stages, "publish", lambda silver, path, csv_path: seen.append(silver))
     stages.refine(stored, "unused")
     text = plan(seen[0])
     assert "GreaterThanOrEqual(price_eur,10000)" in text

@@ -1,7 +1,6 @@
 """Files in and out, stage by stage."""
 
 import logging
-from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -10,7 +9,7 @@ from brickrow import schemas
 from brickrow.operators import clean, frontier, listing, quality
 from brickrow.plans import stages
 from brickrow.proof import render
-from brickrow.sources import scratch, tables
+from brickrow.sources import files, scratch, tables, versions
 
 SITE = "https://site.example"
 
@@ -18,8 +17,10 @@ SITE = "https://site.example"
 def test_csv_keeps_quotes_breaks_accents_and_zeros(spark, tmp_path):
     row = ('say "hi", you', "a\nb", " é ", "0123", None)
     table = spark.createDataFrame([row], "a string, b string, c string, d string, e string")
-    path = tables.write_csv(table, str(tmp_path / "t"))
-    assert tables.read_csv(spark, path).first() == row
+    path = tables.write_csv(table, str(tmp_path / "t"), multiline=True)
+    assert tables.read_csv(spark, path, multiline=True).first() == row
+    flat = tables.write_csv(table, str(tmp_path / "u"))
+    assert tables.read_csv(spark, flat).first().b == "a b"
 
 
 def test_saved_rows_are_counted(spark, tmp_path, caplog):
@@ -33,10 +34,10 @@ def test_saved_rows_are_counted(spark, tmp_path, caplog):
 def test_csv_missing_values(spark, tmp_path):
     path = tmp_path / "raw.csv"
     path.write_text('property_url,price_eur,postal_code\nu,N/A,0123\nv,"",-\nw,#N/A,none\n', "utf-8")
-    got = tables.read_raw_csv(spark, str(path)).collect()
+    got = tables.read_csv(spark, str(path)).collect()
     assert [tuple(r) for r in got] == [("u", None, "0123"), ("v", None, "-"), ("w", None, "none")]
     with pytest.raises(AnalysisException):
-        tables.read_raw_csv(spark, str(tmp_path / "none"))
+        tables.read_csv(spark, str(tmp_path / "none"))
 
 
 def test_url_list_keeps_its_order(spark, tmp_path):
@@ -89,30 +90,58 @@ def test_failing_gate_publishes_nothing(spark, tmp_path):
     raw = spark.createDataFrame([("u", 5)], "property_url string, price_eur bigint")
     with pytest.raises(quality.QualityGateError):
         stages.refine(raw, str(tmp_path / "silver"))
-    assert not (tmp_path / "silver").exists()
+    with pytest.raises(FileNotFoundError):
+        tables.read_silver(spark, str(tmp_path / "silver"))
 
 
 def test_province_with_a_slash_is_a_folder_and_comes_back(spark, tmp_path):
     raw = listing.to_raw(
         spark.createDataFrame([("u", "c", 20000, "0999"), ("v", "d", 20000, "1000")], "property_url string, property_code string, price_eur bigint, postal_code string")
     )
-    tables.write_silver(clean.silver(raw), str(tmp_path / "s"))
+    stages.publish(clean.silver(raw), str(tmp_path / "s"))
     got = {r.property_url: r.province for r in tables.read_silver(spark, str(tmp_path / "s")).collect()}
     assert got == {"u": "Outside Belgium / Invalid", "v": "Brussels"}
 
 
-def test_scratch_follows_the_session():
-    def session(folder, master):
-        return SimpleNamespace(
-            conf=SimpleNamespace(get=lambda key, default: folder), sparkContext=SimpleNamespace(master=master)
-        )
-
-    assert scratch.scratch_dir(session("hdfs:///shared/", "yarn"), "x").startswith("hdfs:///shared/x-")
-    assert scratch.scratch_dir(session(None, "local[2]"), "x").startswith("/tmp/run-")
-    with pytest.raises(ValueError):
-        scratch.scratch_dir(session(None, "yarn"), "x")
+def test_scratch_follows_the_session(spark):
+    path = scratch.scratch_dir(spark, "x")
+    assert path.startswith(spark.conf.get("spark.checkpoint.dir") + "/x-")
+    assert not files.exists(spark, path) and files.exists(spark, path.rpartition("/")[0])
+
+
+def test_a_version_is_switched_whole(spark, tmp_path):
+    path = str(tmp_path / "table")
+    assert versions.current(spark, path) == {}
+    old, new = versions.new_folder(path), versions.new_folder(path)
+    for folder in (old, new):
+        spark.range(3).write.parquet(f"{path}/{folder}")
+    versions.switch(spark, path, {"a": old, "b": old})
+    assert versions.current(spark, path) == {"a": old, "b": old}
+    assert not files.exists(spark, f"{path}/{new}")  # nothing referred to it
+    spark.range(4).write.parquet(f"{path}/{new}")
+    versions.switch(spark, path, {"a": new, "b": old})
+    assert files.exists(spark, f"{path}/{old}")
+    # A pointer that was not completed does not count.
+    (tmp_path / "table" / "pointer-000000000099").mkdir()
+    assert versions.current(spark, path) == {"a": new, "b": old}
+    versions.switch(spark, path, {"a": new, "b": new})
+    assert versions.current(spark, path) == {"a": new, "b": new}
+    assert sum(n.startswith("data-") for n in files.names(spark, path)) == 1
+
+
+def test_a_failed_gate_leaves_the_published_version(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    good = clean.silver(listing.to_raw(spark.createDataFrame([("u", 20000)], "property_url string, price_eur bigint")))
+    stages.publish(good, path)
+    with pytest.raises(quality.QualityGateError):
+        stages.publish(good.where("price_eur < 0"), path)
+    assert tables.read_silver(spark, path).count() == 1
+    assert sum(n.startswith("data-") for n in files.names(spark, path)) == 1
 
 
-def test_spread_keeps_tables_with_enough_splits(spark):
-    assert tables.spread(spark.range(8, numPartitions=64), "id").rdd.getNumPartitions() == 64
-    assert tables.spread(spark.range(8, numPartitions=1), "id").rdd.getNumPartitions() > 1
+def test_silver_csv_is_dearest_first(spark, tmp_path):
+    rows = [(f"u{i}", f"c{i}", 20000 + (i * 7919) % 1000) for i in range(300)]
+    raw = spark.createDataFrame(rows, "property_url string, property_code string, price_eur bigint").repartition(4)
+    stages.publish(clean.silver(listing.to_raw(raw)), str(tmp_path / "s"), str(tmp_path / "csv"))
+    read = tables.read_urls_csv(spark, str(tmp_path / "csv")).orderBy("seq").collect()
+    assert [int(r.price_eur) for r in read] == sorted((p for _, _, p in rows), reverse=True)

@@ -1,8 +1,8 @@
 from pyspark.sql import functions as F
 
-from brickrow import schemas
 from brickrow.operators import clean, listing
 from brickrow.proof import render
+from brickrow.sources import files, versions
 from brickrow.streaming import incremental
 
 
@@ -10,41 +10,44 @@ def rows(table):
     return sorted((tuple(r) for r in table.select(*sorted(table.columns)).collect()), key=repr)
 
 
-def test_runs_over_new_pages_end_like_one_batch(spark, tmp_path):
+def test_runs_end_like_one_batch(spark, tmp_path):
+    """Also where a URL comes again: cheaper, failed, or with an older page that lands late."""
     orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").limit(300)
-    pages = render.listing_pages(orders).persist()
-    landing = str(tmp_path / "landing")
-    raw_dir, best_dir = str(tmp_path / "raw"), str(tmp_path / "best")
-    pages.where("page_id % 3 < 2").repartition(2).write.parquet(landing)
+    first = render.listing_pages(orders).withColumn("status", F.lit(None).cast("int"))
+    later = render.recrawled_pages(orders)
+    older = first.where("page_id % 4 = 1").withColumn("page_id", -F.col("page_id")).withColumn("html", F.lit("<p>soon</p>"))
+    landing, kept = str(tmp_path / "landing"), str(tmp_path / "kept")
 
     def run():
         landed = incremental.landed_pages(spark, landing, files_per_run=1)
-        incremental.stream_records(landed, raw_dir, str(tmp_path / "c1")).awaitTermination()
-        incremental.stream_best(landed, best_dir, str(tmp_path / "c2")).awaitTermination()
-
-    run()
-    first = pages.where("page_id % 3 < 2")
-    assert rows(spark.read.parquet(raw_dir)) == rows(listing.to_raw(listing.records(first)))
-    pages.where("page_id % 3 = 2").coalesce(1).write.mode("append").parquet(landing)
-    run()
+        incremental.stream_records(landed, kept, str(tmp_path / "c"), parts=4).awaitTermination()
+
+    pages = None
+    for part in (first, later, older):
+        part.repartition(2, "page_id").write.mode("append").parquet(landing)
+        run()
+        pages = part if pages is None else pages.unionByName(part)
+    batch = listing.to_raw(listing.scrape(pages.select("url").distinct(), pages))
+    assert rows(incremental.current_raw(spark, kept)) == rows(batch)
+    assert rows(incremental.current_silver(spark, kept)) == rows(clean.silver(batch))
+    before = versions.current(spark, kept)
     run()  # nothing new
-    raw = listing.to_raw(listing.records(pages))
-    assert rows(spark.read.parquet(raw_dir)) == rows(raw)
-    assert rows(incremental.best_silver(spark, best_dir)) == rows(clean.silver(raw))
-    pages.unpersist()
-
-
-def test_choice_per_code_can_be_repeated_run_by_run(spark):
-    parts = [
-        [("A", "u1", 10), ("B", "u2", 30)],
-        [("A", "u2", 20)],
-        [("C", "u1", 40)],
-    ]
-    schema = "property_code string, property_url string, price_eur bigint"
-    whole = spark.createDataFrame([r for part in parts for r in part], schema)
-    kept = spark.createDataFrame([], schema)
-    for part in parts:
-        kept = clean.best_per_code(kept.unionByName(spark.createDataFrame(part, schema)))
-    assert rows(clean.best_per_url(kept)) == rows(clean.best_per_url(clean.best_per_code(whole)))
-    assert whole.agg(F.count("*")).first()[0] == 4
-    assert "run" not in schemas.SILVER.names
+    assert versions.current(spark, kept) == before
+
+
+def test_a_repeated_run_changes_nothing_and_only_touched_parts_are_rewritten(spark, tmp_path):
+    kept = str(tmp_path / "kept")
+
+    def records(*values):
+        named = spark.createDataFrame(values, "property_url string, price_eur bigint, page_id bigint")
+        return listing.to_raw(named).select("*").withColumn("page_id", F.lit(values[0][2]).cast("bigint"))
+
+    incremental.merge_records(records(*[(f"u{i}", 10, 1) for i in range(40)]), kept, parts=8)
+    one = versions.current(spark, kept)
+    incremental.merge_records(records(("u3", 5, 2)), kept, parts=8)
+    two = versions.current(spark, kept)
+    assert sum(one[p] != two[p] for p in one) == 1
+    incremental.merge_records(records(("u3", 5, 2)), kept, parts=8)
+    got = {r.property_url: r.price_eur for r in incremental.current_raw(spark, kept).collect()}
+    assert got == {f"u{i}": 5 if i == 3 else 10 for i in range(40)}
+    assert len([n for n in files.names(spark, kept) if n.startswith("data-")]) == 2
