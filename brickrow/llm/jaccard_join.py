@@ -178,15 +178,25 @@ def shared(index: DataFrame) -> DataFrame:
 
     def emit(sig: np.ndarray, rec: np.ndarray, many: bool = False):
         bucket = sig >> 8
-        first = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1])]))
+        first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+        length = np.diff(first, append=len(sig))
+        rows = np.flatnonzero(np.repeat((length > 1) | many, length))  # the rest have no company
+        sig, rec = sig[rows], rec[rows]
+        order = np.lexsort((sig, rec, sig >> 8))
+        sig, rec = sig[order], rec[order]
         new = np.ones(len(sig), bool)  # the same record from two tasks is one
         new[1:] = (sig[1:] != sig[:-1]) | (rec[1:] != rec[:-1])
-        size = np.add.reduceat(new.astype(np.int64), first)
-        lowest = np.minimum.reduceat(rec, first) != np.maximum.reduceat(rec, first)
-        own = np.bitwise_or.reduceat(sig & _OWN, first) > 0
+        sig, rec = sig[new], rec[new]
+        bucket = sig >> 8
+        first = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(sig) else np.zeros(0, np.int64)
         length = np.diff(first, append=len(sig))
-        take = np.repeat((lowest & own) | many, length) & new
-        cost = np.repeat(np.full(len(first), COUNTED) if many else size, length)
+        if len(first) and not many:
+            others = rec[first] != np.maximum.reduceat(rec, first)
+            own = np.bitwise_or.reduceat(sig & _OWN, first) > 0
+            take = np.repeat(others & own, length)
+        else:
+            take = np.ones(len(sig), bool)
+        cost = np.repeat(np.minimum(length, COUNTED) if not many else np.full(len(first), COUNTED), length)
         return pa.RecordBatch.from_arrays(
             [pa.array(bucket[take]), pa.array(rec[take]), pa.array((sig[take] & 255).astype(np.int32)), pa.array(cost[take].astype(np.int32))],
             names=["bucket", "rec", "flags", "cost"],
@@ -219,7 +229,7 @@ def shared(index: DataFrame) -> DataFrame:
             yield emit(sig, rec)
 
     n = shuffle_partitions(index.sparkSession)
-    dealt = index.repartition(n, F.shiftright("sig", 8)).sortWithinPartitions("sig", "rec")
+    dealt = index.repartition(n, F.shiftright("sig", 8)).sortWithinPartitions("sig")
     return dealt.mapInArrow(run, "bucket long, rec long, flags int, cost int")
 
 
@@ -347,30 +357,37 @@ def _lists(rows: list[tuple]) -> pa.RecordBatch:
 def compared(lists: DataFrame, data: DataFrame, blocks: DataFrame, exact: bool) -> DataFrame:
     """The rows of ``x, block, ys`` with the members that pass; without any, no row.
 
-    ``data``: ``node, n, data`` (sketches, or sets if ``exact``); ``blocks``: ``node, block``. A block's
-    members are read first, then the records that are compared with them pass by.
+    ``data``: ``node, n, data`` (sketches, or sets if ``exact``); ``blocks``: ``node, block, root``. A
+    block's members are read first, then the records that are compared with them pass by. Of the exact
+    links of a record to members that are in one component already, one is enough.
     """
     held = data.join(blocks, "node").select(
-        "block", F.lit(0).alias("turn"), F.col("node").alias("x"), "n", "data", F.lit(None).cast("array<bigint>").alias("ys")
+        "block", F.lit(0).alias("turn"), F.col("node").alias("x"), "n", "data", "root", F.lit(None).cast("array<bigint>").alias("ys")
+    )
+    asking = lists.join(data.withColumnRenamed("node", "x"), "x").select(
+        "block", F.lit(1).alias("turn"), "x", "n", "data", F.lit(None).cast("long").alias("root"), "ys"
     )
-    asking = lists.join(data.withColumnRenamed("node", "x"), "x").select("block", F.lit(1).alias("turn"), "x", "n", "data", "ys")
 
     def run(batches):
         block, there = None, {}
         for batch in batches:
             out = []
-            for b, turn, x, n, blob, ys in zip(*(c.to_pylist() for c in batch.columns)):
+            for b, turn, x, n, blob, root, ys in zip(*(c.to_pylist() for c in batch.columns)):
                 if b != block:
                     block, there = b, {}
                 own = np.frombuffer(blob, np.uint64)
                 if not turn:
-                    there[x] = (n, own)
+                    there[x] = (n, own, root)
                     continue
                 some = [y for y in ys if y in there]
                 if not some:
                     continue
                 if exact:
-                    kept = [y for y in some if linked(own, there[y][1])]
+                    met, kept = set(), []
+                    for y in some:
+                        if there[y][2] not in met and linked(own, there[y][1]):
+                            met.add(there[y][2])
+                            kept.append(y)
                 else:
                     differ = np.bitwise_count(np.stack([there[y][1] for y in some]) ^ own).sum(1)
                     most = (np.array([there[y][0] for y in some]) + n) // SHARE
@@ -447,19 +464,29 @@ def sets_of(docs: DataFrame, records: DataFrame, wanted: DataFrame) -> DataFrame
 
 
 def confirmed(docs: DataFrame, records: DataFrame, lists: DataFrame, blocks: DataFrame, name: str) -> DataFrame:
-    """``x, y`` that are linked, of candidate lists; ``blocks`` has the block of every candidate."""
-    asked = stored(by_block(lists), f"{name}-asked")
+    """``x, y`` that are linked, of candidate lists; ``blocks`` has block and root of every candidate."""
     sketches = records.select("node", "n", F.col("sketch").alias("data"))
-    near = stored(compared(asked, sketches, _asked(asked, blocks), False), f"{name}-near")
-    ends = near.select(F.col("x").alias("node")).union(near.select(F.explode("ys").alias("node"))).distinct()
-    sets = stored(sets_of(docs, records, ends), f"{name}-sets")
-    found = compared(near, sets, _asked(near, blocks), True)
+    near = stored(compared(by_block(lists), sketches, blocks, False), f"{name}-near")
+    sets = stored(sets_of(docs, records, stored(named_in(near).distinct(), f"{name}-ends")), f"{name}-sets")
+    found = compared(near, sets, blocks, True)
     return stored(found.select("x", F.explode("ys").alias("y")), f"{name}-links")
 
 
-def _asked(lists: DataFrame, blocks: DataFrame) -> DataFrame:
-    """The blocks of those that lists name."""
-    return blocks.join(lists.select(F.explode("ys").alias("node")).distinct(), "node", "left_semi")
+def named_in(lists: DataFrame) -> DataFrame:
+    """``node`` of every record that lists name, about once for each task."""
+
+    def run(batches):
+        met: set[int] = set()
+        for batch in batches:
+            new = set(pc.unique(batch.column(0)).to_pylist())
+            new.update(pc.unique(batch.column(1).flatten()).to_pylist())
+            new -= met
+            if len(met) > 1_000_000:
+                met = set()
+            met |= new
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(new), pa.int64())], names=["node"])
+
+    return lists.select("x", "ys").mapInArrow(run, "node long")
 
 
 def lacking(records: DataFrame) -> DataFrame:
@@ -532,16 +559,19 @@ def placed(docs: DataFrame) -> DataFrame:
     probed = stored(probes(index, records), "probes")
     inside = stored(members(index, records, probed), "members")
     blocks = stored(inside.select("node", "block").distinct(), "blocks")
-    links = confirmed(docs, records, candidates(inside.withColumn("root", F.col("node")), False), blocks, "first")
+    single = blocks.withColumn("root", F.col("node"))
+    links = confirmed(docs, records, candidates(inside.withColumn("root", F.col("node")), False), single, "first")
     roots = components(links, "x", "y")
     # Buckets whose members are in one component have nothing to add.
     rooted = inside.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = rooted.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b")
     rest = rooted.join(mixed.select("bucket"), "bucket", "left_semi")
-    links = links.unionByName(confirmed(docs, records, candidates(rest, True), blocks, "second"))
+    now = stored(rest.select("node", "block", "root").distinct(), "blocks")
+    links = links.unionByName(confirmed(docs, records, candidates(rest, True), now, "second"))
     short = stored(lacking(records), "lacking")
     if not short.isEmpty():
-        alone = short.select(F.explode("ys").alias("node")).distinct().withColumn("block", F.xxhash64("node"))
+        alone = short.select(F.explode("ys").alias("node")).distinct()
+        alone = alone.withColumn("block", F.xxhash64("node")).withColumn("root", F.col("node"))
         links = links.unionByName(confirmed(docs, records, short, alone, "lacking"))
     roots = components(links, "x", "y")
     least = records.join(roots, "node").groupBy("root").agg(F.min("doc_id").alias("least"))
