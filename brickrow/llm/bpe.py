@@ -33,10 +33,10 @@ from pyspark.sql import functions as F
 
 from brickrow.llm.common import steps, texts_of
 
-WORDS = 10_000
+WORDS = 20_000
 STEPS = 32
 LONG = 256
-KEPT = 300_000
+KEPT = 700_000
 MEMORY = "256MB"
 
 #: One contraction in every word; ``{step}`` is the recursion's body for rows ``t``.
@@ -251,7 +251,7 @@ def _mapped(docs: DataFrame, ranks: str, pattern: str, back: bool) -> DataFrame:
 
     def run(batches):
         own = codec(ranks, pattern)
-        for batch in steps(batches, "text", 2 << 20):
+        for batch in steps(batches, "text"):
             ids = own.encode(texts_of(batch.column("text")))
             columns = [batch.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
             if back:
