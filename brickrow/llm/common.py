@@ -61,6 +61,11 @@ def texts_of(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
+def bytes_of(column: pa.Array) -> list[bytes]:
+    """Whole texts as UTF-8; null is the empty text."""
+    return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+
+
 @dataclass
 class Ordered:
     """Rows in one global order: partitions in order, and sorted within."""
@@ -98,7 +103,7 @@ def in_order(docs: DataFrame, lookahead: bool = False) -> Ordered:
             values = pc.fill_null(ids, 0).to_numpy(zero_copy_only=False)
             part = np.where(known, np.searchsorted(bounds, values, "right") - 1, 0).astype(np.int32)
             part = np.maximum(part, 0)
-            texts = pa.array([squeeze.compress(x.encode()) for x in texts_of(batch.column("text"))], pa.binary())
+            texts = pa.array([squeeze.compress(x) for x in bytes_of(batch.column("text"))], pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(part), pa.array(np.zeros(len(part), bool)), ids, texts], names=names
             )
@@ -124,9 +129,10 @@ def in_order(docs: DataFrame, lookahead: bool = False) -> Ordered:
     return Ordered(rows, parts)
 
 
-def unpacked(column: pa.Array) -> list[str]:
+def unpacked(column: pa.Array) -> list[bytes]:
+    """Whole texts as UTF-8."""
     expand = zstandard.ZstdDecompressor()
-    return [expand.decompress(x).decode() for x in column.to_pylist()]
+    return [expand.decompress(x) for x in column.to_pylist()]
 
 
 def sample(df: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
@@ -159,14 +165,18 @@ def labelled(docs: DataFrame, labels: DataFrame, column: str, per_class: int) ->
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), weights
 
 
-def keep_rows(docs: DataFrame, decide: Callable[[list[str]], np.ndarray]) -> DataFrame:
-    """The rows, with all their columns, whose whole text ``decide`` accepts; nothing is shuffled."""
+def keep_rows(docs: DataFrame, start: Callable[[], Callable[[list[str]], np.ndarray]], limit: int = STEP_BYTES) -> DataFrame:
+    """The rows, with all their columns, whose whole text is accepted; nothing is shuffled.
+
+    ``start()`` runs once in a task and gives the function that says which of some texts to keep.
+    """
     place = docs.columns.index("text")
     names = [f"c{i}" for i in range(len(docs.columns))]
 
     def run(batches):
-        for batch in steps(batches, names[place]):
-            yield batch.filter(pa.array(np.asarray(decide(texts_of(batch.column(place))), bool)))
+        accept = start()
+        for batch in steps(batches, names[place], limit):
+            yield batch.filter(pa.array(np.asarray(accept(texts_of(batch.column(place))), bool)))
 
     # Positional names inside, so that columns whose names differ only in case do no harm.
     inner = docs.toDF(*names)

@@ -28,34 +28,36 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from brickrow.llm.common import steps, stored, texts_of
-from brickrow.llm.encoding import encoder
+from brickrow.llm.common import bytes_of, steps, stored
+from brickrow.llm.encoding import KEPT_WORDS, STEP, encoder
 
 CAPACITY = 2048
 #: Prices are renewed so often at most.
 ROUNDS = 400
 #: By how much the price of the length that a configuration uses up falls, as an exponent.
-STEP = 0.3
+FALL = 0.3
 #: Power of its length by which a piece's first price exceeds its share of a sequence.
 LEAN = 0.1
 
 PIECES = "doc_id long, piece long, start long, length long, ids_crc32 long, task long, nth long"
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int | None = 0) -> DataFrame:
+def pieces(
+    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int | None = 0, kept_words: int = KEPT_WORDS
+) -> DataFrame:
     """The pieces of every document, with ``task`` and ``nth``: their number among its pieces of that length.
 
     A longer document is cut into pieces of ``capacity`` ids; the first may be shorter.
     """
 
     def cut(batches):
-        words = encoder(tokenizer)
+        words = encoder(tokenizer, kept_words)
         end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         task, seen = TaskContext.get().partitionId(), Counter()
         names = [x.split()[0] for x in PIECES.split(", ")]
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", STEP):
             rows = []
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), words.encode(texts_of(batch.column("text")))):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), words.encode(bytes_of(batch.column("text")))):
                 data = memoryview(ids + end)
                 n = len(data) // 4
                 a, b = 0, n if n <= capacity else (n - 1) % capacity + 1
@@ -115,9 +117,9 @@ def solve(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS
         rest[keys] = np.maximum(rest[keys] - used * share, 0)
         rest[rest < 1e-9] = 0
         fell = used * share / need[keys]
-        price[keys] *= np.exp(-STEP * fell / fell.max())
+        price[keys] *= np.exp(-FALL * fell / fell.max())
     # Late configurations are made of what is left and may waste room: of some numbers of rounds, keep the best.
-    ends = sorted({max(1, len(shares) * k // 16) for k in range(1, 17)})
+    ends = sorted({max(1, len(shares) * k // 8) for k in range(1, 9)})
     return min((rounded(shares[:end], counts, capacity) for end in ends), key=lambda x: sum(n for _, n in x), default=[])
 
 
@@ -184,9 +186,14 @@ def slots(plan: list[tuple[dict[int, int], int]]) -> dict[int, Slots]:
     return dict(out)
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int | None = 0) -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` for every piece."""
-    rows = stored(pieces(docs, tokenizer, capacity, end_id), "pieces")
+def pack(
+    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int | None = 0, kept_words: int = KEPT_WORDS
+) -> DataFrame:
+    """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` for every piece.
+
+    ``kept_words``: words whose ids a worker keeps, some 200 bytes each, also while it does other work.
+    """
+    rows = stored(pieces(docs, tokenizer, capacity, end_id, kept_words), "pieces")
     counts = rows.groupBy("length", "task").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select(

@@ -185,7 +185,7 @@ def compare_edits(docs: DataFrame) -> DataFrame:
         held = None  # the last row of the batch before: its next is not known yet
         for batch in steps(batches, "packed", 1 << 20):
             ids, ahead = batch.column("doc_id").to_pylist(), batch.column("ahead").to_pylist()
-            texts = unpacked(batch.column("packed"))
+            texts = [x.decode() for x in unpacked(batch.column("packed"))]
             if True in ahead:
                 end = ahead.index(True) + 1
                 ids, texts, ahead = ids[:end], texts[:end], ahead[:end]

@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from brickrow.llm.common import fold, labelled, steps, texts_of
 
 PASSAGE = 64
+#: Text that one step describes, in bytes: descriptions take some tens of bytes for each of them.
+STEP = 1 << 20
 PER_CLASS = 1500
 FIT_PASSAGES = 32
 HIDDEN, GATE = 16, 8
@@ -196,7 +198,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", per_class:
     rows, class_weight = labelled(docs, labels, column, per_class)
 
     def describe(batches):
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", STEP):
             x, text = passages(texts_of(batch.column("text")))
             out = []
             for i in range(batch.num_rows):
@@ -226,7 +228,7 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, held_out, score, predicted``, and ``passage``, the one that weighs most."""
 
     def run(batches):
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", STEP):
             score, passage = model.score(texts_of(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(score.astype(float)), pa.array(passage.astype(np.int64))],

@@ -47,6 +47,8 @@ _ASSIGN = re.compile(
     "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"
     "|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 )
+#: Text that one step scans, in bytes.
+STEP = 2 << 20
 _WORDS = ("password", "passwd", "secret", "token", "api")
 _ACCESS = re.compile("AKIA[A-Z0-9]+")
 _HEX = re.compile("[0-9a-f]{24,}")  # a run of hexadecimal digits is one match, whatever its length
@@ -328,7 +330,7 @@ def scan(docs: DataFrame, field: Field) -> DataFrame:
 
     def run(batches):
         span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", STEP):
             spans = [
                 [{"kind": KINDS[k], "start": a, "end": b} for k, a, b, _ in row]
                 for row in found(texts_of(batch.column("text")), field)
@@ -347,7 +349,7 @@ def redact(docs: DataFrame, field: Field, mark: str = "[SECRET]") -> DataFrame:
 
     def run(batches):
         at = schema.names.index("text")
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", STEP):
             out = []
             values = batch.column(at).to_pylist()
             for text, spans in zip(values, found([v or "" for v in values], field)):

@@ -27,31 +27,33 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brickrow.llm.common import in_order, steps, unpacked
-from brickrow.llm.encoding import encoder
+from brickrow.llm.encoding import STEP, encoder
 
 #: Tokens after which a shard is closed; a longer document is a shard of its own.
 SHARD_TOKENS = 1 << 18
 BLOCK = 512
+#: Chunk widths to choose from: those that fill bytes evenly.
+WIDTHS = (1, 2, 4, 8, 16)
+LEVEL = 0.5
 
 SHARDS = "part int, seq int, first long, n_tokens long, doc_ids array<bigint>, lengths array<bigint>, codes binary"
 
 
 def widths(ids: np.ndarray) -> list[int]:
-    """Chunk widths, lowest first, with the fewest bits in all, by dynamic programming over bit lengths."""
+    """Chunk widths, lowest first, of least cost, by dynamic programming over bit lengths.
+
+    An id costs its chunk, its mark, and ``LEVEL`` bits for the time that a further level takes.
+    """
     if not len(ids):
         return [1]
-    bits = np.ones(len(ids), np.int64)
-    for b in range(1, 32):
-        bits += ids >= (1 << b)
+    bits = np.maximum(np.frexp(ids.astype(float))[1], 1)
     top = int(bits.max())
-    over = [int((bits > b).sum()) for b in range(top + 1)]  # ids that have more than b bits
+    over = len(ids) - np.cumsum(np.bincount(bits, minlength=top + 1))  # ids that have more than b bits
     over[0] = len(ids)
-    best: list[tuple[int, list[int]]] = [(0, [])] * (top + 1)
+    best: list[tuple[float, list[int]]] = [(0, [])] * (top + 1)
     for a in range(top - 1, -1, -1):
-        best[a] = min(
-            ((over[a] * (b - a + 1) + best[b][0], [b - a, *best[b][1]]) for b in range(a + 1, top + 1)),
-            key=lambda x: (x[0], len(x[1])),
-        )
+        rest = [(w, best[min(a + w, top)]) for w in WIDTHS]
+        best[a] = min(((int(over[a]) * (w + 1 + LEVEL) + cost, [w, *plan]) for w, (cost, plan) in rest), key=lambda x: (x[0], len(x[1])))
     return best[0][1]
 
 
@@ -60,16 +62,26 @@ def _pad(data: bytes) -> bytes:
 
 
 def _pack(values: np.ndarray, width: int) -> bytes:
-    bits = (values[:, None] >> np.arange(width, dtype=np.uint32)) & 1
-    return np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes()
+    if width >= 8:
+        return values.astype(f"<u{width // 8}").tobytes()
+    each = 8 // width
+    parts = np.zeros((-(-len(values) // each) * each), np.uint8)
+    parts[: len(values)] = values
+    out = parts[::each].copy()
+    for k in range(1, each):
+        out |= parts[k::each] << np.uint8(k * width)
+    return out.tobytes()
 
 
 def _unpack(data: bytes, width: int, count: int) -> np.ndarray:
-    bits = np.unpackbits(np.frombuffer(data, np.uint8), count=width * count, bitorder="little").reshape(count, width)
-    out = np.zeros(count, np.uint32)
-    for k in range(width):
-        out |= bits[:, k].astype(np.uint32) << np.uint32(k)
-    return out
+    if width >= 8:
+        return np.frombuffer(data, f"<u{width // 8}", count).astype(np.uint32)
+    each = 8 // width
+    packed = np.frombuffer(data, np.uint8)
+    out = np.empty(len(packed) * each, np.uint8)
+    for k in range(each):
+        out[k::each] = (packed >> np.uint8(k * width)) & np.uint8((1 << width) - 1)
+    return out[:count].astype(np.uint32)
 
 
 def build(ids: np.ndarray) -> bytes:
@@ -155,7 +167,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 0) ->
                 names=["part", "seq", "first", "n_tokens", "doc_ids", "lengths", "codes"],
             )
 
-        for batch in steps(batches, "packed", 1 << 20):
+        for batch in steps(batches, "packed", STEP // 2):  # of compressed texts
             part = batch.column("part")[0].as_py()
             for doc_id, data in zip(batch.column("doc_id").to_pylist(), words.encode(unpacked(batch.column("packed")))):
                 ids.append(doc_id)

@@ -21,16 +21,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the toxicity model does not reject."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
 
-    def accept(texts: list[str]) -> np.ndarray:
-        return np.array([score < toxicity.THRESHOLD for score, _ in model.score(texts, {})], bool)
+    def start():
+        known: dict = {}
+        return lambda texts: np.array([score < toxicity.THRESHOLD for score, _ in model.score(texts, known)], bool)
 
-    return keep_rows(docs, accept)
+    return keep_rows(docs, start)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality model does not reject."""
     model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
-    return keep_rows(docs, lambda texts: model.score(texts)[0] >= quality_classifier.THRESHOLD)
+    accept = lambda texts: model.score(texts)[0] >= quality_classifier.THRESHOLD
+    return keep_rows(docs, lambda: accept, quality_classifier.STEP)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +49,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their places in sequences of 2048 tokens."""
-    return packing.pack(docs, TOKENIZER)
+    # Workers share an executor's memory with the other stages, so they keep fewer words.
+    return packing.pack(docs, TOKENIZER, kept_words=200_000)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
