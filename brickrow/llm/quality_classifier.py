@@ -80,12 +80,14 @@ def passages(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     at = first[owner] + nth // PASSAGE  # passage of each word
     n = np.bincount(at, minlength=len(x)).astype(np.float32)
     n1 = np.maximum(n, 1)
-    # Bytes from a word's beginning up to the next word's belong to its passage.
+    # A passage has the bytes from its first word up to the next passage's, or to the end of its text.
     opens = np.flatnonzero(nth % PASSAGE == 0)
-    span = np.append(start[opens], base[-1])
+    begin = start[opens]
+    span = np.minimum(np.append(begin[1:], base[-1]), base[owner[opens] + 1] - 1) - begin
     groups = len(_GROUPS) + 1
-    of_byte = np.repeat(at[opens], np.diff(span))
-    chars = np.bincount(of_byte * groups + _GROUP[joined[span[0] :]], minlength=len(x) * groups).reshape(-1, groups)
+    byte = np.arange(int(span.sum())) + np.repeat(begin - (np.cumsum(span) - span), span)
+    of_byte = np.repeat(at[opens], span)
+    chars = np.bincount(of_byte * groups + _GROUP[joined[byte]], minlength=len(x) * groups).reshape(-1, groups)
     x[:, :groups] = np.sqrt(chars / np.maximum(chars.sum(1, keepdims=True), 1))
     size = (end - start).astype(np.float32)
     mean = np.bincount(at, size, len(x)) / n1
