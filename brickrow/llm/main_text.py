@@ -79,14 +79,14 @@ PLACES: dict[str, tuple[str, str]] = {
 _ELEMENT = {e: 1 << i for i, (elements, _) in enumerate(PLACES.values()) for e in elements.split()}
 _NAME = {w: 1 << i for i, (_, words) in enumerate(PLACES.values()) for w in words.split()}
 _ARTICLE, _MAIN, _HEADER = (1 << list(PLACES).index(x) for x in ("article", "main", "header"))
-_GOOD = _ARTICLE | _MAIN
+_GOOD = _ARTICLE | _MAIN  # places of content
 _BAD = (1 << len(PLACES)) - 1 & ~_GOOD
 
 #: Mean of each weight before any page is seen; then the features of the text itself.
 PRIOR = {
     "article": 3.0, "main": 1.5, "nav": -6.0, "header": -4.0, "footer": -6.0, "aside": -6.0, "advert": -7.0, "notice": -6.0,
     "form": -6.0, "comments": -7.0, "social": -4.0, "length": 0.4, "links": -2.5, "sentences": 0.5, "heading": 0.5, "item": -0.3,
-    "bias": -0.5,
+    "bias": 0.3,
 }
 #: How firmly a weight is held to its mean.
 HOLD = 20.0
@@ -114,7 +114,7 @@ def _places(tag: str, attributes: str, above: int) -> int:
             elif name in ("class", "id", "role"):
                 for w in _WORD.findall(value):
                     own |= _NAME.get(w.lower(), 0)
-    if own & _HEADER and above & _ARTICLE:
+    if own & _HEADER and above & _GOOD:
         own &= ~_HEADER  # the head of an article holds its title
     if tag in ("body", "html"):
         own &= _HIDDEN  # words there describe the page as a whole
