@@ -1,0 +1,125 @@
+import itertools
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from brickrow.llm import packing
+from brickrow.llm.queries import TOKENIZER, op6_best_fit_packing
+
+SF = "/root/testdata/sf0.001"
+
+
+def sequences(plan):
+    return sum(n for _, n in plan)
+
+
+def checked(counts, capacity):
+    plan = packing.solve(counts, capacity)
+    got = Counter()
+    for config, times in plan:
+        assert sum(k * a for k, a in config.items()) <= capacity
+        for k, a in config.items():
+            got[k] += a * times
+    assert got == Counter({k: n for k, n in counts.items() if n})
+    return sequences(plan)
+
+
+def fewest(items, capacity):
+    """Least number of sequences, by trying all ways to put items into open ones."""
+    best = len(items)
+
+    def put(i, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if i == len(items):
+            best = len(rooms)
+            return
+        for room in sorted(set(rooms)):
+            if room >= items[i]:
+                rest = list(rooms)
+                rest.remove(room)
+                put(i + 1, [*rest, room - items[i]])
+        put(i + 1, [*rooms, capacity - items[i]])
+
+    put(0, [])
+    return best
+
+
+def test_small_cases_are_near_the_optimum():
+    r = np.random.default_rng(3)
+    for _ in range(40):
+        items = sorted(r.integers(1, 13, r.integers(1, 9)).tolist(), reverse=True)
+        n = checked(dict(Counter(items)), 12)
+        assert fewest(items, 12) <= n <= fewest(items, 12) + 1
+
+
+def test_large_histograms_are_near_the_bound():
+    r = np.random.default_rng(0)
+    lengths = np.clip(np.exp(r.normal(6.3, 1, 20000)).astype(int), 1, 2048)
+    counts = dict(Counter(lengths.tolist()))
+    assert checked(counts, 2048) <= -(-lengths.sum() // 2048) * 1.002
+    # Longest first alone does worse here.
+    wide = dict(Counter(r.integers(500, 1100, 5000).tolist()))
+    assert checked(wide, 2048) < sequences(packing.best_fit(wide, 2048))
+
+
+def test_knapsack_against_all_subsets():
+    r = np.random.default_rng(5)
+    for _ in range(20):
+        values = np.where(r.random(11) < 0.5, r.random(11), 0)
+        best = max(
+            (sum(values[i] for i in c) for k in range(1, 11) for c in itertools.combinations_with_replacement(range(1, 11), k) if sum(c) <= 10),
+            default=0,
+        )
+        got = packing.knapsack(values, 10)
+        assert sum(k * a for k, a in got.items()) <= 10
+        assert sum(values[k] * a for k, a in got.items()) == pytest.approx(best)
+
+
+def assert_packed(rows, texts, capacity=2048):
+    library = Tokenizer.from_file(TOKENIZER)
+    by_sequence, by_doc = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_sequence[r.sequence_id].append((r.offset, r.length))
+        by_doc[r.doc_id].append((r.piece, r.start, r.length, r.ids_crc32))
+    for places in by_sequence.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    expected = defaultdict(list)
+    for doc_id, text in texts:
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 0]
+        first = (len(ids) - 1) % capacity + 1
+        cuts = [0, *range(first, len(ids) + 1, capacity)]
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            expected[doc_id].append((k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())))
+    assert {k: sorted(v) for k, v in by_doc.items()} == {k: sorted(v) for k, v in expected.items()}
+    return len(by_sequence)
+
+
+def test_every_piece_has_a_place(spark):
+    texts = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    rows = op6_best_fit_packing(spark, SF).collect()
+    n = assert_packed(rows, texts)
+    assert n <= -(-sum(r.length for r in rows) // 2048) * 1.02
+
+
+def test_odd_documents(odd_docs):
+    rows = packing.pack(odd_docs, TOKENIZER).collect()
+    assert_packed(rows, [tuple(r) for r in odd_docs.select("doc_id", "text").collect()])
+
+
+def test_documents_without_ids(odd_docs):
+    rows = packing.pack(odd_docs, TOKENIZER, end_id=None).collect()
+    assert sum(r.length == 0 for r in rows) == odd_docs.where("coalesce(text, '') = ''").count()
+    assert all(r.offset == 0 for r in rows if r.length == 0)
+
+
+def test_no_documents(no_docs):
+    assert packing.pack(no_docs, TOKENIZER).collect() == []
