@@ -28,6 +28,7 @@ known ``doc_id`` in it. An empty table gives no rows. Only ``doc_id`` and ``text
 from __future__ import annotations
 
 import hashlib
+from collections import deque
 
 import numpy as np
 import pyarrow as pa
@@ -250,10 +251,11 @@ def probes(entries_: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def members(entries_: DataFrame, records: DataFrame, probed: DataFrame) -> DataFrame:
-    """``bucket, part, parts, node, n, probe, block`` of everything in the buckets that are probed.
+    """``bucket, part, parts, node, n, probe, block, degree`` of everything in the buckets that are probed.
 
     ``part`` cuts a bucket into pieces of about ``PIECE`` members. ``block`` groups records that are
     often in one bucket: by the least member of their buckets, in pieces of about ``TOGETHER``.
+    ``degree`` counts a record's buckets: of near copies, the one that differs least from the others has most.
     """
     inside = entries_.select("bucket", "rec").join(probed.select("bucket").distinct(), "bucket", "left_semi")
     known = inside.join(records.select("rec", "node", "n"), "rec").select("bucket", "node", "n").distinct()
@@ -263,59 +265,67 @@ def members(entries_: DataFrame, records: DataFrame, probed: DataFrame) -> DataF
         F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("least"), F.ceil(F.count("*") / PIECE).alias("parts")
     )
     both = rows.join(least, "bucket")
-    lead = both.groupBy("node").agg(F.min("least").alias("lead")).select("node", F.col("lead.node").alias("lead"))
+    lead = both.groupBy("node").agg(F.min("least").alias("lead"), F.count("*").alias("degree"))
+    lead = lead.select("node", F.col("lead.node").alias("lead"), "degree")
     sizes = lead.groupBy("lead").agg(F.ceil(F.count("*") / TOGETHER).alias("blocks"))
     block = F.xxhash64("lead", F.pmod(F.xxhash64("node"), F.col("blocks"))).alias("block")
     part = F.pmod(F.xxhash64(F.lit(1), "node"), F.col("parts")).alias("part")
-    return both.join(lead.join(sizes, "lead").select("node", block), "node").select(
-        "bucket", part, "parts", "node", "n", "probe", "block"
+    return both.join(lead.join(sizes, "lead").select("node", block, "degree"), "node").select(
+        "bucket", part, "parts", "node", "n", "probe", "block", "degree"
     )
 
 
 def candidates(rows: DataFrame, every: bool) -> DataFrame:
     """``x``, list of ``y`` and list of their blocks, for probing records and pieces of buckets: what may be linked.
 
-    ``rows``: as ``members``, and ``root``. ``every``: all members of another component; else, one member
-    of the piece, the same for all its probing records within reach. A piece is read in the order of
-    sizes, and only members within reach of the next size are held.
+    ``rows``: as ``members``, and ``root``. ``every``: all members of another component that are not larger;
+    a piece is read in the order of sizes, and only members within reach of the next size are held.
+    Else one member of the piece within reach, the one that is in most buckets.
     """
     columns = ["bucket", "part", "n", "node", "block", "root", "ask"]
     if every:
         held = rows.withColumn("ask", F.lit(False))
         each = rows.where("probe").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
         rows = held.select(columns).unionByName(each.withColumn("ask", F.lit(True)).select(columns))
+        order = ["n", "node", "ask"]
     else:
-        rows = rows.withColumn("ask", F.col("probe")).select(columns)
+        rows = rows.withColumn("ask", F.col("probe")).select(*columns, "degree")
+        order = [F.desc("degree"), F.xxhash64("node"), "node"]
+
+    def all_of_others(piece: list, n: int, node: int, block: int, root: int, ask: bool):
+        if not ask:
+            piece.append((n, node, block, root))
+            return None
+        while piece and 4 * piece[0][0] < 3 * n:
+            piece.popleft()
+        # Members of equal size come in the order of their numbers; the later one asks.
+        return [h for h in piece if h[3] != root and (h[0], h[1]) < (n, node)]
+
+    def one_in_reach(piece: list, n: int, node: int, block: int, root: int, ask: bool):
+        found = next((h for h in piece if 4 * min(h[0], n) >= 3 * max(h[0], n)), None)
+        if found is None:
+            piece.append((n, node, block, root))  # a bucket's sizes differ by a factor under 3: a few at most
+            return None
+        return [found] if ask else None
+
+    answer = all_of_others if every else one_in_reach
 
     def run(batches):
-        names = ["x", "ys", "blocks"]
-        piece, held, first = None, [], 0
+        last, piece = None, deque()
         for batch in batches:
             out = []
             for bucket, part, n, node, block, root, ask in zip(*(c.to_pylist() for c in batch.columns)):
-                if (bucket, part) != piece:
-                    piece, held, first = (bucket, part), [], 0
-                while first < len(held) and 4 * held[first][0] < 3 * n:
-                    first += 1
-                if first > 1000:
-                    held, first = held[first:], 0
-                if every and ask:
-                    # Members of equal size come in the order of their numbers; the later one asks.
-                    some = [h for h in held[first:] if h[3] != root and (h[0], h[1]) < (n, node)]
-                    if some:
-                        out.append((node, [h[1] for h in some], [h[2] for h in some]))
-                    continue
-                if not every and ask and first < len(held):
-                    out.append((node, [held[first][1]], [held[first][2]]))
-                if every or first == len(held):
-                    held.append((n, node, block, root))
+                if (bucket, part) != last:
+                    last, piece = (bucket, part), deque()
+                some = answer(piece, n, node, block, root, ask)
+                if some:
+                    out.append((node, [h[1] for h in some], [h[2] for h in some]))
             if out:
-                x, ys, blocks = zip(*out)
                 kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((x, ys, blocks), kinds)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["x", "ys", "blocks"])
 
     n = shuffle_partitions(rows.sparkSession)
-    dealt = rows.repartition(n, "bucket", "part").sortWithinPartitions("bucket", "part", "n", "node", "ask")
+    dealt = rows.repartition(n, "bucket", "part").sortWithinPartitions("bucket", "part", *order).select(columns)
     return dealt.mapInArrow(run, "x long, ys array<bigint>, blocks array<bigint>")
 
 
@@ -358,23 +368,29 @@ def compared(lists: DataFrame, data: DataFrame, blocks: DataFrame, exact: bool)
     """The rows of ``x, block, ys`` with the members that pass; without any, no row.
 
     ``data``: ``node, n, data`` (sketches, or sets if ``exact``); ``blocks``: ``node, block, root``. A
-    block's members are read first, then the records that are compared with them pass by. Of the exact
-    links of a record to members that are in one component already, one is enough.
+    block's members are read first, then the records that are compared with them pass by. Components that
+    exact links of the same block have joined already are not compared again.
     """
     held = data.join(blocks, "node").select(
         "block", F.lit(0).alias("turn"), F.col("node").alias("x"), "n", "data", "root", F.lit(None).cast("array<bigint>").alias("ys")
     )
-    asking = lists.join(data.withColumnRenamed("node", "x"), "x").select(
-        "block", F.lit(1).alias("turn"), "x", "n", "data", F.lit(None).cast("long").alias("root"), "ys"
+    roots = blocks.select(F.col("node").alias("x"), "root")
+    asking = lists.join(data.withColumnRenamed("node", "x"), "x").join(roots, "x", "left").select(
+        "block", F.lit(1).alias("turn"), "x", "n", "data", F.coalesce("root", "x").alias("root"), "ys"
     )
 
+    def find(joined: dict[int, int], root: int) -> int:
+        while joined.get(root, root) != root:
+            root = joined[root]
+        return root
+
     def run(batches):
-        block, there = None, {}
+        block, there, joined = None, {}, {}
         for batch in batches:
             out = []
             for b, turn, x, n, blob, root, ys in zip(*(c.to_pylist() for c in batch.columns)):
                 if b != block:
-                    block, there = b, {}
+                    block, there, joined = b, {}, {}
                 own = np.frombuffer(blob, np.uint64)
                 if not turn:
                     there[x] = (n, own, root)
@@ -383,10 +399,11 @@ def compared(lists: DataFrame, data: DataFrame, blocks: DataFrame, exact: bool)
                 if not some:
                     continue
                 if exact:
-                    met, kept = set(), []
+                    kept = []
                     for y in some:
-                        if there[y][2] not in met and linked(own, there[y][1]):
-                            met.add(there[y][2])
+                        mine, other = find(joined, root), find(joined, there[y][2])
+                        if mine != other and linked(own, there[y][1]):
+                            joined[mine] = other
                             kept.append(y)
                 else:
                     differ = np.bitwise_count(np.stack([there[y][1] for y in some]) ^ own).sum(1)
