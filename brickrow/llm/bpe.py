@@ -21,6 +21,7 @@ Only ``doc_id`` and ``text`` (``ids``) are read, so further columns make no diff
 from __future__ import annotations
 
 import base64
+import gc
 from collections.abc import Iterable
 
 import duckdb
@@ -39,7 +40,7 @@ LONG = 256
 KEPT = 700_000
 MEMORY = "256MB"
 
-#: One contraction in every word; ``{step}`` is the recursion's body for rows ``t``.
+#: One contraction in every word; ``{step}`` is the recursion's body for rows ``t``. Last rows of each word come out.
 _RECURSION = """
 WITH RECURSIVE t(w, p, tok, nxt, rank, step) AS (
   SELECT s.w, s.p, s.tok, s.nxt, m.id, 0
@@ -47,8 +48,8 @@ WITH RECURSIVE t(w, p, tok, nxt, rank, step) AS (
   UNION ALL
   {step}
 )
-SELECT w, p, tok, nxt, max(rank) OVER (PARTITION BY w) IS NULL AS done
-FROM t QUALIFY step = max(step) OVER (PARTITION BY w)
+SELECT t.w, t.p, t.tok, t.nxt, t.rank
+FROM t JOIN (SELECT w, max(step) AS step FROM t GROUP BY w) last ON t.w = last.w AND t.step = last.step
 """
 
 _LEFTMOST = """
@@ -160,14 +161,15 @@ class Codec:
         out: list[bytes] = [b""] * len(words)
         while rows.num_rows:
             state = self._query(_RECURSION.format(step=body.format(steps=STEPS)), s=rows)
-            finished = state.filter(state["done"])
-            lists = self._query(_IDS, finished=finished)
+            # Words that have a pair left after all steps go on from here.
+            going = pc.is_in(state["w"], pc.unique(state.filter(pc.is_valid(state["rank"]))["w"]))
+            lists = self._query(_IDS, finished=state.filter(pc.invert(going)))
             ids = lists["ids"].combine_chunks()
             offsets = ids.offsets.to_numpy()
             flat = ids.values.to_numpy().astype("<u4")
             for w, a, b in zip(lists["w"].to_pylist(), offsets, offsets[1:]):
                 out[w] = flat[a:b].tobytes()
-            rows = state.filter(pc.invert(state["done"])).select(["w", "p", "tok", "nxt"])
+            rows = state.filter(going).select(["w", "p", "tok", "nxt"])
         return out
 
     def _learn(self, pieces: list[str]) -> None:
@@ -188,6 +190,15 @@ class Codec:
         """Ids of texts, as little-endian unsigned 32-bit bytes."""
         if len(self.known) > KEPT:
             self.known = {}
+        collecting = gc.isenabled()
+        gc.disable()  # nothing here has cycles, and walking the lists of pieces costs time
+        try:
+            return self._encode(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: Iterable[str]) -> list[bytes]:
         split = [self.pattern.findall(t) for t in texts]
         found, new = [], set()
         for pieces in split:
