@@ -56,6 +56,13 @@ def steps(batches: Iterable[pa.RecordBatch], column: str, limit: int = STEP_BYTE
                 yield batch.slice(a, b - a)
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches cut into few rows each, where rows become Python objects that may be long."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """Whole texts; null is the empty text."""
     return [x or "" for x in column.to_pylist()]

@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brickrow.llm.common import shuffle_partitions, steps, stored, texts_of
+from brickrow.llm.common import shuffle_partitions, slices, steps, stored, texts_of
 from brickrow.llm.components import components
 from brickrow.llm.shingles import mix, shingles
 
@@ -125,7 +125,7 @@ def described(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         names = ["doc_id", "n_shingles", "key", "rec", "segs", "twos", "sketch"]
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", 1 << 20):
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch.column("text"))):
                 x = shingles(text)
@@ -312,7 +312,7 @@ def candidates(rows: DataFrame, every: bool) -> DataFrame:
 
     def run(batches):
         last, piece = None, deque()
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for bucket, part, n, node, block, root, ask in zip(*(c.to_pylist() for c in batch.columns)):
                 if (bucket, part) != last:
@@ -341,7 +341,7 @@ def by_block(lists: DataFrame) -> DataFrame:
                 blocks.setdefault(b, []).append(y)
             return [(last, b, sorted(ys)) for b, ys in blocks.items()]
 
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for x, ys, blocks in zip(*(c.to_pylist() for c in batch.columns)):
                 if x != last:
@@ -386,7 +386,7 @@ def compared(lists: DataFrame, data: DataFrame, blocks: DataFrame, exact: bool)
 
     def run(batches):
         block, there, joined = None, {}, {}
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for b, turn, x, n, blob, root, ys in zip(*(c.to_pylist() for c in batch.columns)):
                 if b != block:
@@ -464,7 +464,7 @@ def sets_of(docs: DataFrame, records: DataFrame, wanted: DataFrame) -> DataFrame
     def run(batches):
         seen: set[bytes] = set()
         for batch in batches:
-            for part in steps([batch.filter(near.hit(batch))], "text"):
+            for part in steps([batch.filter(near.hit(batch))], "text", 1 << 20):
                 rows = []
                 for text in texts_of(part.column("text")):
                     x = shingles(text)
@@ -549,7 +549,7 @@ def representatives(docs: DataFrame) -> DataFrame:
 
     def asked(batches):
         for batch in batches:
-            for part in steps([batch.filter(doubtful.hit(batch))], names[place]):
+            for part in steps([batch.filter(doubtful.hit(batch))], names[place], 1 << 20):
                 sets = [shingles(t) for t in texts_of(part.column(place))]
                 keys = pa.array([key_of(x) if len(x) else None for x in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.select(names).columns, keys], names=[*names, "key"])

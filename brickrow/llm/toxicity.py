@@ -43,8 +43,10 @@ BLOCK = 64
 THRESHOLD = 0.5
 #: Votes that the rate of the empty neighbourhood has in every share.
 PRIOR_VOTES = 0.5
+#: Text that one step scores, in bytes.
+STEP = 1 << 20
 #: Distinct words whose terms a worker keeps.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -245,7 +247,7 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         known: dict = {}
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", STEP):
             scored = model.score(texts_of(batch.column("text")), known)
             yield pa.RecordBatch.from_arrays(
                 [

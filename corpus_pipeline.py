@@ -9,12 +9,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brickrow.llm import jaccard_join, packing, quality_classifier, secret_scan, toxicity
 from brickrow.llm.common import keep_rows, shared_path, table
-from brickrow.llm.queries import TOKENIZER
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +27,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         known: dict = {}
         return lambda texts: np.array([score < toxicity.THRESHOLD for score, _ in model.score(texts, known)], bool)
 
-    return keep_rows(docs, start)
+    return keep_rows(docs, start, toxicity.STEP)
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
