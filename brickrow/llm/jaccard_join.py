@@ -46,6 +46,8 @@ SHARE = 7
 SMALL = 32
 #: Places of the parity sketch.
 BITS = 1024
+#: Elements of the smallest sets that others can be linked with: 3 of 4. Smaller sets only equal ones match.
+LEAST = 3
 #: Members of a bucket that are counted; more cost the same.
 COUNTED = 1 << 16
 #: Members of a piece of a bucket.
@@ -89,7 +91,7 @@ def named(total: np.ndarray, segment: np.ndarray, band: int) -> np.ndarray:
 
 
 def signatures(x: np.ndarray) -> np.ndarray:
-    """All index entries of a set of at least 4 elements."""
+    """All index entries of a set of at least ``LEAST`` elements."""
     n, own = len(x), len(x).bit_length() - 1
     out = []
     for band in (own, own + 1):
@@ -131,12 +133,12 @@ def described(docs: DataFrame) -> DataFrame:
                 x = shingles(text)
                 n = len(x)
                 segs = twos = 0
-                if n >= 4:
+                if n >= LEAST:
                     _, _, _, size = cut(x, n.bit_length() - 1)
                     segs, twos = len(size), int((size > 1).sum()) if n < SMALL else 0
                 key = key_of(x) if n else None
                 rec = _number(key) if n else None
-                rows.append((doc_id, n, key, rec, segs, twos, sketch(x) if n >= 4 else None))
+                rows.append((doc_id, n, key, rec, segs, twos, sketch(x) if n >= LEAST else None))
             kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
@@ -156,7 +158,7 @@ def entries(docs: DataFrame) -> DataFrame:
             sigs, recs = [], []
             for text in texts_of(batch.column("text")):
                 x = shingles(text)
-                if len(x) < 4:
+                if len(x) < LEAST:
                     continue  # these are linked only with equal sets
                 rec = _number(key_of(x))
                 if rec not in seen:
@@ -468,7 +470,7 @@ def sets_of(docs: DataFrame, records: DataFrame, wanted: DataFrame) -> DataFrame
                 rows = []
                 for text in texts_of(part.column("text")):
                     x = shingles(text)
-                    if len(x) >= 4 and (key := key_of(x)) not in seen:
+                    if len(x) >= LEAST and (key := key_of(x)) not in seen:
                         seen.add(key)
                         rows.append((key, len(x), x.tobytes()))
                 if rows:
@@ -509,10 +511,10 @@ def named_in(lists: DataFrame) -> DataFrame:
 def lacking(records: DataFrame) -> DataFrame:
     """Candidate lists of records that have too few segments, also with one-deletion neighbours: all of a size in reach."""
     need = F.floor(2 * F.col("n") / SHARE) + 1
-    short = records.where((F.col("n") >= 4) & (F.col("segs") + F.col("twos") < need))
+    short = records.where((F.col("n") >= LEAST) & (F.col("segs") + F.col("twos") < need))
     reach = F.sequence(F.ceil(0.75 * F.col("n")).cast("long"), F.col("n"))
     sizes = short.select(F.col("node").alias("x"), F.explode(reach).alias("n"))
-    pairs = sizes.join(records.where("n >= 4").select(F.col("node").alias("y"), "n"), "n").where("x != y")
+    pairs = sizes.join(records.where(F.col("n") >= LEAST).select(F.col("node").alias("y"), "n"), "n").where("x != y")
     return pairs.select("x", F.array("y").alias("ys"), F.array(F.xxhash64("y")).alias("blocks"))
 
 

@@ -76,6 +76,13 @@ def test_near_copies_of_all_sizes_equal_brute_force(spark, seed, sizes, edits, v
     assert got(spark, rows) == brute(rows)
 
 
+def test_three_shingles_against_four(spark):
+    rows = [(1, "a b c d e f g"), (2, "a b c d e f g h"), (3, "0 a b c d e f g"), (4, "p q r s t u v"), (5, "p q r s t u"), (6, "p q r s t u w")]
+    found = got(spark, rows)
+    assert found == brute(rows)
+    assert [c for _, _, c in found] == [1, 1, 1, 4, 5, 6]
+
+
 def test_a_hot_group_and_a_common_line(spark):
     """Many near copies around the threshold, a line that a third of the texts share, exact copies."""
     r = random.Random(9)
