@@ -1,17 +1,19 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 Terms are a document's words (lower case, letters only) and their first four to six letters. The
-vocabulary has the terms whose document frequencies over the examples differ between the two labels
-by ``SURE`` (chi-square) and by a factor of ``LIFT`` (rates), at most the ``TERMS`` surest. Examples are held in an inverted index cut into blocks of
-``BLOCK`` examples; for every term and block it knows the greatest weight. A query adds up these
-maxima to a bound for each block, scores the blocks exactly from the greatest bound down, and stops
-when no block can beat its ``NEAREST``-th best cosine, so the neighbours are exact.
-
-Neighbours vote for their label with weight cosine squared (times the class weight, as the sample is
-balanced by label). The share of toxic votes is turned into a probability by isotonic regression over
-the examples' own shares, each found without itself. A text with no term of the vocabulary is near no
-example and gets the rate of toxic documents among the examples that are like it. The neighbours' ids
-are returned as evidence.
+vocabulary has all terms of the examples, with document frequencies over all documents. Examples are held
+in an inverted index by term; a query adds up the postings of all its terms, so the neighbours are exact.
+
+A second index has the same vectors cut to a lexicon: terms whose document frequencies over the examples
+differ between the two labels by ``SURE`` (chi-square) and by a factor of ``LIFT`` (rates), at most the
+``TERMS`` surest. It finds a few telling words in a long text. A lexicon may be empty; the first
+index needs none.
+
+The neighbours in both vote for their label with weight cosine squared (times the class weight, as the
+sample is balanced by label). The share of toxic votes is turned into a probability by isotonic regression
+over the examples' own shares, each found without itself. A text with no term of the vocabulary is near no
+example and gets the rate of toxic documents among the examples that are like it. The ids of the
+neighbours over all terms are returned as evidence.
 
 The index has at most ``PER_CLASS`` examples of each label, learned only from rows outside fold 0;
 every document is scored over its whole text.
@@ -26,6 +28,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +42,6 @@ TERMS = 3000
 SURE = 30.0
 LIFT = 6.0
 NEAREST = 15
-BLOCK = 64
 THRESHOLD = 0.5
 #: Votes that the rate of the empty neighbourhood has in every share.
 PRIOR_VOTES = 0.5
@@ -60,70 +62,66 @@ def terms_of(word: str) -> list[str]:
     return out
 
 
-def counted(text: str, known: dict[str, list[int]], vocabulary: dict[str, int]) -> Counter:
-    """How often each term of the vocabulary (by number) occurs in a text. ``known`` keeps words' terms."""
-    found: Counter = Counter()
-    for word in text.split():
+def numbers_of(words: list[str], known: dict[str, tuple], vocabulary: dict[str, int]) -> list[tuple]:
+    """Numbers of each word's terms in the vocabulary. ``known`` keeps them."""
+    out = []
+    for word in words:
         numbers = known.get(word)
         if numbers is None:
             if len(known) >= KEPT_WORDS:
                 known.clear()
-            numbers = known[word] = [vocabulary[t] for t in terms_of(word) if t in vocabulary]
-        if numbers:
-            found.update(numbers)
-    return found
+            numbers = known[word] = tuple(vocabulary[t] for t in terms_of(word) if t in vocabulary)
+        out.append(numbers)
+    return out
+
+
+def counted(text: str, known: dict[str, tuple], vocabulary: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the terms of the vocabulary in a text, ascending, and how often each occurs."""
+    words = Counter(text.split())
+    numbers = numbers_of(list(words), known, vocabulary)
+    times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), np.fromiter(map(len, numbers), np.int64, len(words)))
+    t, at = np.unique(np.fromiter(chain.from_iterable(numbers), np.int64, len(times)), return_inverse=True)
+    return t, np.bincount(at, times, len(t)).astype(np.int64)
 
 
-def weighed(counts: Counter, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Term numbers in order, and their weights as a vector of length 1."""
-    t = np.array(sorted(counts), np.int64)
-    w = (1 + np.log(np.array([counts[int(k)] for k in t], float))) * idf[t]
-    return t, w / np.sqrt((w * w).sum()) if len(t) else w
+def unit(w: np.ndarray) -> np.ndarray:
+    return w / np.sqrt((w * w).sum()) if len(w) else w
+
+
+def weighed(t: np.ndarray, times: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Term numbers, and their weights as a vector of length 1."""
+    return t, unit((1 + np.log(times)) * idf[t])
 
 
 class Index:
-    """Postings of the examples by block and term, and the greatest weight of every term in every block."""
+    """Postings of the examples by term."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int):
         self.size, self.terms = len(vectors), terms
-        self.blocks = -(-self.size // BLOCK)
-        self.most = np.zeros((terms, self.blocks), np.float32)
-        lists: dict[tuple[int, int], list] = {}
-        for i, (t, w) in enumerate(vectors):
-            for term, weight in zip(t.tolist(), w.tolist()):
-                lists.setdefault((i // BLOCK, term), []).append((i % BLOCK, weight))
-        self.lists = {}
-        for (b, term), rows in lists.items():
-            at, w = zip(*rows)
-            self.lists[b, term] = (np.array(at), np.array(w))
-            # Rounded up, so that a bound is never too small.
-            self.most[term, b] = np.nextafter(np.float32(max(w)), np.float32(2))
+        term = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in vectors)])
+        order = np.argsort(term, kind="stable")
+        self.ids = np.repeat(np.arange(self.size), [len(t) for t, _ in vectors])[order]
+        self.weights = np.concatenate([np.zeros(0), *(w for _, w in vectors)])[order]
+        self.start = np.searchsorted(term[order], np.arange(terms + 1))
 
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the ``k`` nearest examples with a cosine over 0, nearest first."""
         if not len(t) or not self.size:
             return np.zeros(0, np.int64), np.zeros(0)
-        bounds = w @ self.most[t] + 1e-6
-        ids, scores, worst = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 2e-6 or (len(ids) >= k and bounds[b] < worst):
-                break
-            total = np.zeros(BLOCK)
-            for term, weight in zip(t.tolist(), w.tolist()):
-                rows = self.lists.get((int(b), term))
-                if rows is not None:
-                    total[rows[0]] += weight * rows[1]
-            hit = np.flatnonzero(total > 0)
-            hit = hit[hit + b * BLOCK != without]
-            ids, scores = np.concatenate([ids, hit + b * BLOCK]), np.concatenate([scores, total[hit]])
-            if len(ids) > k:
-                # Cosines that differ by rounding only are ties.
-                order = np.lexsort((ids, -scores.round(9)))[:k]
-                ids, scores = ids[order], scores[order]
-            if len(ids) >= k:
-                worst = float(scores.min())
-        order = np.lexsort((ids, -scores.round(9)))
-        return ids[order], scores[order]
+        a, b = self.start[t], self.start[t + 1]
+        rows = [slice(i, j) for i, j in zip(a.tolist(), b.tolist())]
+        ids = np.concatenate([self.ids[r] for r in rows])
+        total = np.bincount(ids, np.concatenate([self.weights[r] for r in rows]) * np.repeat(w, b - a), self.size)
+        if without >= 0:
+            total[without] = 0
+        # Cosines that differ by rounding only are ties.
+        hit = np.flatnonzero(total > 0)
+        near = total[hit].round(9)
+        if len(hit) > k:
+            some = near >= np.partition(near, len(hit) - k)[len(hit) - k]
+            hit, near = hit[some], near[some]
+        hit = hit[np.lexsort((hit, -near))[:k]]
+        return hit, total[hit]
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -150,6 +148,9 @@ class Model:
     vocabulary: dict[str, int]
     idf: np.ndarray
     index: Index
+    #: Which terms are in the lexicon, and the examples' vectors cut to it.
+    lexicon: np.ndarray
+    told: Index
     ids: np.ndarray
     labels: np.ndarray
     weights: np.ndarray
@@ -157,27 +158,50 @@ class Model:
     places: np.ndarray
     values: np.ndarray
 
-    def share(self, ids: np.ndarray, cosines: np.ndarray) -> float:
-        """Weighted share of toxic votes; the rate of texts without terms has some votes too."""
-        vote = cosines**2 * self.weights[ids]
-        return float(((vote * self.labels[ids]).sum() + PRIOR_VOTES * self.rate) / (vote.sum() + PRIOR_VOTES))
+    def share(self, t: np.ndarray, w: np.ndarray, without: int = -1) -> tuple[float, np.ndarray]:
+        """Weighted share of toxic votes, where the rate of texts without terms has some too; the nearest over all terms."""
+        ids, cosines = self.index.nearest(t, w, NEAREST, without)
+        some = self.lexicon[t]
+        more, telling = self.told.nearest(t[some], unit(w[some]), NEAREST, without)
+        both = np.concatenate([ids, more])
+        vote = np.concatenate([cosines, telling]) ** 2 * self.weights[both]
+        return float(((vote * self.labels[both]).sum() + PRIOR_VOTES * self.rate) / (vote.sum() + PRIOR_VOTES)), ids
 
     def score(self, texts: list[str], known: dict) -> list[tuple[float, list[int]]]:
         out, seen = [], {}
         for text in texts:
-            counts = counted(text, known, self.vocabulary)
-            key = tuple(sorted(counts.items()))
-            if key not in seen:
-                if key:
-                    ids, cosines = self.index.nearest(*weighed(counts, self.idf), NEAREST)
-                    value = float(np.interp(self.share(ids, cosines), self.places, self.values))
-                    seen[key] = (value, self.ids[ids].tolist())
+            if text not in seen:
+                t, times = counted(text, known, self.vocabulary)
+                if len(t):
+                    share, ids = self.share(*weighed(t, times, self.idf))
+                    seen[text] = (float(np.interp(share, self.places, self.values)), self.ids[ids].tolist())
                 else:
-                    seen[key] = (self.rate, [])
-            out.append(seen[key])
+                    seen[text] = (self.rate, [])
+            out.append(seen[text])
         return out
 
 
+def frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[int, np.ndarray]:
+    """Number of documents, and of those with each term of the vocabulary."""
+    given = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def run(batches):
+        known: dict = {}
+        n, found = 0, np.zeros(len(given.value), np.int64)
+        for batch in steps(batches, "text", STEP):
+            for text in texts_of(batch.column("text")):
+                n += 1
+                numbers = set(chain.from_iterable(numbers_of(list(set(text.split())), known, given.value)))
+                found[np.fromiter(numbers, np.int64, len(numbers))] += 1
+        some = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(found[some], n))], names=["term", "n"])
+
+    total = docs.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(len(vocabulary) + 1, np.int64)
+    out[total["term"].to_numpy()] = total["n"].to_numpy()
+    return int(out[-1]), out[:-1]
+
+
 def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", per_class: int = PER_CLASS) -> Model:
     """Vocabulary, index and calibration from at most ``2 * per_class`` examples."""
     rows, class_weight = labelled(docs, labels, column, per_class)
@@ -196,59 +220,63 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", per_class: in
     totals = {r.label: r.n for r in examples.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     n = n1 + n0
-    none = Index([], 0)
+    none, nothing = Index([], 0), np.zeros(0)
     if not n1 or not n0:
         rate = (n1 + 0.5) / (n + 1) if n else 0.0
-        return Model({}, np.zeros(0), none, np.zeros(0, np.int64), np.zeros(0), np.zeros(0), rate, np.zeros(1), np.zeros(1))
+        return Model({}, nothing, none, np.zeros(0, bool), none, np.zeros(0, np.int64), nothing, nothing, rate, np.zeros(1), np.zeros(1))
     a, b = F.sum("label"), F.sum(1 - F.col("label"))
     frequency = examples.mapInArrow(words, "term string, label int").groupBy("term").agg(a.alias("a"), b.alias("b"))
-    both = F.col("a") + F.col("b")
-    lead = F.col("a") * n0 - F.col("b") * n1
-    chi = n * lead * lead / (both * (n - both + 1) * float(n1 * n0))
-    rate1, rate0 = (F.col("a") + 0.5) / (n1 + 1), (F.col("b") + 0.5) / (n0 + 1)
-    apart = (chi >= SURE) & ((rate1 >= LIFT * rate0) | (rate0 >= LIFT * rate1))
-    top = frequency.where(apart).orderBy(chi.desc(), "term").limit(TERMS).collect()
-    vocabulary = {r.term: i for i, r in enumerate(top)}
-    idf = np.log((1 + n) / (1 + np.array([r.a + r.b for r in top], float))) + 1 if top else np.zeros(0)
+    # As many rows as the examples have terms.
+    found = frequency.toArrow().sort_by("term")
+    a, b = (found[c].to_numpy().astype(float) for c in "ab")
+    lead = a * n0 - b * n1
+    chi = n * lead * lead / ((a + b) * (n - (a + b) + 1) * float(n1 * n0))
+    rate1, rate0 = (a + 0.5) / (n1 + 1), (b + 0.5) / (n0 + 1)
+    apart = np.flatnonzero((chi >= SURE) & ((rate1 >= LIFT * rate0) | (rate0 >= LIFT * rate1)))
+    lexicon = np.zeros(len(chi), bool)
+    lexicon[apart[np.argsort(-chi[apart], kind="stable")[:TERMS]]] = True
+    vocabulary = {t: i for i, t in enumerate(found["term"].to_pylist())}
+    count, with_term = frequencies(docs, vocabulary)
+    idf = np.log((1 + count) / (1 + with_term)) + 1
+    given = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def vectors(batches):
         known: dict = {}
         for batch in steps(batches, "text"):
-            found = [counted(t, known, vocabulary) for t in texts_of(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("label"),
-                    pa.array([sorted(f) for f in found], pa.list_(pa.int32())),
-                    pa.array([[f[t] for t in sorted(f)] for f in found], pa.list_(pa.int32())),
-                ],
-                names=["doc_id", "label", "terms", "times"],
-            )
-
-    held = sorted(examples.mapInArrow(vectors, "doc_id long, label int, terms array<int>, times array<int>").collect())
-    counts = [Counter(dict(zip(r.terms, r.times))) for r in held]
-    y = np.array([r.label for r in held], float)
-    weight = np.array([class_weight[r.label] for r in held])
-    vectors_ = [weighed(c, idf) for c in counts]
-    empty = np.array([not c for c in counts])
+            found = [counted(t, known, given.value) for t in texts_of(batch.column("text"))]
+            kind = pa.list_(pa.int64())
+            terms, times = (pa.array([f[i] for f in found], kind) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), terms, times], names=names)
+
+    names = ["doc_id", "label", "terms", "times"]
+    schema = "doc_id long, label int, terms array<bigint>, times array<bigint>"
+    rows = examples.mapInArrow(vectors, schema).toArrow().combine_chunks()
+    ids, label = (rows[c].to_numpy() for c in ("doc_id", "label"))
+    counts = [tuple(x.values.to_numpy() for x in pair) for pair in zip(rows["terms"], rows["times"])]
+    held = sorted(range(len(ids)), key=lambda i: (ids[i], label[i], *(x.tobytes() for x in counts[i])))
+    y = label[held].astype(float)
+    weight = np.array([class_weight[int(k)] for k in y])
+    vectors_ = [weighed(*counts[i], idf) for i in held]
+    told = [(t[lexicon[t]], unit(w[lexicon[t]])) for t, w in vectors_]
+    empty = np.array([not len(t) for t, _ in vectors_])
     rate = float(((y * weight)[empty].sum() + 0.5 * class_weight[1] * n1 / n) / (weight[empty].sum() + 0.5))
-    model = Model(
-        vocabulary, idf, Index(vectors_, len(idf)), np.array([r.doc_id for r in held], np.int64), y, weight, rate, np.zeros(1), np.zeros(1)
-    )
-    shares = [model.share(*model.index.nearest(t, w, NEAREST, without=i)) for i, (t, w) in enumerate(vectors_)]
+    indexes = Index(vectors_, len(idf)), lexicon, Index(told, len(idf))
+    model = Model(vocabulary, idf, *indexes, ids[held], y, weight, rate, np.zeros(1), np.zeros(1))
+    shares = np.array([model.share(t, w, without=i)[0] for i, (t, w) in enumerate(vectors_)])
     some = ~empty
     if some.any():
-        model.places, model.values = isotonic(np.array(shares)[some], y[some], weight[some])
+        model.places, model.values = isotonic(shares[some], y[some], weight[some])
     return model
 
 
 def classify(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, held_out, score, predicted`` and ``evidence``, the ids of the nearest examples, nearest first."""
+    given = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         known: dict = {}
         for batch in steps(batches, "text", STEP):
-            scored = model.score(texts_of(batch.column("text")), known)
+            scored = given.value.score(texts_of(batch.column("text")), known)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),

@@ -21,11 +21,11 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the toxicity model does not reject."""
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    given = spark.sparkContext.broadcast(toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
     def start():
         known: dict = {}
-        return lambda texts: np.array([score < toxicity.THRESHOLD for score, _ in model.score(texts, known)], bool)
+        return lambda texts: np.array([score < toxicity.THRESHOLD for score, _ in given.value.score(texts, known)], bool)
 
     return keep_rows(docs, start, toxicity.STEP)
 

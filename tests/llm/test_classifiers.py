@@ -39,6 +39,22 @@ def test_toxicity_on_held_out_labels(spark):
     assert any(r.evidence for r in rows if r.predicted)
 
 
+def test_toxicity_of_few_examples_and_copies(spark):
+    """Too few examples for a lexicon: all their terms count, and a copy of an example is like it."""
+    words = [[f"{chr(97 + i)}{chr(97 + j)}{w}" for w in ("qualo", "remis", "tubex", "vondi")] for i in range(5) for j in range(5)]
+    rows = [(i, " ".join(w), int(i % 2)) for i, w in enumerate(words)]
+    rows += [(1000 + i, t + " common words", y) for i, t, y in rows]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert model.vocabulary and not model.lexicon.any()
+    learned = [(i, t, y) for i, t, y in rows if i in set(model.ids.tolist())]
+    for (i, _, y), (score, near) in zip(learned, model.score([t for _, t, _ in learned], {})):
+        assert near[0] == i and (score >= toxicity.THRESHOLD) == bool(y)
+    common = model.vocabulary["common"]
+    assert model.idf[common] == pytest.approx(np.log((1 + 50) / (1 + 25)) + 1)
+
+
 def test_attention_gradient_by_differences():
     """Learning lowers the loss, and the weighted passages explain the score."""
     r = np.random.default_rng(0)
