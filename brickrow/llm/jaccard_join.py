@@ -20,6 +20,9 @@ other components, as lists, one row for each record and block of members. Compar
 steps: parities of the elements' hashes in ``BITS`` places differ in no more places than the sets do,
 which rules out most; the others' sets are compared element by element.
 
+Links between sets of one component are not needed for it, but are counted (``counted``): every record is
+compared with the blocks of all that it shares a probed bucket with, one row for each record and block.
+
 Null and empty texts have no shingle and are linked with nothing. Exact copies are one record and not
 expanded. Rows of an equal or null ``doc_id`` are rows of their own; a component's id is the smallest
 known ``doc_id`` in it. An empty table gives no rows. Only ``doc_id`` and ``text`` are read.
@@ -366,12 +369,13 @@ def _lists(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["x", "block", "ys"])
 
 
-def compared(lists: DataFrame, data: DataFrame, blocks: DataFrame, exact: bool) -> DataFrame:
+def compared(lists: DataFrame, data: DataFrame, blocks: DataFrame, exact: bool, every: bool = False) -> DataFrame:
     """The rows of ``x, block, ys`` with the members that pass; without any, no row.
 
     ``data``: ``node, n, data`` (sketches, or sets if ``exact``); ``blocks``: ``node, block, root``. A
     block's members are read first, then the records that are compared with them pass by. Components that
-    exact links of the same block have joined already are not compared again.
+    exact links of the same block have joined already are not compared again, unless ``every`` link is
+    asked for. Null ``ys`` are all members of the block.
     """
     held = data.join(blocks, "node").select(
         "block", F.lit(0).alias("turn"), F.col("node").alias("x"), "n", "data", "root", F.lit(None).cast("array<bigint>").alias("ys")
@@ -397,10 +401,12 @@ def compared(lists: DataFrame, data: DataFrame, blocks: DataFrame, exact: bool)
                 if not turn:
                     there[x] = (n, own, root)
                     continue
-                some = [y for y in ys if y in there]
+                some = [y for y in ys if y in there] if ys is not None else [y for y in there if y != x]
                 if not some:
                     continue
-                if exact:
+                if exact and every:
+                    kept = [y for y in some if linked(own, there[y][1])]
+                elif exact:
                     kept = []
                     for y in some:
                         mine, other = find(joined, root), find(joined, there[y][2])
@@ -518,12 +524,39 @@ def lacking(records: DataFrame) -> DataFrame:
     return pairs.select("x", F.array("y").alias("ys"), F.array(F.xxhash64("y")).alias("blocks"))
 
 
+def counted(docs: DataFrame, records: DataFrame, inside: DataFrame, short: DataFrame) -> DataFrame:
+    """``node, n_links``: with how many other sets a set is linked; sets without links have no row.
+
+    Of two sets that may be linked each asks for the other's block, so that a link counts once at both.
+    ``inside``: as ``members``; ``short``: as ``lacking``.
+    """
+    own = inside.select("node", "block").distinct()
+    blocks = records.select("node").join(own, "node", "left").withColumn("block", F.coalesce("block", F.xxhash64("node")))
+    blocks = stored(blocks.withColumn("root", F.col("node")), "counted-blocks")
+    there = inside.select("bucket", "block").distinct()
+    probing = inside.where("probe").select("bucket", "block").distinct()
+    asks = inside.where("probe").select("bucket", "node").join(there, "bucket")
+    asks = asks.unionByName(inside.where(~F.col("probe")).select("bucket", "node").join(probing, "bucket")).select("node", "block")
+    pairs = short.select("x", F.explode("ys").alias("y"))
+    for x, y in (("x", "y"), ("y", "x")):
+        ends = pairs.select(F.col(x).alias("asking"), F.col(y).alias("node"))
+        asks = asks.unionByName(ends.join(blocks, "node").select(F.col("asking").alias("node"), "block"))
+    lists = asks.distinct().select(F.col("node").alias("x"), "block", F.lit(None).cast("array<bigint>").alias("ys"))
+    lists = stored(lists, "counted-asks")
+    used = blocks.join(lists.select("block").distinct(), "block", "left_semi").select("node", "block", "root")
+    sketches = records.where(F.col("n") >= LEAST).select("node", "n", F.col("sketch").alias("data"))
+    near = stored(compared(lists, sketches, used, False), "counted-near")
+    sets = stored(sets_of(docs, records, stored(named_in(near).distinct(), "counted-ends")), "counted-sets")
+    found = compared(near, sets, used, True, every=True)
+    return stored(found.groupBy(F.col("x").alias("node")).agg(F.sum(F.size("ys")).alias("n_links")), "counted")
+
+
 def classes(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, n_links`` of every row of ``docs``.
 
-    ``n_links`` counts the links found at the row's set: enough to hold its component together, not all.
+    ``n_links`` counts the other sets that the row's set is linked with, all of them.
     """
-    return placed(docs).select("doc_id", "n_shingles", "component_id", "n_links")
+    return placed(docs, count=True).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def representatives(docs: DataFrame) -> DataFrame:
@@ -564,8 +597,11 @@ def representatives(docs: DataFrame) -> DataFrame:
     return parts[0].unionAll(parts[1]).unionAll(parts[2]).toDF(*docs.columns)
 
 
-def placed(docs: DataFrame) -> DataFrame:
-    """Every row as ``doc_id, n_shingles, key, root, component_id, n_links``; ``root`` numbers the component."""
+def placed(docs: DataFrame, count: bool = False) -> DataFrame:
+    """Every row as ``doc_id, n_shingles, key, root, component_id, n_links``; ``root`` numbers the component.
+
+    ``n_links`` is null unless they are to be counted, which components need not.
+    """
     rows = stored(described(docs), "described")
     known = rows.where(F.col("key").isNotNull())
     once = known.groupBy("key").agg(
@@ -594,19 +630,21 @@ def placed(docs: DataFrame) -> DataFrame:
         links = links.unionByName(confirmed(docs, records, short, alone, "lacking"))
     roots = components(links, "x", "y")
     least = records.join(roots, "node").groupBy("root").agg(F.min("doc_id").alias("least"))
-    ends = links.select(F.col("x").alias("node")).unionAll(links.select(F.col("y").alias("node")))
-    degree = ends.groupBy("node").agg(F.count("*").alias("n_links"))
-    joined = roots.join(least, "root").join(degree, "node").select("node", "root", "least", "n_links")
+    joined = roots.join(least, "root").select("node", "root", "least")
+    n_links = F.lit(None).cast("long")
+    if count:
+        joined = joined.join(counted(docs, records, inside, short), "node", "left")
+        n_links = F.coalesce("n_links", F.lit(0).cast("long"))
     final = records.join(joined, "node", "left").select(
         F.col("key").alias("key_"),
         F.coalesce("root", "node").alias("root"),
         F.coalesce("least", "doc_id").alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        n_links.alias("n_links"),
     )
     columns = ["doc_id", "n_shingles", "key", "root", "component_id", "n_links"]
     out = known.join(final, F.col("key") == F.col("key_"), "left").select(columns)
     none = F.lit(None).cast("long").alias("root")
     empty = rows.where(F.col("key").isNull()).select(
-        "doc_id", "n_shingles", "key", none, F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links")
+        "doc_id", "n_shingles", "key", none, F.col("doc_id").alias("component_id"), F.lit(0 if count else None).cast("long").alias("n_links")
     )
     return out.unionByName(empty)

@@ -83,6 +83,21 @@ def test_three_shingles_against_four(spark):
     assert [c for _, _, c in found] == [1, 1, 1, 4, 5, 6]
 
 
+def test_all_links_are_counted(spark):
+    """A group of near copies that are nearly all linked with each other, small sets, an exact copy."""
+    r = random.Random(5)
+    base = [str(r.randrange(10**6)) for _ in range(80)]
+    texts = [" ".join(str(r.randrange(10**6)) if k == at else w for k, w in enumerate(base)) for at in range(0, 80, 2)]
+    texts += texts_like(r, 40, list(range(5, 30)), 2) + ["a b c d e f g", "a b c d e f g h", texts[3], ""]
+    rows = list(enumerate(texts))
+    sets = {brute_set(t) for t in texts} - {frozenset()}
+    want = {s: sum(s != t and 100 * len(s & t) >= 75 * len(s | t) for t in sets) for s in sets}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found = {x.doc_id: x.n_links for x in join.classes(docs).collect()}
+    assert found == {i: want.get(brute_set(t), 0) for i, t in rows}
+    assert max(found.values()) >= 30
+
+
 def test_a_hot_group_and_a_common_line(spark):
     """Many near copies around the threshold, a line that a third of the texts share, exact copies."""
     r = random.Random(9)
