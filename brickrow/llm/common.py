@@ -21,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def exact(df: DataFrame, *names: str) -> DataFrame:
+    """The columns of exactly these names; others that differ from them only in case do no harm."""
+    inner = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return inner.select(*[F.col(f"c{df.columns.index(name)}").alias(name) for name in names])
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that all executors share: ``spark.checkpoint.dir``, else the warehouse."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")

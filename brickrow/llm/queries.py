@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brickrow.llm import bpe, jaccard_join, main_text, packing, phrases, quality_classifier, quality_rules, secret_scan, token_store, toxicity
+from brickrow.llm import bpe, collocations, exact_dedup, filter_audit, jaccard_join, main_text, packing, phrases, quality_classifier, quality_rules, secret_scan, token_store, toxicity
 from brickrow.llm.common import shared_path, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -81,6 +81,18 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(pages, main_text.fit(pages)).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.judge(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_store": op1_token_store,
     "op2_jaccard_join": op2_jaccard_join,
@@ -92,6 +104,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_quality_rules": op9_quality_rules,
     "op10_main_text": op10_main_text,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_collocations": op12_collocations,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 #: Words as the operators take them: runs of anything but the six ASCII white-space characters.
@@ -182,5 +197,81 @@ WITH texts AS MATERIALIZED (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND r NOT IN (SELECT r FROM outside) AS kept
 FROM judged
+""",
+    "op11_exact_dedup": """
+WITH texts AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS text_sha256
+  FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+  row_number() OVER w = 1 AS kept, text_sha256
+FROM texts WINDOW w AS (PARTITION BY text_sha256 ORDER BY doc_id NULLS LAST, r)
+""",
+    "op12_collocations": f"""
+WITH pieces AS MATERIALIZED (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)
+), totals AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang
+), grams AS MATERIALIZED (
+  SELECT lang, size, w[i:i + size - 1] AS g, count(*) AS f
+  FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM (SELECT *, unnest([1, 2, 3, 4]) AS size FROM pieces))
+  GROUP BY ALL HAVING count(*) >= {collocations.LEAST_COUNT}
+), covered AS (
+  SELECT DISTINCT s.lang, s.g FROM (
+    SELECT lang, f, g[i:i + size - 1] AS g FROM (
+      SELECT *, unnest(range(1, long - size + 2)) AS i FROM (SELECT lang, f, g, size AS long, unnest(range(2, size)) AS size FROM grams WHERE size > 2)
+    )
+  ) t JOIN grams s ON s.lang = t.lang AND s.g = t.g WHERE 100 * t.f::HUGEINT >= {collocations.COVERED} * s.f::HUGEINT
+), cuts AS (
+  SELECT c.lang, c.g, c.f AS a, c.k, x.f AS l, y.f AS r, ({collocations.SCALE} * c.f::HUGEINT) // (x.f + y.f) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM grams WHERE size > 1) c
+  JOIN grams x ON x.lang = c.lang AND x.g = c.g[1:c.k] JOIN grams y ON y.lang = c.lang AND y.g = c.g[c.k + 1:c.size]
+), best AS (
+  SELECT * FROM cuts ANTI JOIN covered USING (lang, g) QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+), ranked AS (
+  SELECT *, array_to_string(g, ' ') AS phrase FROM best
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang)
+QUALIFY rank <= {collocations.TOP}
+""",
+    "op13_filter_audit": f"""
+WITH texts AS MATERIALIZED (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w FROM documents
+), marks AS (
+  SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), least AS (
+  SELECT t, min(doc_id) AS low FROM texts GROUP BY t
+), failed AS MATERIALIZED (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    CASE WHEN len(w) < 50 THEN 1 ELSE 0 END
+    + CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN texts.doc_id > low THEN 16 ELSE 0 END AS mask
+  FROM texts JOIN least USING (t) LEFT JOIN marks ON marks.doc_id = texts.doc_id
+), counted AS MATERIALIZED (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM failed GROUP BY part, mask
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), walked AS (
+  SELECT filter_order, step::INTEGER AS step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INTEGER AS before
+  FROM (SELECT *, unnest([1, 2, 3, 4, 5]) AS step FROM orders)
+), told AS (
+  SELECT part, filter_order, step, bit,
+    coalesce(sum(n) FILTER (mask & (before | bit) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit > 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (mask & before > 0 AND mask & bit > 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (mask & before = 0 AND mask & bit > 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (mask & before = 0 AND mask & bit > 0), 0)::BIGINT AS toxic_lost
+  FROM counted, walked GROUP BY ALL
+)
+SELECT * EXCLUDE bit, sum(removed) OVER (PARTITION BY part, bit)::BIGINT AS shapley FROM told
 """,
 }
