@@ -83,7 +83,7 @@ def from_stored(spark: SparkSession, sf_dir: str) -> dict:
         return tables.read_table(spark, tables.write_table(table, scratch_dir(spark, name)))
 
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice")
-    orders = orders.repartition("o_orderkey")
+    orders = orders.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "o_orderkey")
     raw, pages = stored(render.dirty_raw(orders), "raw"), stored(render.listing_pages(orders), "pages")
     few = stored(pages.where("page_id % 100 = 0").select("url"), "urls")
     return {

@@ -10,6 +10,7 @@ from brickrow.functions import links
 from brickrow.functions.text import strip
 from brickrow.operators import html
 from brickrow.operators.distinct import first_row, first_seen
+from brickrow.selectors import Selector
 
 
 def search_pages(provinces: DataFrame, base_url: str) -> DataFrame:
@@ -33,39 +34,37 @@ def all_search_pages(spark: SparkSession, base_url: str, max_pages: int = 50) ->
     return search_pages(spark.createDataFrame(rows, "province_no int, province string, n_pages int"), base_url)
 
 
-def _card_hrefs(nodes: Column) -> Column:
-    cards = F.filter(nodes, lambda n: html.has_class(n, lookups.CARD_CLASS))
-    return F.transform(
-        cards, lambda card: html.first(F.filter(html.below(nodes, card), lambda n: n.tag == "a")).href
-    )
-
+CARD = Selector("card", cls=lookups.CARD_CLASS, wants=("link",))
+ANCHOR = Selector("anchor", tags=("a",), href_with="", wants=("href",))
+SALE = Selector("sale", tags=("a",), href_with=lookups.SALE_DETAIL_MARK, wants=("href",))
 
-def _anchor_hrefs(nodes: Column) -> Column:
-    anchors = F.filter(nodes, lambda n: (n.tag == "a") & n.href.isNotNull())
-    return F.transform(anchors, lambda n: n.href)
 
-
-def _exploded(pages: DataFrame, hrefs: Column) -> DataFrame:
+def _exploded(pages: DataFrame, selector: Selector, field: str) -> DataFrame:
     keys = [c for c in pages.columns if c != "html"]
-    return html.parse_pages(pages, html.LINK_FIELDS, False).select(*keys, F.posexplode(hrefs).alias("pos", "href"))
+    found = html.select_nodes(pages, [selector])
+    return found.select(*keys, F.posexplode(F.col(f"marks.{field}")).alias("pos", "href"))
 
 
 def anchor_links(pages: DataFrame) -> DataFrame:
     """Every ``<a href>`` in document order as ``pos, href``; other columns are kept."""
-    return _exploded(pages, _anchor_hrefs(F.col("nodes")))
+    return _exploded(pages, ANCHOR, "href")
 
 
 def card_links(pages: DataFrame) -> DataFrame:
     """First link inside each result card; null where the card has none."""
-    return _exploded(pages, _card_hrefs(F.col("nodes")))
+    return _exploded(pages, CARD, "link")
 
 
 def card_links_or_anchors(pages: DataFrame, base_url: str) -> DataFrame:
     """Card links, or on a page without cards its distinct links to sale pages."""
     keys = [c for c in pages.columns if c != "html"]
-    nodes = F.col("nodes")
-    sale = F.filter(_anchor_hrefs(nodes), lambda h: h.contains(lookups.SALE_DETAIL_MARK))
-    found = html.parse_pages(pages, html.LINK_FIELDS, False).select(*keys, _card_hrefs(nodes).alias("cards"), sale.alias("sale"))
+    selectors = [CARD, SALE]
+    marks = html.select_nodes(pages, selectors)
+    found = marks.select(
+        *keys,
+        F.transform(html.marked(selectors, "card"), lambda m: m.link).alias("cards"),
+        F.transform(html.marked(selectors, "sale"), lambda m: m.href).alias("sale"),
+    )
 
     def absolute(hrefs: Column) -> Column:
         return F.transform(hrefs, lambda h: links.root_relative(h, base_url))
@@ -90,9 +89,9 @@ def collect_urls(result_pages: DataFrame, base_url: str) -> DataFrame:
     A URL is made unique inside its page before anything is shuffled, and ``page_id`` names one
     page, so the first place is an aggregate over plain numbers.
     """
-    resolved = F.transform(_card_hrefs(F.col("nodes")), lambda h: links.resolve_link(h, base_url))
+    resolved = F.transform(F.col("marks.link"), lambda h: links.resolve_link(h, base_url))
     details = F.filter(resolved, lambda u: F.coalesce(links.is_detail(u), F.lit(False)))
-    per_page = html.parse_pages(result_pages.select("page_id", "html"), html.LINK_FIELDS, False).select(
+    per_page = html.select_nodes(result_pages.select("page_id", "html"), [CARD]).select(
         "page_id", F.posexplode(F.array_distinct(details)).alias("pos", "url")
     )
     return per_page.groupBy("url").agg(

@@ -1,6 +1,8 @@
-"""HTML as columns: one pass of a Python worker turns a page into arrays, and every later step is
-an expression on those arrays. ``nodes`` holds the elements in document order and ``segs`` the text
-pieces; see :class:`brickrow.workers.NodeColumns`.
+"""HTML as columns, in one pass of a Python worker.
+
+:func:`select_nodes` gives the elements that some selectors take, with their texts and values.
+:func:`parse_pages` gives whole pages as arrays, for steps that are expressions on those: ``nodes`` holds
+the elements in document order and ``segs`` the text pieces; see :class:`brickrow.workers.NodeColumns`.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brickrow import lookups
+from brickrow.selectors import Selector, fields_of, selecting
 from brickrow.workers import parser
 
 NODE = T.StructType(
@@ -46,6 +49,31 @@ def parse_pages(pages: DataFrame, fields: list[str] = NODE.names, with_text: boo
     return pages.mapInArrow(parser(fields, with_text), out)
 
 
+#: Types of what a mark carries; the rest is text.
+_NUMBERS = ["sel", "idx", "parent", "parent_end"]
+
+
+def select_nodes(pages: DataFrame, selectors: list[Selector]) -> DataFrame:
+    """Replace ``html`` by ``marks``, the elements that the selectors take, in document order.
+
+    Narrow like :func:`parse_pages`, but tests and texts are made in the worker, and only marked
+    elements leave it. A mark names its selector by ``sel``, its place in ``selectors``.
+    """
+    kept = [f for f in pages.schema if f.name != "html"]
+    mark = T.StructType([T.StructField(n, T.IntegerType() if n in _NUMBERS else T.StringType()) for n in fields_of(selectors)])
+    return pages.mapInArrow(selecting(selectors), T.StructType(kept).add("marks", T.ArrayType(mark)))
+
+
+def marked(selectors: list[Selector], name: str, marks: Column | str = "marks") -> Column:
+    """The marks of one selector."""
+    number = next(i for i, s in enumerate(selectors) if s.name == name)
+    return F.filter(marks, lambda m: m.sel == number)
+
+
+def first_marked(selectors: list[Selector], name: str) -> Column:
+    return first(marked(selectors, name))
+
+
 def node_text(node: Column, segs: Column) -> Column:
     """Text pieces below a node joined by one space; null when there are none."""
     inside = F.slice(segs, node.seg_from + 1, node.seg_to - node.seg_from)
@@ -69,23 +97,6 @@ def has_class(node: Column, name: str) -> Column:
     return F.coalesce(node.cls.contains(name) & token, F.lit(False))
 
 
-def inside(node: Column, outer: Column) -> Column:
-    return (node.idx > outer.idx) & (node.idx < outer.end)
-
-
 def below(nodes: Column, outer: Column) -> Column:
     """All elements inside ``outer``, in document order."""
     return F.slice(nodes, outer.idx + 2, outer.end - outer.idx - 1)
-
-
-def value_near(nodes: Column, segs: Column, node: Column) -> Column:
-    """Text that belongs to a heading: of the next sibling, of the parent's next sibling, or of the
-    first of the four following elements that has any."""
-    following = [node_at(nodes, node.idx + step) for step in range(1, 5)]
-    places = [node_at(nodes, node.next), node_at(nodes, node_at(nodes, node.parent).next), *following]
-    return F.coalesce(*[node_text(place, segs) for place in places])
-
-
-def is_more_information(node: Column, segs: Column) -> Column:
-    titled = F.lower(node_text(node, segs)) == lookups.MORE_INFORMATION
-    return node.tag.isin("h2", "h3", "h4") & F.coalesce(titled, F.lit(False))

@@ -30,7 +30,12 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _spread_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three narrow columns, dealt out so that rendering them uses all tasks."""
-    return _orders(spark, sf_dir).repartition("o_orderkey")
+    return _dealt(_orders(spark, sf_dir))
+
+
+def _dealt(orders: DataFrame) -> DataFrame:
+    # With the number given, adaptive execution does not put the small rows back into one partition.
+    return orders.repartition(int(orders.sparkSession.conf.get("spark.sql.shuffle.partitions")), "o_orderkey")
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,7 +282,7 @@ def raw_records(spark, sf_dir):
 
 def _filled(spark, sf_dir):
     """RAW as an earlier run left it: the filled orders were read, the pending ones failed."""
-    orders = _table(spark, sf_dir, "orders").repartition("o_orderkey")
+    orders = _dealt(_table(spark, sf_dir, "orders"))
     read = listing.to_raw(listing.records(render.listing_pages(orders.where("o_orderstatus = 'F'"))))
     failed = render.keyed(orders.where("o_orderstatus = 'P'")).select(render.listing_url().alias("property_url"))
     stored = tables.write_table(listing.stack_ragged([read, failed]), scratch_dir(spark, "raw"))

@@ -43,14 +43,15 @@ TEXT, START, END, CUT = range(4)
 
 # Markup that every tokenizer reads the same way. Anything else goes to the standard parser.
 ATTRIBUTE = r"""[ \t\r\n\f]+[a-zA-Z_][a-zA-Z0-9_:-]*(?:=(?:"[^"]*"|'[^']*'|[^ \t\r\n\f"'=<>`&/]+))?"""
-PLAIN_TOKEN = re.compile(
-    rf"""([^<]+
-    |<(script|style)((?:{ATTRIBUTE})*)[ \t\r\n\f]*>(.*?)</\2[ \t\r\n\f]*>
-    |<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:{ATTRIBUTE})*)[ \t\r\n\f]*(/?)>
-    |<!--(?!-?>)[^-]*(?:-[^-]+)*-->
-    |<!(?:DOCTYPE|doctype)[ ][^<>\[\]"']*>)""",
+#: One piece of markup and the text after it; scripts and styles whole. Other tags may hold ``>`` in quotes.
+MARKUP = re.compile(
+    rf"""<(?:(!--(?!-?>)[^-]*(?:-[^-]+)*--)
+    |((?:script|style)(?:{ATTRIBUTE})*[ \t\r\n\f]*)>(.*?)</(?:script|style)[ \t\r\n\f]*
+    |([^<>"']*(?:(?:"[^"<]*"|'[^'<]*')[^<>"']*)*))>([^<]*)""",
     re.VERBOSE | re.DOTALL,
 )
+PLAIN_TAG = re.compile(rf"(/?)([a-zA-Z][a-zA-Z0-9]*)((?:{ATTRIBUTE})*)[ \t\r\n\f]*(/?)")
+PLAIN_DOCTYPE = re.compile(r"!(?:DOCTYPE|doctype)[ ][^<>\[\]\"']*")
 PLAIN_ATTRIBUTE = re.compile(
     r"""[ \t\r\n\f]([a-zA-Z_][a-zA-Z0-9_:-]*)(?:=(?:"([^"]*)"|'([^']*)'|([^ \t\r\n\f"'=<>`&/]+)))?"""
 )
@@ -59,6 +60,8 @@ PLAIN_REFERENCE = re.compile(f"&{REFERENCE}")
 OTHER_REFERENCE = re.compile(rf"&(?!{REFERENCE}|[ \t\r\n])")
 RAW_TEXT_TAGS = ("script", "style")
 RAW_TEXT_END = re.compile(r"</\s*(?:script|style)", re.IGNORECASE)
+#: Distinct tags whose reading a worker remembers at once.
+KEPT_TAGS = 20_000
 
 
 def _character(match: re.Match) -> str:
@@ -70,58 +73,85 @@ def _named(name: str) -> str:
     return html5.get(f"{name};") or f"&{name}"
 
 
-def plain_events(html: str) -> list[tuple] | None:
-    """Events of a page of plain markup, or None when something else turns up."""
-    events, at = [], 0
-    add = events.append
-    for found in PLAIN_TOKEN.finditer(html):
-        if found.start() != at:
-            return None
-        at = found.end()
-        token, raw, raw_attributes, raw_text, closing, tag, attributes, slash = found.groups()
-        if token[0] != "<":
-            if "&" in token:
-                if OTHER_REFERENCE.search(token):
-                    return None
-                token = PLAIN_REFERENCE.sub(_character, token)
-            add((TEXT, token))
-            continue
-        if closing:
-            if attributes or slash:
-                return None
-            add((END, tag.lower()))
-            continue
-        if raw:
-            if RAW_TEXT_END.search(raw_text):
+def _read_tag(tag: str) -> tuple | None:
+    """The event of a tag, or None when it is not plain."""
+    found = PLAIN_TAG.fullmatch(tag)
+    if not found:
+        return (CUT,) if PLAIN_DOCTYPE.fullmatch(tag) else None
+    closing, name, attributes, slash = found.groups()
+    name = name.lower()
+    if closing:
+        return None if attributes or slash else (END, name)
+    cls = href = None
+    if attributes:
+        for key, double, single, bare in PLAIN_ATTRIBUTE.findall(attributes):
+            key = key.lower()
+            if key == "class" or key == "href":
+                value = double or single or bare
+                if "&" in value:
+                    if OTHER_REFERENCE.search(value):
+                        return None
+                    value = unescape(value)
+                if key == "class":
+                    cls = " ".join(value.split())
+                else:
+                    href = value
+    return (START, name, cls, href, slash)
+
+
+class PlainEvents:
+    """Events of pages of plain markup. The tags of listings repeat, so each is read once."""
+
+    def __init__(self) -> None:
+        self.tags: dict[str, tuple | None] = {}
+
+    def read(self, html: str) -> list[tuple] | None:
+        """Events of a page, or None when something else than plain markup turns up."""
+        found = MARKUP.findall(html)
+        begin = html.find("<")
+        events = []
+        add, known = events.append, self.tags
+        if begin:
+            text = html if begin < 0 else html[:begin]
+            if "&" in text and (text := _unescaped(text)) is None:
                 return None
-            tag, attributes = raw, raw_attributes
-        elif tag:
-            tag = tag.lower()
-            if tag in RAW_TEXT_TAGS and not slash:
+            if text:
+                add((TEXT, text))
+        n_open = len(found)  # how many "<" the pieces account for
+        for comment, raw, raw_text, tag, text in found:
+            if tag:
+                try:
+                    event = known[tag]
+                except KeyError:
+                    if len(known) >= KEPT_TAGS:
+                        known.clear()
+                    event = known[tag] = _read_tag(tag)
+                if event is None or (event[1:2] and event[1] in RAW_TEXT_TAGS and event[0] == START and not event[4]):
+                    return None
+                add(event)
+            elif raw:
+                event = _read_tag(raw)
+                if event is None or RAW_TEXT_END.search(raw_text):
+                    return None
+                add(event)
+                if raw_text:
+                    add((TEXT, raw_text))
+                add((END, event[1]))
+                n_open += raw.count("<") + raw_text.count("<") + 1
+            elif comment:
+                add((CUT,))
+                n_open += comment.count("<")
+            else:
                 return None
-        else:
-            add((CUT,))
-            continue
-        cls = href = None
-        if attributes:
-            for name, double, single, bare in PLAIN_ATTRIBUTE.findall(attributes):
-                name = name.lower()
-                if name == "class" or name == "href":
-                    value = double or single or bare
-                    if "&" in value:
-                        if OTHER_REFERENCE.search(value):
-                            return None
-                        value = unescape(value)
-                    if name == "class":
-                        cls = value
-                    else:
-                        href = value
-        add((START, tag, cls, href, slash))
-        if raw:
-            if raw_text:
-                add((TEXT, raw_text))
-            add((END, tag))
-    return events if at == len(html) else None
+            if text:
+                if "&" in text and (text := _unescaped(text)) is None:
+                    return None
+                add((TEXT, text))
+        return events if n_open == html.count("<") else None
+
+
+def _unescaped(text: str) -> str | None:
+    return None if OTHER_REFERENCE.search(text) else PLAIN_REFERENCE.sub(_character, text)
 
 
 class StandardEvents(HTMLParser):
@@ -139,7 +169,8 @@ class StandardEvents(HTMLParser):
 
     def handle_starttag(self, tag, attrs, empty=False):
         named = {name: value or "" for name, value in attrs}
-        self.events.append((START, tag, named.get("class"), named.get("href"), empty))
+        cls = named.get("class")
+        self.events.append((START, tag, cls and " ".join(cls.split()), named.get("href"), empty))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs, empty=True)
@@ -230,7 +261,7 @@ class NodeColumns:
                 tags.append(tag)
                 parent.append(stack[-1])
                 after.append(None)
-                cls.append(class_names and " ".join(class_names.split()))
+                cls.append(class_names)
                 href.append(link)
                 seg_from.append(len(pieces))
                 if empty or tag in VOID_TAGS:
@@ -287,6 +318,24 @@ def nfkc_batch(values: pa.Array) -> pa.Array:
     return plain.take(coded.indices)
 
 
+def reader():
+    """A function from html to events; None for null and for what the tokenizer rejects."""
+    plain, standard = PlainEvents(), StandardEvents()
+
+    def read(html: str | None) -> list[tuple] | None:
+        if html is None:
+            return None
+        events = plain.read(html)
+        if events is not None:
+            return events
+        try:
+            return standard.read(html)
+        except AssertionError:  # the tokenizer's answer to markup it rejects
+            return None
+
+    return read
+
+
 def parser(fields: list[str], with_text: bool):
     """A function over batches ``(..., html)`` to ``(..., nodes[, segs])``; unreadable html gives null.
 
@@ -294,10 +343,10 @@ def parser(fields: list[str], with_text: bool):
     """
 
     def parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        standard = StandardEvents()
+        read = reader()
         for batch in batches:
             for start in range(0, batch.num_rows, PAGES_PER_BATCH):
-                yield _parse_slice(standard, batch.slice(start, PAGES_PER_BATCH), fields, with_text)
+                yield _parse_slice(read, batch.slice(start, PAGES_PER_BATCH), fields, with_text)
 
     return parse_batches
 
@@ -307,14 +356,11 @@ def _list_array(offsets: list, values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
 
 
-def _parse_slice(standard: StandardEvents, batch: pa.RecordBatch, fields: list[str], with_text: bool) -> pa.RecordBatch:
+def _parse_slice(read, batch: pa.RecordBatch, fields: list[str], with_text: bool) -> pa.RecordBatch:
     columns = NodeColumns()
     node_at, piece_at = [], []
     for html in batch.column("html").to_pylist():
-        try:
-            events = None if html is None else plain_events(html) or standard.read(html)
-        except AssertionError:  # the tokenizer's answer to markup it rejects
-            events = None
+        events = read(html)
         node_at.append(None if events is None else len(columns.tag))
         piece_at.append(None if events is None else len(columns.pieces))
         if events is not None:

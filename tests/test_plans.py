@@ -5,7 +5,7 @@ import io
 
 import pytest
 
-from brickrow.operators import clean, frontier, html, listing
+from brickrow.operators import clean, frontier, listing
 from brickrow.plans import stages
 from brickrow.proof.queries import QUERIES
 from brickrow.sources import tables
@@ -69,13 +69,20 @@ def test_registered_queries_do_not_shuffle_pages_or_texts(spark, name):
     assert not any(word in part for part in exchanges for word in wide)
 
 
-def test_nodes_are_scanned_once(pages):
-    parsed = html.parse_pages(pages)
-    assert plan(listing.label_pairs(parsed)).count("filter(nodes#") == 1
-    long = plan(listing.labelled_values(pages))
-    assert "Filter" in long and long.count("filter(nodes#") == 1
-    best = plan(clean.silver(listing.to_raw(listing.records(pages))))
-    assert best.count("filter(nodes#") == 1
+def test_elements_are_chosen_in_the_parser(pages):
+    """One parse, and no array of all elements after it."""
+    for table in (listing.labelled_values(pages), listing.records(pages), clean.silver(listing.to_raw(listing.records(pages)))):
+        text = plan(table)
+        assert text.count("MapInArrow") == 2  # once in the tree, once in the details
+        assert "nodes" not in text and "segs" not in text
+    # The pairs of a page are built once, also where a filter or the size of an array asks for them.
+    assert plan(listing.labelled_values(pages)).count("near AS value") <= 1
+
+
+@pytest.mark.parametrize("name", ["h4_pairs", "raw_records", "silver", "card_links", "collect_urls", "scrape_new"])
+def test_rendered_inputs_are_dealt_out_by_a_fixed_number(spark, name):
+    """A number of partitions that adaptive execution keeps."""
+    assert "REPARTITION_BY_NUM" in plan(QUERIES[name](spark, SF))
 
 
 def test_price_filter_reaches_the_scan(spark, tmp_path, monkeypatch):

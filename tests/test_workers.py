@@ -5,12 +5,13 @@ import time
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from brickrow.workers import NodeColumns, StandardEvents, plain_events
+from brickrow.selectors import Marks, Selector
+from brickrow.workers import NodeColumns, PlainEvents, StandardEvents, reader
 
 
 def columns(html, plain=None):
     page = NodeColumns()
-    events = plain_events(html) if plain is not False else None
+    events = PlainEvents().read(html)
     assert plain is None or (events is not None) == plain
     page.add_page(events if events is not None else StandardEvents().read(html))
     return page
@@ -89,7 +90,7 @@ PIECES = st.sampled_from(
 @settings(max_examples=1500, deadline=None)
 @given(st.lists(PIECES, max_size=14).map("".join))
 def test_plain_reading_agrees_with_the_standard_parser(html):
-    events = plain_events(html)
+    events = PlainEvents().read(html)
     if events is not None:
         ours, theirs = NodeColumns(), NodeColumns()
         ours.add_page(events)
@@ -107,3 +108,60 @@ def test_node_columns_are_a_tree(html):
         assert page.seg_from[parent] <= page.seg_from[i] <= page.seg_to[i] <= page.seg_to[parent]
         if page.next[i] is not None:
             assert page.next[i] == page.end[i] and page.parent[page.next[i]] == parent
+
+
+def marks(html, *selectors):
+    page, found = NodeColumns(), Marks(selectors, {})
+    page.add_page(reader()(html))
+    found.add_page(page)
+    return [dict(zip(found.columns, row)) for row in zip(*found.columns.values())]
+
+
+def test_selectors_test_tag_class_text_and_target():
+    html = '<h4>A</h4><p>1</p><h4 class="x">B</h4><h4 class>C</h4><b class="k x"> More  <i>Info</i></b><a href="/s/1">s</a><a>n</a>'
+    assert [m["text"] for m in marks(html, Selector("h", tags=("h4",)))] == ["A", "B", "C"]
+    assert [m["text"] for m in marks(html, Selector("h", tags=("h4",), no_class=True))] == ["A"]
+    assert [m["idx"] for m in marks(html, Selector("x", cls="x"))] == [3, 5]
+    assert [m["idx"] for m in marks(html, Selector("x", cls="k x"))] == [5]
+    assert marks(html, Selector("x", cls="x k")) == []
+    assert [m["idx"] for m in marks(html, Selector("x", cls="x", first=True))] == [3]
+    assert [m["idx"] for m in marks(html, Selector("t", title="more info"))] == [5]
+    assert [m["href"] for m in marks(html, Selector("a", tags=("a",), href_with="", wants=("href",)))] == ["/s/1"]
+    assert marks(html, Selector("a", tags=("a",), href_with="/t/", wants=("href",))) == []
+
+
+def test_marks_carry_what_is_wanted():
+    html = "<div><h4>A</h4></div><section>cadastral <b>5</b></section><h2><i>x</i><a>y</a><a href=z>q</a></h2><script>s</script>"
+    (head,) = marks(html, Selector("h", tags=("h4",), wants=("near", "parent", "parent_text")))
+    assert head == {"sel": 0, "idx": 2, "near": "cadastral 5", "parent": 1, "parent_end": 3, "parent_text": "A"}
+    (card,) = marks(html, Selector("c", tags=("h2",), wants=("link",)))
+    assert card["link"] is None
+    both = marks(html, Selector("p", root=True, holding="cadastral"), Selector("s", tags=("script", "h2"), holding="cadastral"))
+    assert [(m["sel"], m["text"]) for m in both] == [(0, "A cadastral 5 x y q"), (1, None), (1, None)]
+    assert [m["text"] for m in marks(html, Selector("s", tags=("script",)))] == ["s"]
+    assert marks("", Selector("p", root=True)) == [{"sel": 0, "idx": 0, "text": None}]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(PIECES, max_size=14).map("".join))
+def test_marks_agree_with_the_whole_tree(html):
+    events = reader()(html)
+    if events is None:
+        return
+    page = NodeColumns()
+    page.add_page(events)
+
+    def text(i):
+        if i is None or not 0 <= i < len(page.tag):
+            return None
+        own = page.own[i]
+        return (" ".join(page.pieces[page.seg_from[i] : page.seg_to[i]]) if own is None else own) or None
+
+    def near(i):
+        parent = page.parent[i]
+        places = [page.next[i], page.next[parent] if parent >= 0 else None, i + 1, i + 2, i + 3, i + 4]
+        return next((text(p) for p in places if text(p)), None)
+
+    expected = [(i, text(i), near(i)) for i in range(1, len(page.tag)) if page.tag[i] in ("p", "h4", "div")]
+    found = marks(html, Selector("all", tags=("p", "h4", "div"), wants=("text", "near")))
+    assert [(m["idx"], m["text"], m["near"]) for m in found] == expected
