@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,19 +25,23 @@ def _to_nfkc(table: DataFrame, columns: list[str]) -> DataFrame:
     return table.select(*[text.nfkc(F.col(c)).alias(c) if c in columns else c for c in table.columns])
 
 
-def normalize_rows(raw: DataFrame) -> DataFrame:
+def normalize_rows(raw: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     """Kept columns with null words, types, postal codes, flags and numbers normalised, and the
-    province added. Numbers stay fractional. Needs ``price_eur``; other columns may be absent."""
+    province added. Numbers stay fractional. Needs ``price_eur``; other columns may be absent.
+
+    Columns in ``also`` go along unchanged."""
     types = dict(raw.dtypes)
     kept = [c for c in KEPT if c in types]
-    wide = _to_nfkc(raw.select(*kept), [c for c in kept if types[c] == "string"])
+    wide = _to_nfkc(raw.select(*kept, *also), [c for c in kept if types[c] == "string"])
     if "postal_code" not in types:
         wide = wide.withColumn("postal_code", F.lit(None).cast("string"))
-    worded = [c for c in wide.columns if c not in schemas.NUMERIC]
+    worded = [c for c in wide.columns if c not in schemas.NUMERIC and c not in also]
     named = wide.select(*[text.blank_tokens(F.col(c)).alias(c) if c in worded else c for c in wide.columns])
 
     def read(c: str) -> Column:
         col = F.col(c)
+        if c in also:
+            return col
         if c in schemas.NUMERIC:
             # The null words are no numbers, so they need no step of their own.
             return text.to_number(col) if types[c] == "string" else col.cast("double")
@@ -101,9 +107,9 @@ def whole_numbers(rows: DataFrame) -> DataFrame:
     )
 
 
-def clean_rows(raw: DataFrame, max_build_year: int = lookups.MAX_BUILD_YEAR) -> DataFrame:
-    """Everything that looks at one record at a time."""
-    return blank_years(filter_prices(normalize_rows(raw)), high=max_build_year)
+def clean_rows(raw: DataFrame, max_build_year: int = lookups.MAX_BUILD_YEAR, also: Sequence[str] = ()) -> DataFrame:
+    """Everything that looks at one record at a time; columns in ``also`` go along unchanged."""
+    return blank_years(filter_prices(normalize_rows(raw, also)), high=max_build_year)
 
 
 def silver(raw: DataFrame, keep_null_codes: bool = False, max_build_year: int = lookups.MAX_BUILD_YEAR) -> DataFrame:

@@ -302,7 +302,8 @@ def append_new(spark, sf_dir):
     path = scratch_dir(spark, "raw-runs")
     pages = _listing_pages(spark, sf_dir)
     half = pages.where("page_id % 2 = 0")
-    failing = half.withColumn("html", F.when(F.col("page_id") % 3 > 0, F.col("html")))
+    failed = half.where("page_id % 3 = 0").withColumn("html", F.lit(None).cast("string"))
+    failing = half.where("page_id % 3 > 0").unionByName(failed)
     stages.append_new(half.select("url"), failing, path)
     stages.append_new(pages.select("url"), pages, path)
     return stages.current_raw(spark, path)
@@ -387,24 +388,25 @@ def url_list_roundtrip(spark, sf_dir):
     return frontier.load_urls(tables.read_urls_csv(spark, path)).select("url")
 
 
-def _runs(spark, sf_dir):
+def _runs(spark, sf_dir, silver):
     """Pages landed in several runs, some URLs again later; the folder of the kept records."""
-    landing, path, progress = (scratch_dir(spark, n) for n in ("landing", "stream-kept", "progress"))
+    landing, path = scratch_dir(spark, "landing"), scratch_dir(spark, "stream-kept")
     orders = _spread_orders(spark, sf_dir)
     first = render.listing_pages(orders).withColumn("status", F.lit(None).cast("int"))
     for pages in (first, render.recrawled_pages(orders)):
-        pages.repartition(8, "page_id").write.mode("append").parquet(landing)
-        landed = incremental.landed_pages(spark, landing, files_per_run=8)
-        incremental.stream_records(landed, path, progress, parts=16).awaitTermination()
+        pages.write.mode("append").parquet(landing)
+        incremental.stream_records(incremental.landed_pages(spark, landing), path).awaitTermination()
+        if silver:
+            incremental.stream_silver(spark, path)
     return path
 
 
 def stream_available_now(spark, sf_dir):
-    return incremental.current_raw(spark, _runs(spark, sf_dir))
+    return incremental.current_raw(spark, _runs(spark, sf_dir, silver=False))
 
 
 def stream_best(spark, sf_dir):
-    return incremental.current_silver(spark, _runs(spark, sf_dir))
+    return incremental.current_silver(spark, _runs(spark, sf_dir, silver=True))
 
 
 QUERIES: dict[str, Query] = {
