@@ -20,8 +20,10 @@ other components, as lists, one row for each record and block of members. Compar
 steps: parities of the elements' hashes in ``BITS`` places differ in no more places than the sets do,
 which rules out most; the others' sets are compared element by element.
 
-Links between sets of one component are not needed for it, but are counted (``counted``): every record is
-compared with the blocks of all that it shares a probed bucket with, one row for each record and block.
+Where links are to be counted (``counted``), one pass does both: every record is compared with the blocks
+of all that it shares a probed bucket with, one row for each record and block, and of the links that
+are counted those that span the block go on to the components. Without counts (``spanning``), links between
+sets of one component are not looked for.
 
 Null and empty texts have no shingle and are linked with nothing. Exact copies are one record and not
 expanded. Rows of an equal or null ``doc_id`` are rows of their own; a component's id is the smallest
@@ -39,6 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from brickrow.llm.common import exact as exact_columns
 from brickrow.llm.common import shuffle_partitions, slices, steps, stored, texts_of
 from brickrow.llm.components import components
 from brickrow.llm.shingles import mix, shingles
@@ -69,8 +72,13 @@ def required(n: int) -> int:
     return 2 * n // SHARE + 1
 
 
-def segments(band: int) -> int:
-    """Segments of a band of sizes under ``2 ** (band + 1)``: a tenth more than its largest set needs, as some stay empty."""
+def segments(band: int, most: int | None = None) -> int:
+    """Segments of a band of sizes under ``2 ** (band + 1)``: a tenth more than its largest set needs, as some stay empty.
+
+    ``most`` sets fewer, down to one; records then lack segments, which only costs time.
+    """
+    if most:
+        return most
     need = required(2 ** (band + 1) - 1)
     return need if 2 ** (band + 1) <= SMALL else need + need // 10 + 3
 
@@ -79,11 +87,12 @@ def _band(band: int) -> np.uint64:
     return np.uint64(band * int(_ODD) % 2**64)
 
 
-def cut(x: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def cut(x: np.ndarray, band: int, most: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Elements' segments and hashes in a band; the segments that are not empty, and their sizes."""
     g = mix(x + _band(band))
-    at = ((g >> np.uint64(32)) % np.uint64(segments(band))).astype(np.int64)
-    size = np.bincount(at, minlength=segments(band))
+    n = segments(band, most)
+    at = ((g >> np.uint64(32)) % np.uint64(n)).astype(np.int64)
+    size = np.bincount(at, minlength=n)
     some = np.flatnonzero(size)
     return at, mix(g + _ODD), some, size[some]
 
@@ -93,7 +102,7 @@ def named(total: np.ndarray, segment: np.ndarray, band: int) -> np.ndarray:
     return mix(mix(total) + segment.astype(np.uint64) * _ODD + _band(band)) & ~np.uint64(255)
 
 
-def signatures(x: np.ndarray) -> np.ndarray:
+def signatures(x: np.ndarray, most: int | None = None) -> np.ndarray:
     """All index entries of a set of at least ``LEAST`` elements."""
     n, own = len(x), len(x).bit_length() - 1
     out = []
@@ -101,12 +110,12 @@ def signatures(x: np.ndarray) -> np.ndarray:
         if band > own and 4 * n < 3 * 2**band:
             continue
         flag = np.uint64(_OWN if band == own else 0)
-        at, h, some, size = cut(x, band)
-        total = np.zeros(segments(band), np.uint64)
+        at, h, some, size = cut(x, band, most)
+        total = np.zeros(segments(band, most), np.uint64)
         np.add.at(total, at, h)
         out.append(named(total[some], some, band) | flag)
         if 2 ** (band + 1) <= SMALL:
-            less = np.flatnonzero(np.bincount(at, minlength=segments(band))[at] > 1)
+            less = np.flatnonzero(np.bincount(at)[at] > 1)
             out.append(named(total[at[less]] - h[less], at[less], band) | flag | np.uint64(_NEAR))
     return np.concatenate(out)
 
@@ -125,7 +134,7 @@ def _number(key: bytes) -> int:
     return int.from_bytes(key[:8], "little", signed=True)
 
 
-def described(docs: DataFrame) -> DataFrame:
+def described(docs: DataFrame, most: int | None = None) -> DataFrame:
     """``doc_id, n_shingles, key, rec, segs, twos, sketch``; ``key`` names the set and is null without shingles."""
 
     def run(batches):
@@ -137,7 +146,7 @@ def described(docs: DataFrame) -> DataFrame:
                 n = len(x)
                 segs = twos = 0
                 if n >= LEAST:
-                    _, _, _, size = cut(x, n.bit_length() - 1)
+                    _, _, _, size = cut(x, n.bit_length() - 1, most)
                     segs, twos = len(size), int((size > 1).sum()) if n < SMALL else 0
                 key = key_of(x) if n else None
                 rec = _number(key) if n else None
@@ -145,11 +154,11 @@ def described(docs: DataFrame) -> DataFrame:
             kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = exact_columns(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(run, "doc_id long, n_shingles long, key binary, rec long, segs int, twos int, sketch binary")
 
 
-def entries(docs: DataFrame) -> DataFrame:
+def entries(docs: DataFrame, most: int | None = None) -> DataFrame:
     """Index entries ``sig, rec`` of every set, once for each task; ``rec`` is the first half of its key.
 
     A document's entries follow each other, so that the exchange stores its ``rec`` once for each target.
@@ -166,14 +175,14 @@ def entries(docs: DataFrame) -> DataFrame:
                 rec = _number(key_of(x))
                 if rec not in seen:
                     seen.add(rec)
-                    sigs.append(signatures(x))
+                    sigs.append(signatures(x, most))
                     recs.append(np.full(len(sigs[-1]), rec, np.int64))
             if sigs:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(recs))], names=["sig", "rec"]
                 )
 
-    return docs.select("text").mapInArrow(run, "sig long, rec long")
+    return exact_columns(docs, "text").mapInArrow(run, "sig long, rec long")
 
 
 def shared(index: DataFrame) -> DataFrame:
@@ -365,17 +374,22 @@ def by_block(lists: DataFrame) -> DataFrame:
 
 
 def _lists(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64())]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["x", "block", "ys"])
+    """``x, block, ys`` and, if there is a fourth, ``n_links``."""
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64()]
+    columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
+    return pa.RecordBatch.from_arrays(columns, names=["x", "block", "ys", "n_links"][: len(columns)])
 
 
 def compared(lists: DataFrame, data: DataFrame, blocks: DataFrame, exact: bool, every: bool = False) -> DataFrame:
     """The rows of ``x, block, ys`` with the members that pass; without any, no row.
 
+    With ``every``, ``n_links`` counts the members that pass and ``ys`` are those of them that the links
+    of the block before have not joined with ``x`` already, which is all that components need.
+
     ``data``: ``node, n, data`` (sketches, or sets if ``exact``); ``blocks``: ``node, block, root``. A
     block's members are read first, then the records that are compared with them pass by. Components that
     exact links of the same block have joined already are not compared again, unless ``every`` link is
-    asked for. Null ``ys`` are all members of the block.
+    to be counted. Null ``ys`` are all members of the block.
     """
     held = data.join(blocks, "node").select(
         "block", F.lit(0).alias("turn"), F.col("node").alias("x"), "n", "data", "root", F.lit(None).cast("array<bigint>").alias("ys")
@@ -405,7 +419,16 @@ def compared(lists: DataFrame, data: DataFrame, blocks: DataFrame, exact: bool,
                 if not some:
                     continue
                 if exact and every:
-                    kept = [y for y in some if linked(own, there[y][1])]
+                    passed = [y for y in some if linked(own, there[y][1])]
+                    kept = []
+                    for y in passed:
+                        mine, other = find(joined, root), find(joined, there[y][2])
+                        if mine != other:
+                            joined[mine] = other
+                            kept.append(y)
+                    if passed:
+                        out.append((x, b, kept, len(passed)))
+                    continue
                 elif exact:
                     kept = []
                     for y in some:
@@ -424,7 +447,7 @@ def compared(lists: DataFrame, data: DataFrame, blocks: DataFrame, exact: bool,
 
     n = shuffle_partitions(lists.sparkSession)
     dealt = held.unionByName(asking).repartition(n, "block").sortWithinPartitions("block", "turn")
-    return dealt.mapInArrow(run, "x long, block long, ys array<bigint>")
+    return dealt.mapInArrow(run, "x long, block long, ys array<bigint>" + (", n_links long" if every else ""))
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -483,7 +506,7 @@ def sets_of(docs: DataFrame, records: DataFrame, wanted: DataFrame) -> DataFrame
                     kinds = [pa.binary(), pa.int64(), pa.binary()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["key", "n", "data"])
 
-    hashed = docs.select("text", *Filter.columns(F.col("doc_id")))
+    hashed = exact_columns(docs, "doc_id", "text").select("text", *Filter.columns(F.col("doc_id")))
     rows = hashed.mapInArrow(run, "key binary, n long, data binary").join(mine.select("node", "key"), "key")
     return rows.groupBy("node").agg(F.first("n").alias("n"), F.first("data").alias("data"))
 
@@ -524,10 +547,10 @@ def lacking(records: DataFrame) -> DataFrame:
     return pairs.select("x", F.array("y").alias("ys"), F.array(F.xxhash64("y")).alias("blocks"))
 
 
-def counted(docs: DataFrame, records: DataFrame, inside: DataFrame, short: DataFrame) -> DataFrame:
-    """``node, n_links``: with how many other sets a set is linked; sets without links have no row.
+def counted(docs: DataFrame, records: DataFrame, inside: DataFrame, short: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``node, n_links``: with how many other sets a set is linked, and ``x, y``: links that span the components.
 
-    Of two sets that may be linked each asks for the other's block, so that a link counts once at both.
+    Sets without links have no row. Of two sets that may be linked each asks for the other's block, so that a link counts once at both.
     ``inside``: as ``members``; ``short``: as ``lacking``.
     """
     own = inside.select("node", "block").distinct()
@@ -547,16 +570,39 @@ def counted(docs: DataFrame, records: DataFrame, inside: DataFrame, short: DataF
     sketches = records.where(F.col("n") >= LEAST).select("node", "n", F.col("sketch").alias("data"))
     near = stored(compared(lists, sketches, used, False), "counted-near")
     sets = stored(sets_of(docs, records, stored(named_in(near).distinct(), "counted-ends")), "counted-sets")
-    found = compared(near, sets, used, True, every=True)
-    return stored(found.groupBy(F.col("x").alias("node")).agg(F.sum(F.size("ys")).alias("n_links")), "counted")
+    found = stored(compared(near, sets, used, True, every=True), "counted")
+    counts = found.groupBy(F.col("x").alias("node")).agg(F.sum("n_links").alias("n_links"))
+    return counts, found.select("x", F.explode("ys").alias("y"))
+
+
+def spanning(docs: DataFrame, records: DataFrame, inside: DataFrame, short: DataFrame) -> DataFrame:
+    """``x, y``: verified links that span the components, without those inside components found before.
+
+    ``inside``: as ``members``; ``short``: as ``lacking``.
+    """
+    blocks = stored(inside.select("node", "block").distinct(), "blocks")
+    single = blocks.withColumn("root", F.col("node"))
+    links = confirmed(docs, records, candidates(inside.withColumn("root", F.col("node")), False), single, "first")
+    roots = components(links, "x", "y")
+    # Buckets whose members are in one component have nothing to add.
+    rooted = inside.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = rooted.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b")
+    rest = rooted.join(mixed.select("bucket"), "bucket", "left_semi")
+    now = stored(rest.select("node", "block", "root").distinct(), "blocks")
+    links = links.unionByName(confirmed(docs, records, candidates(rest, True), now, "second"))
+    if not short.isEmpty():
+        alone = short.select(F.explode("ys").alias("node")).distinct()
+        alone = alone.withColumn("block", F.xxhash64("node")).withColumn("root", F.col("node"))
+        links = links.unionByName(confirmed(docs, records, short, alone, "lacking"))
+    return links
 
 
-def classes(docs: DataFrame) -> DataFrame:
+def classes(docs: DataFrame, most_segments: int | None = None) -> DataFrame:
     """``doc_id, n_shingles, component_id, n_links`` of every row of ``docs``.
 
     ``n_links`` counts the other sets that the row's set is linked with, all of them.
     """
-    return placed(docs, count=True).select("doc_id", "n_shingles", "component_id", "n_links")
+    return placed(docs, True, most_segments).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def representatives(docs: DataFrame) -> DataFrame:
@@ -597,12 +643,12 @@ def representatives(docs: DataFrame) -> DataFrame:
     return parts[0].unionAll(parts[1]).unionAll(parts[2]).toDF(*docs.columns)
 
 
-def placed(docs: DataFrame, count: bool = False) -> DataFrame:
+def placed(docs: DataFrame, count: bool = False, most_segments: int | None = None) -> DataFrame:
     """Every row as ``doc_id, n_shingles, key, root, component_id, n_links``; ``root`` numbers the component.
 
     ``n_links`` is null unless they are to be counted, which components need not.
     """
-    rows = stored(described(docs), "described")
+    rows = stored(described(docs, most_segments), "described")
     known = rows.where(F.col("key").isNotNull())
     once = known.groupBy("key").agg(
         F.min("doc_id").alias("doc_id"),
@@ -610,30 +656,20 @@ def placed(docs: DataFrame, count: bool = False) -> DataFrame:
         *[F.first(c).alias(c) for c in ("rec", "segs", "twos", "sketch")],
     )
     records = stored(once.withColumn("node", F.monotonically_increasing_id()), "records")
-    index = stored(shared(entries(docs)), "shared")
+    index = stored(shared(entries(docs, most_segments)), "shared")
     probed = stored(probes(index, records), "probes")
     inside = stored(members(index, records, probed), "members")
-    blocks = stored(inside.select("node", "block").distinct(), "blocks")
-    single = blocks.withColumn("root", F.col("node"))
-    links = confirmed(docs, records, candidates(inside.withColumn("root", F.col("node")), False), single, "first")
-    roots = components(links, "x", "y")
-    # Buckets whose members are in one component have nothing to add.
-    rooted = inside.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = rooted.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b")
-    rest = rooted.join(mixed.select("bucket"), "bucket", "left_semi")
-    now = stored(rest.select("node", "block", "root").distinct(), "blocks")
-    links = links.unionByName(confirmed(docs, records, candidates(rest, True), now, "second"))
     short = stored(lacking(records), "lacking")
-    if not short.isEmpty():
-        alone = short.select(F.explode("ys").alias("node")).distinct()
-        alone = alone.withColumn("block", F.xxhash64("node")).withColumn("root", F.col("node"))
-        links = links.unionByName(confirmed(docs, records, short, alone, "lacking"))
+    if count:
+        counts, links = counted(docs, records, inside, short)
+    else:
+        links = spanning(docs, records, inside, short)
     roots = components(links, "x", "y")
     least = records.join(roots, "node").groupBy("root").agg(F.min("doc_id").alias("least"))
     joined = roots.join(least, "root").select("node", "root", "least")
     n_links = F.lit(None).cast("long")
     if count:
-        joined = joined.join(counted(docs, records, inside, short), "node", "left")
+        joined = joined.join(counts, "node", "left")
         n_links = F.coalesce("n_links", F.lit(0).cast("long"))
     final = records.join(joined, "node", "left").select(
         F.col("key").alias("key_"),

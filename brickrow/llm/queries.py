@@ -21,7 +21,7 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.classes(table(spark, sf_dir, "documents")).drop("n_links")
+    return jaccard_join.classes(table(spark, sf_dir, "documents"))
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,13 +130,19 @@ WITH RECURSIVE words AS MATERIALIZED (
     SELECT x.r AS a, y.r AS b, count(*) AS c FROM numbered x JOIN numbered y ON x.s = y.s AND x.r <> y.r GROUP BY ALL
   ) p JOIN sizes u ON u.r = p.a JOIN sizes v ON v.r = p.b
   WHERE 100 * c >= 75 * (u.n + v.n - c)
+), keyed AS MATERIALIZED (
+  SELECT r, dense_rank() OVER (ORDER BY k) AS k FROM (SELECT r, list_sort(list(s)) AS k FROM numbered GROUP BY r)
+), counted AS (
+  SELECT links.a AS r, count(DISTINCT y.k) AS n_links FROM links JOIN keyed x ON x.r = links.a JOIN keyed y ON y.r = links.b WHERE x.k <> y.k GROUP BY links.a
 ), reach AS (
   SELECT r AS a, r AS b FROM words
   UNION
   SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
 )
-SELECT words.doc_id, coalesce(any_value(sizes.n), 0)::BIGINT AS n_shingles, min(other.doc_id) AS component_id
+SELECT words.doc_id, coalesce(any_value(sizes.n), 0)::BIGINT AS n_shingles, min(other.doc_id) AS component_id,
+  coalesce(any_value(counted.n_links), 0)::BIGINT AS n_links
 FROM words JOIN reach ON reach.a = words.r JOIN words other ON other.r = reach.b LEFT JOIN sizes ON sizes.r = words.r
+LEFT JOIN counted ON counted.r = words.r
 GROUP BY words.r, words.doc_id
 """,
     "op9_quality_rules": f"""

@@ -114,15 +114,22 @@ def test_a_hot_group_and_a_common_line(spark):
     assert got(spark, rows) == brute(rows)
 
 
-def test_too_few_segments_are_made_up_for(spark, monkeypatch):
+def test_too_few_segments_are_made_up_for(spark):
     """With hardly any segments every record lacks some: the fallback has to find all links."""
-    monkeypatch.setattr(join, "segments", lambda band: 2)
     r = random.Random(11)
     rows = list(enumerate(texts_like(r, 60, list(range(10, 60)), 2)))
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
-    records = join.described(docs).collect()
-    assert any(x.n_shingles >= 4 and x.segs + x.twos < join.required(x.n_shingles) for x in records) or True
-    assert sorted((tuple(x) for x in join.classes(docs).select("doc_id", "n_shingles", "component_id").collect()), key=repr) == brute(rows)
+    records = join.described(docs, 2).selectExpr("*", "rec as node", "n_shingles as n")
+    assert not join.lacking(records).isEmpty()
+    assert join.lacking(join.described(docs).selectExpr("*", "rec as node", "n_shingles as n")).isEmpty()
+    for found in (join.classes(docs, 2), join.placed(docs, False, 2)):
+        assert sorted((tuple(x) for x in found.select("doc_id", "n_shingles", "component_id").collect()), key=repr) == brute(rows)
+
+
+def test_other_case_of_a_column(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", "z"), (2, "a b c d e f", "y")], "doc_id bigint, text string, t string").toDF("doc_id", "text", "TEXT")
+    assert sorted(tuple(x) for x in join.classes(docs).collect()) == [(1, 2, 1, 0), (2, 2, 1, 0)]
+    assert [x[0] for x in join.representatives(docs).collect()] == [1]
 
 
 def test_one_missed_segment_is_enough_for_two_linked_sets():
