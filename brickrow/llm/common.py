@@ -97,6 +97,7 @@ def in_order(docs: DataFrame, lookahead: bool = False) -> Ordered:
     its own (after the last: the first).
     """
     spark = docs.sparkSession
+    docs = exact(docs, "doc_id", "text")
     n = shuffle_partitions(spark)
     probabilities = [i / n for i in range(n)]
     found = docs.agg(
@@ -164,6 +165,7 @@ def labelled(docs: DataFrame, labels: DataFrame, column: str, per_class: int) ->
     Rows of fold 0 and null labels are never taken. The second value weighs each class so that the
     sample counts as the labels are spread. The joined side is bounded by ``2 * per_class`` rows.
     """
+    docs, labels = exact(docs, "doc_id", "text"), exact(labels, "doc_id", column)
     known = labels.select("doc_id", F.col(column).cast("int").alias("label")).where(
         F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 0)
     )

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from brickrow.llm.common import bytes_of, steps, stored
+from brickrow.llm.common import bytes_of, exact, steps, stored
 from brickrow.llm.encoding import KEPT_WORDS, STEP, encoder
 
 CAPACITY = 2048
@@ -67,7 +67,7 @@ def pieces(
                     a, b = b, b + capacity
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)], names=names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, PIECES)
+    return exact(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, PIECES)
 
 
 def knapsack(values: np.ndarray, capacity: int) -> dict[int, int]:

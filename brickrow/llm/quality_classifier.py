@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brickrow.llm.common import fold, labelled, steps, texts_of
+from brickrow.llm.common import exact, fold, labelled, steps, texts_of
 
 PASSAGE = 64
 #: Text that one step describes, in bytes: descriptions take some tens of bytes for each of them.
@@ -237,7 +237,7 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
                 names=["doc_id", "score", "passage"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+    rows = exact(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, score double, passage long"
     )
     return rows.select(

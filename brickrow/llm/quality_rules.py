@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brickrow.llm.common import steps, stored, texts_of
+from brickrow.llm.common import exact, steps, stored, texts_of
 
 #: Edges of neighbouring bins differ by this factor.
 GROWTH = 1.02
@@ -79,7 +79,7 @@ def measured(docs: DataFrame) -> DataFrame:
 
     schema = "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in names[3:])
     columns = [F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source"]
-    rows = docs.select(*columns).mapInArrow(run, schema)
+    rows = exact(docs, "doc_id", "text", "lang", "source").select(*columns).mapInArrow(run, schema)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return rows.withColumn("base_failed", failed)
 
