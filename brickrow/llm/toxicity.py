@@ -2,7 +2,9 @@
 
 Terms are a document's words (lower case, letters only) and their first four to six letters. The
 vocabulary has all terms of the examples, with document frequencies over all documents. Examples are held
-in an inverted index by term; a query adds up the postings of all its terms, so the neighbours are exact.
+in an inverted index by term, in blocks with the greatest weight of each: a query adds up the postings of
+its rare terms, then those of the common ones in the blocks that can hold one of the nearest, and cosines
+of the few that remain are computed exactly.
 
 A second index has the same vectors cut to a lexicon: terms whose document frequencies over the examples
 differ between the two labels by ``SURE`` (chi-square) and by a factor of ``LIFT`` (rates), at most the
@@ -35,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brickrow.llm.common import fold, labelled, steps, stored, texts_of
+from brickrow.llm.common import exact, fold, labelled, steps, stored, texts_of
 
 PER_CLASS = 2000
 TERMS = 3000
@@ -47,6 +49,8 @@ THRESHOLD = 0.5
 PRIOR_VOTES = 0.5
 #: Text that one step scores, in bytes.
 STEP = 1 << 20
+#: Texts that are looked up together.
+TOGETHER = 64
 #: Distinct words whose terms a worker keeps.
 KEPT_WORDS = 150_000
 
@@ -93,35 +97,142 @@ def weighed(t: np.ndarray, times: np.ndarray, idf: np.ndarray) -> tuple[np.ndarr
     return t, unit((1 + np.log(times)) * idf[t])
 
 
+#: Examples of a block.
+BLOCK = 64
+#: What sums of single precision may be off by: 2 ** -24 for each of some 2,000 terms, and more.
+SLACK = 2e-4
+
+
+def spans(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers from each ``a`` up to its ``b``, one after the other, and how many each gives."""
+    size = b - a
+    end = np.cumsum(size)
+    return np.arange(end[-1] if len(end) else 0) + np.repeat(a - (end - size), size), size
+
+
 class Index:
-    """Postings of the examples by term."""
+    """Postings of the examples by term, in blocks of examples with the greatest weight of each block.
+
+    Examples are ordered so that similar ones share a block. Terms that many examples have are common:
+    their blocks are dense, one matrix for each block, and ``most`` has the greatest weight of every term in
+    every block. The others have lists of the examples that have them.
+    """
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int):
         self.size, self.terms = len(vectors), terms
-        term = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in vectors)])
-        order = np.argsort(term, kind="stable")
-        self.ids = np.repeat(np.arange(self.size), [len(t) for t, _ in vectors])[order]
-        self.weights = np.concatenate([np.zeros(0), *(w for _, w in vectors)])[order]
-        self.start = np.searchsorted(term[order], np.arange(terms + 1))
+        self.term = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in vectors)])
+        self.weight = np.concatenate([np.zeros(0), *(w for _, w in vectors)])
+        self.begin = np.concatenate([[0], np.cumsum([len(t) for t, _ in vectors], dtype=np.int64)]).astype(np.int64)
+        self._built = None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "_built": None}  # workers build the blocks themselves
+
+    def _blocks(self) -> dict:
+        if self._built is None:
+            owner = np.repeat(np.arange(self.size), np.diff(self.begin))
+            have = np.bincount(self.term, minlength=self.terms)
+            column = np.full(self.terms, -1, np.int64)
+            common = np.flatnonzero(have > max(self.size // 16, 8))
+            column[common] = np.arange(len(common))
+            there = column[self.term]
+            dense = np.zeros((len(common), self.size), np.float32)
+            dense[there[there >= 0], owner[there >= 0]] = self.weight[there >= 0]
+            # Similar examples lie on the same side of the directions in which all differ most.
+            centred = dense - dense.mean(1, keepdims=True) if self.size else dense
+            basis = np.eye(len(common), min(4, len(common)))
+            for _ in range(6):
+                basis = np.linalg.qr(centred @ (centred.T @ basis))[0]
+            along = centred.T @ basis
+            sides = (along > 0) @ (1 << np.arange(along.shape[1])) if len(common) else np.zeros(self.size)
+            order = np.lexsort((along[:, 0] if len(common) else np.zeros(self.size), sides))
+            position = np.empty(self.size, np.int64)
+            position[order] = np.arange(self.size)
+            n = -(-self.size // BLOCK)
+            padded = np.zeros((len(common), n * BLOCK), np.float32)
+            padded[:, : self.size] = dense[:, order]
+            blocks = np.ascontiguousarray(padded.reshape(len(common), n, BLOCK).transpose(1, 0, 2))
+            rare = np.flatnonzero(there < 0)
+            rare = rare[np.argsort(self.term[rare], kind="stable")]
+            self._built = {
+                "column": column,
+                "blocks": blocks,
+                "most": np.ascontiguousarray(blocks.max(2).T),
+                "order": order,
+                "position": position,
+                "start": np.searchsorted(self.term[rare], np.arange(self.terms + 1)),
+                "places": position[owner[rare]],
+                "weights": self.weight[rare],
+                "query": np.zeros(self.terms),
+            }
+        return self._built
 
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the ``k`` nearest examples with a cosine over 0, nearest first."""
-        if not len(t) or not self.size:
+        return self.nearest_of([(t, w)], k, [without])[0]
+
+    def nearest_of(self, queries: list[tuple], k: int, without: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of each query.
+
+        Sums over rare terms and, block by block, over common ones, in single precision; a block that by its
+        greatest weights cannot reach the ``k``-th so far is left out. The few that may be among the nearest
+        are then computed exactly.
+        """
+        if not self.size or not queries:
+            return [(np.zeros(0, np.int64), np.zeros(0)) for _ in queries]
+        x = self._blocks()
+        n, wide = len(x["blocks"]), len(x["blocks"]) * BLOCK
+        common = np.zeros((len(queries), x["blocks"].shape[1]), np.float32)
+        sums = np.zeros((len(queries), wide), np.float32)
+        for q, (t, w) in enumerate(queries):
+            column = x["column"][t]
+            common[q, column[column >= 0]] = w[column >= 0]
+            few = t[column < 0]
+            rows, size = spans(x["start"][few], x["start"][few + 1])
+            sums[q] = np.bincount(x["places"][rows], x["weights"][rows] * np.repeat(w[column < 0], size), wide)
+        bound = sums.reshape(len(queries), n, BLOCK).max(2) + common @ x["most"]
+        seen = np.zeros((len(queries), n), bool)
+
+        def add(wanted: np.ndarray) -> None:
+            for block in np.flatnonzero(wanted.any(0)):
+                rows = np.flatnonzero(wanted[:, block])
+                sums[rows, block * BLOCK : (block + 1) * BLOCK] += common[rows] @ x["blocks"][block]
+            seen[wanted] = True
+
+        def told() -> np.ndarray:
+            out = np.where(np.repeat(seen, BLOCK, axis=1), sums, -1)
+            for q, i in enumerate(without or []):
+                if i >= 0:
+                    out[q, x["position"][i]] = -1
+            return out
+
+        def reached(values: np.ndarray) -> np.ndarray:
+            at = max(values.shape[1] - k, 0)
+            return np.partition(values, at, axis=1)[:, at]
+
+        most = min(n, -(-(k + 1) // BLOCK) + 1)
+        best = np.zeros_like(seen)
+        np.put_along_axis(best, np.argpartition(-bound, most - 1, axis=1)[:, :most], True, axis=1)
+        add(best)
+        add(~seen & (bound >= reached(told())[:, None] - SLACK))
+        self.left_out = int((~seen).sum())
+        values = told()
+        least = np.maximum(reached(values) - SLACK, np.finfo(np.float32).tiny)
+        return [self._exact(t, w, x["order"][np.flatnonzero(values[q] >= least[q])], k) for q, (t, w) in enumerate(queries)]
+
+    def _exact(self, t: np.ndarray, w: np.ndarray, some: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The nearest of some examples that all share a term with the query."""
+        if not len(some):
             return np.zeros(0, np.int64), np.zeros(0)
-        a, b = self.start[t], self.start[t + 1]
-        rows = [slice(i, j) for i, j in zip(a.tolist(), b.tolist())]
-        ids = np.concatenate([self.ids[r] for r in rows])
-        total = np.bincount(ids, np.concatenate([self.weights[r] for r in rows]) * np.repeat(w, b - a), self.size)
-        if without >= 0:
-            total[without] = 0
+        query = self._blocks()["query"]
+        query[t] = w
+        rows, size = spans(self.begin[some], self.begin[some + 1])
+        products = self.weight[rows] * query[self.term[rows]]
+        query[t] = 0
+        cosines = np.add.reduceat(products, np.cumsum(size) - size)
         # Cosines that differ by rounding only are ties.
-        hit = np.flatnonzero(total > 0)
-        near = total[hit].round(9)
-        if len(hit) > k:
-            some = near >= np.partition(near, len(hit) - k)[len(hit) - k]
-            hit, near = hit[some], near[some]
-        hit = hit[np.lexsort((hit, -near))[:k]]
-        return hit, total[hit]
+        first = np.lexsort((some, -cosines.round(9)))[:k]
+        return some[first], cosines[first]
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -158,27 +269,31 @@ class Model:
     places: np.ndarray
     values: np.ndarray
 
-    def share(self, t: np.ndarray, w: np.ndarray, without: int = -1) -> tuple[float, np.ndarray]:
+    def shares(self, queries: list[tuple], without: list[int] | None = None) -> list[tuple[float, np.ndarray]]:
         """Weighted share of toxic votes, where the rate of texts without terms has some too; the nearest over all terms."""
-        ids, cosines = self.index.nearest(t, w, NEAREST, without)
-        some = self.lexicon[t]
-        more, telling = self.told.nearest(t[some], unit(w[some]), NEAREST, without)
-        both = np.concatenate([ids, more])
-        vote = np.concatenate([cosines, telling]) ** 2 * self.weights[both]
-        return float(((vote * self.labels[both]).sum() + PRIOR_VOTES * self.rate) / (vote.sum() + PRIOR_VOTES)), ids
+        near = self.index.nearest_of(queries, NEAREST, without)
+        cut = [(t[self.lexicon[t]], unit(w[self.lexicon[t]])) for t, w in queries]
+        out = []
+        for (ids, cosines), (more, telling) in zip(near, self.told.nearest_of(cut, NEAREST, without)):
+            both = np.concatenate([ids, more])
+            vote = np.concatenate([cosines, telling]) ** 2 * self.weights[both]
+            out.append((float(((vote * self.labels[both]).sum() + PRIOR_VOTES * self.rate) / (vote.sum() + PRIOR_VOTES)), ids))
+        return out
 
     def score(self, texts: list[str], known: dict) -> list[tuple[float, list[int]]]:
-        out, seen = [], {}
-        for text in texts:
-            if text not in seen:
+        seen: dict[str, tuple[float, list[int]]] = {}
+        asked = list(dict.fromkeys(texts))
+        for a in range(0, len(asked), TOGETHER):
+            queries = {}
+            for text in asked[a : a + TOGETHER]:
                 t, times = counted(text, known, self.vocabulary)
                 if len(t):
-                    share, ids = self.share(*weighed(t, times, self.idf))
-                    seen[text] = (float(np.interp(share, self.places, self.values)), self.ids[ids].tolist())
+                    queries[text] = weighed(t, times, self.idf)
                 else:
                     seen[text] = (self.rate, [])
-            out.append(seen[text])
-        return out
+            for text, (share, ids) in zip(queries, self.shares(list(queries.values()))):
+                seen[text] = (float(np.interp(share, self.places, self.values)), self.ids[ids].tolist())
+        return [seen[text] for text in texts]
 
 
 def frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[int, np.ndarray]:
@@ -196,7 +311,7 @@ def frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[int, np.nd
         some = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(found[some], n))], names=["term", "n"])
 
-    total = docs.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    total = exact(docs, "text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(len(vocabulary) + 1, np.int64)
     out[total["term"].to_numpy()] = total["n"].to_numpy()
     return int(out[-1]), out[:-1]
@@ -262,7 +377,8 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", per_class: in
     rate = float(((y * weight)[empty].sum() + 0.5 * class_weight[1] * n1 / n) / (weight[empty].sum() + 0.5))
     indexes = Index(vectors_, len(idf)), lexicon, Index(told, len(idf))
     model = Model(vocabulary, idf, *indexes, ids[held], y, weight, rate, np.zeros(1), np.zeros(1))
-    shares = np.array([model.share(t, w, without=i)[0] for i, (t, w) in enumerate(vectors_)])
+    asked = [range(a, min(a + TOGETHER, len(vectors_))) for a in range(0, len(vectors_), TOGETHER)]
+    shares = np.array([share for r in asked for share, _ in model.shares([vectors_[i] for i in r], list(r))])
     some = ~empty
     if some.any():
         model.places, model.values = isotonic(shares[some], y[some], weight[some])
@@ -286,7 +402,7 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
                 names=["doc_id", "score", "evidence"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+    rows = exact(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, score double, evidence array<bigint>"
     )
     return rows.select(

@@ -99,6 +99,31 @@ def test_nearest_examples_equal_all_cosines():
         assert np.allclose(cosines, full[order])
 
 
+def test_blocks_that_cannot_hold_a_nearest_example_are_left_out():
+    """Four languages with words of their own and some in common; exact, also with the example itself left out."""
+    r = np.random.default_rng(8)
+    vectors = []
+    for i in range(1500):
+        own = 200 + 300 * (i % 4) + r.choice(60, 30, replace=False)
+        t = np.unique(np.concatenate([r.choice(40, 8), own]))
+        vectors.append((t, toxicity.unit(r.random(len(t)) + 0.1)))
+    vectors += vectors[:30]
+    index = toxicity.Index(vectors, 1400)
+    dense = np.zeros((len(vectors), 1400))
+    for i, (t, w) in enumerate(vectors):
+        dense[i, t] = w
+    asked = list(range(0, len(vectors), 11))
+    left_out = 0
+    for without in (None, asked):
+        found = index.nearest_of([vectors[i] for i in asked], 15, without)
+        left_out += index.left_out
+        for i, (ids, cosines) in zip(asked, found):
+            full = dense @ dense[i]
+            order = [j for j in np.lexsort((np.arange(len(full)), -full.round(9))) if full[j] > 0 and not (without and j == i)][:15]
+            assert ids.tolist() == order and np.allclose(cosines, full[order], atol=1e-12)
+    assert left_out > 0
+
+
 def test_isotonic_regression():
     places, values = toxicity.isotonic(np.array([1, 2, 3, 4, 4.0]), np.array([0, 1, 0, 1, 1.0]), np.ones(5))
     assert (np.diff(places) > 0).all() and (np.diff(values) >= 0).all()
