@@ -32,13 +32,16 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brickrow.llm.common import steps, texts_of
+from brickrow.llm.common import exact, steps, texts_of
 
 WORDS = 20_000
 STEPS = 32
 LONG = 256
 KEPT = 700_000
-MEMORY = "256MB"
+MEMORY_MB = 256
+#: Rows that all steps of one query over a long word keep, and memory for each byte of a word that is longer.
+ROWS = 500_000
+BYTES_PER_ROW = 256
 
 #: One contraction in every word; ``{step}`` is the recursion's body for rows ``t``. Last rows of each word come out.
 _RECURSION = """
@@ -122,7 +125,7 @@ class Codec:
         # Tokens that a lesser rank can follow from: their occurrences are contracted one at a time.
         part = np.concatenate([pair >> 16, pair & 65535])
         single = np.unique(part[np.concatenate([merged, merged]) < part])
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": f"{MEMORY_MB}MB", "temp_directory": ""})
         self.db.execute("SET preserve_insertion_order = false")
         for name, columns in {
             "merges": {"pair": pa.array(pair), "id": pa.array(merged.astype(np.int32))},
@@ -142,8 +145,8 @@ class Codec:
             for name in tables:
                 self.db.unregister(name)
 
-    def _merged(self, words: list[bytes], body: str) -> list[bytes]:
-        """Ids of words, as little-endian unsigned 32-bit bytes."""
+    def _merged(self, words: list[bytes], body: str, steps: int = STEPS) -> list[bytes]:
+        """Ids of words, as little-endian unsigned 32-bit bytes; a query makes ``steps`` contractions, and keeps them all."""
         data = np.frombuffer(b"".join(words), np.uint8)
         size = np.array([len(x) for x in words])
         end = np.cumsum(size)
@@ -160,7 +163,7 @@ class Codec:
         )
         out: list[bytes] = [b""] * len(words)
         while rows.num_rows:
-            state = self._query(_RECURSION.format(step=body.format(steps=STEPS)), s=rows)
+            state = self._query(_RECURSION.format(step=body.format(steps=steps)), s=rows)
             # Words that have a pair left after all steps go on from here.
             going = pc.is_in(state["w"], pc.unique(state.filter(pc.is_valid(state["rank"]))["w"]))
             lists = self._query(_IDS, finished=state.filter(pc.invert(going)))
@@ -172,6 +175,15 @@ class Codec:
             rows = state.filter(going).select(["w", "p", "tok", "nxt"])
         return out
 
+    def _long(self, word: bytes) -> bytes:
+        """Ids of a long word, by fewer steps at once the longer it is; beyond a million bytes it takes more memory."""
+        wanted = max(MEMORY_MB, len(word) * BYTES_PER_ROW >> 20)
+        self.db.execute(f"SET memory_limit = '{wanted}MB'")
+        try:
+            return self._merged([word], _ALL, max(1, min(STEPS, ROWS // len(word))))[0]
+        finally:
+            self.db.execute(f"SET memory_limit = '{MEMORY_MB}MB'")
+
     def _learn(self, pieces: list[str]) -> None:
         short, data = [], []
         for piece in pieces:
@@ -179,7 +191,7 @@ class Codec:
             if x in self.ranks:
                 self.known[piece] = np.array([self.ranks[x]], "<u4").tobytes()
             elif len(x) > LONG:
-                self.known[piece] = self._merged([x], _ALL)[0]
+                self.known[piece] = self._long(x)
             else:
                 short.append(piece)
                 data.append(x)
@@ -269,7 +281,7 @@ def _mapped(docs: DataFrame, ranks: str, pattern: str, back: bool) -> DataFrame:
                 columns.append(pa.array(own.decode(ids), pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = exact(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids binary" + ", decoded binary" * back)
 
 
