@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brickrow.llm.common import sample, steps, texts_of
+from brickrow.llm.common import exact, sample, steps, texts_of
 
 #: Pages that the classifier is fitted on, and blocks taken from each, at most.
 SAMPLE = 2000
@@ -59,7 +59,8 @@ _MARKUP = re.compile(
     r"|<[!?/][^>]*(?:>|\Z)",
     re.IGNORECASE | re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"""(?:^|[\s"'])(class|id|role|hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
+#: Attributes one after the other, so that what stands in a value is no attribute.
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 #: Features of what a block stands in: element names, and words of class, id and role.
@@ -312,7 +313,7 @@ def fit(pages: DataFrame, sample_pages: int = SAMPLE) -> np.ndarray:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["x"])
 
-    rows = sample(pages.select("page_id", "html"), sample_pages, "page_id").mapInArrow(marked, "x binary").collect()
+    rows = sample(exact(pages, "page_id", "html"), sample_pages, "page_id").mapInArrow(marked, "x binary").collect()
     data = np.concatenate([np.zeros((0, len(PRIOR) + 1)), *(np.frombuffer(r.x, "<f8").reshape(-1, len(PRIOR) + 1) for r in sorted(rows))])
     return learn(data[:, :-1], data[:, -1])
 
@@ -327,5 +328,5 @@ def extract(pages: DataFrame, weights: np.ndarray) -> DataFrame:
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"]
             )
 
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
+    rows = exact(pages, "page_id", "url", "html").select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     return rows.mapInArrow(run, "page_id long, url string, text string")

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brickrow.llm.common import sample, steps, texts_of
+from brickrow.llm.common import exact, sample, steps, texts_of
 
 #: Documents that the field is fitted on, and stretches taken from each, at most.
 SAMPLE = 4000
@@ -237,7 +237,7 @@ class Field:
 
 def fit(docs: DataFrame, sample_docs: int = SAMPLE) -> Field:
     """A field learned from the base spans of at most ``sample_docs`` documents."""
-    rows = sample(docs.select("doc_id", "text"), sample_docs).mapInArrow(_stretches, "x binary, y binary").collect()
+    rows = sample(exact(docs, "doc_id", "text"), sample_docs).mapInArrow(_stretches, "x binary, y binary").collect()
     width = 2 * REACH + 1
     x = np.full((len(rows), width, len(FEATURES)), -1, np.int64)
     y = np.zeros((len(rows), width), np.int64)
@@ -320,11 +320,19 @@ def found(texts: list[str], field: Field) -> list[list[tuple[int, int, int, int]
     for i, j in zip(begins, ends):
         k = int(tokens.text[i])
         a, b = tokens.chars(data, k, int(tokens.start[i])), tokens.chars(data, k, int(tokens.end[j]))
-        if all(b <= x[1] or x[2] <= a for x in spans[k] if x[0] < 3):
-            spans[k].append((3, a, b, a))
+        spans[k] += [(3, c, d, c) for c, d in beyond(a, b, [x[1:3] for x in spans[k] if x[0] < 3]) if texts[k][c:d].strip()]
     return [sorted(x, key=lambda x: (x[1], x[0])) for x in spans]
 
 
+def beyond(a: int, b: int, base: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What a span of the field adds: the whole if it meets no base span, else what follows those inside it."""
+    met = sorted(x for x in base if x[0] < b and a < x[1])
+    if not met:
+        return [(a, b)]
+    ends = [max(y for _, y in met[: i + 1]) for i in range(len(met))]
+    return [(c, d) for c, d in zip(ends, [x for x, _ in met[1:]] + [b]) if c < d]
+
+
 def scan(docs: DataFrame, field: Field) -> DataFrame:
     """``doc_id`` and ``spans``, an array of ``kind, start, end`` in order, for every document."""
 
@@ -339,17 +347,19 @@ def scan(docs: DataFrame, field: Field) -> DataFrame:
                 [batch.column("doc_id"), pa.array(spans, pa.list_(span))], names=["doc_id", "spans"]
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = exact(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(run, "doc_id long, spans array<struct<kind:string,start:bigint,end:bigint>>")
 
 
 def redact(docs: DataFrame, field: Field, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by ``mark``; of an assignment, only its value."""
-    schema = docs.schema
+    place = docs.columns.index("text")
+    # Positional names inside, so that columns whose names differ only in case do no harm.
+    inner = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
 
     def run(batches):
-        at = schema.names.index("text")
-        for batch in steps(batches, "text", STEP):
+        at = place
+        for batch in steps(batches, f"c{place}", STEP):
             out = []
             values = batch.column(at).to_pylist()
             for text, spans in zip(values, found([v or "" for v in values], field)):
@@ -363,6 +373,6 @@ def redact(docs: DataFrame, field: Field, mark: str = "[SECRET]") -> DataFrame:
                 out.append(text if not parts else "".join(parts) + text[done:])
             columns = list(batch.columns)
             columns[at] = pa.array(out, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return inner.mapInArrow(run, inner.schema).toDF(*docs.columns)

@@ -43,6 +43,14 @@ def test_a_page_with_everything_around_its_text():
     assert main.main_text(PAGE, PRIOR) == want
 
 
+def test_words_in_values_of_other_attributes_are_no_attributes():
+    prose = "A long paragraph of plain text that says a lot. It goes on, and on."
+    for tag in ['p title="the hidden gem"', 'div data-note="a hidden thing"', "p title='class=ad'", 'p data-x=" style=display:none"']:
+        assert main.main_text(f"<article><{tag}>{prose}</{tag.split()[0]}></article>", PRIOR) == prose
+    for tag in ["p hidden", 'p hidden="until-found"', 'p data-a="x" hidden', 'p style="display: none"', "p STYLE='display:none'"]:
+        assert main.main_text(f"<article><p>{prose}</p><{tag}>{prose} Twice.</p></article>", PRIOR) == prose
+
+
 def test_a_page_without_any_markup_for_its_parts():
     page = """<div><a href=x>Home</a> <a href=y>About</a></div><div><p>A long paragraph of plain text that
     says a lot. It goes on, and on, and on.</p><p>Short.</p><p>Another paragraph which also has sentences. Yes.</p></div>

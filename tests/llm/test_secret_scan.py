@@ -38,6 +38,13 @@ def test_base_spans_equal_brute_force(text):
     assert [(scan.KINDS[k], a, b) for k, a, b, _ in scan.base_spans(text)] == brute_base(text)
 
 
+def test_spans_of_the_field_are_cut_at_base_spans():
+    assert scan.beyond(3, 9, []) == scan.beyond(3, 9, [(0, 3), (9, 12)]) == [(3, 9)]
+    assert scan.beyond(0, 30, [(4, 8), (12, 20)]) == [(8, 12), (20, 30)]
+    assert scan.beyond(6, 10, [(4, 12)]) == [] and scan.beyond(6, 15, [(4, 12)]) == [(12, 15)]
+    assert scan.beyond(0, 20, [(2, 15), (4, 6), (8, 9)]) == [(15, 20)]
+
+
 @pytest.fixture(scope="module")
 def field(spark):
     return scan.fit(spark.read.parquet(f"{SF}/documents.parquet"))
