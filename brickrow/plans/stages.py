@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from brickrow import lookups
 from brickrow.operators import clean, frontier, listing, quality
+from brickrow.operators.distinct import first_row
+from brickrow.sources import buckets as bucket_tables
 from brickrow.sources import files, tables, versions
 
 log = logging.getLogger(__name__)
@@ -65,47 +67,48 @@ def scrape_new(frontier_table: DataFrame, raw: DataFrame | None, pages: DataFram
     return listing.to_raw(listing.scrape_new(urls, pages))
 
 
-def append_new(frontier_table: DataFrame, pages: DataFrame, path: str) -> str:
-    """From a frontier to RAW under ``path``, a run at a time: what is new or failed before is scraped.
+def append_new(
+    frontier_table: DataFrame, pages: DataFrame, name: str, buckets: int | None = None, path: str | None = None
+) -> int:
+    """From a frontier to the RAW table ``name``, a run at a time: what is new or failed before is scraped.
 
-    RAW is replaced as a whole and without a gap (``versions``): records that failed before give way.
+    The table is bucketed by URL. A run appends its own records and rewrites none; a URL that failed before
+    then has two, of which the later run's counts. ``buckets`` must stay the same over runs; it is the
+    session's number of shuffle partitions unless given. Returns the number of the run.
     """
     spark = pages.sparkSession
-    raw = current_raw(spark, path)
-    rows = scrape_new(frontier_table, raw, pages)
-    if raw is not None:
-        asked = frontier.not_yet_scraped(frontier_table, raw).select(F.col("url").alias("property_url"))
-        rows = raw.join(asked, "property_url", "left_anti").unionByName(rows)
-    folder = versions.new_folder(path)
-    tables.write_table(rows, f"{path}/{folder}")
-    versions.switch(spark, path, {"raw": folder})
-    return path
+    rows = scrape_new(frontier_table, current_raw(spark, name), pages)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return bucket_tables.append_run(rows, name, "property_url", n, path)
 
 
-def current_raw(spark: SparkSession, path: str) -> DataFrame | None:
-    """RAW as ``append_new`` left it, or none."""
-    folder = versions.current(spark, path).get("raw")
-    return tables.read_table(spark, f"{path}/{folder}") if folder else None
+def current_raw(spark: SparkSession, name: str) -> DataFrame | None:
+    """RAW as ``append_new`` left it, or none: the last record of every URL, found inside each bucket."""
+    if not spark.catalog.tableExists(name):
+        return None
+    return first_row(spark.table(name), ["property_url"], [F.desc(bucket_tables.RUN)]).drop(bucket_tables.RUN)
 
 
 def publish(silver: DataFrame, path: str, csv_path: str | None = None) -> Row:
     """Write SILVER and make it the published version if it passes the gate; the gate's counts.
 
-    It is written once, to a folder beside the published one; the gate reads two columns of that. A
-    table that fails, or a run that breaks off, leaves the published version as it was. With
-    ``csv_path`` the published version is also written as CSV, dearest first.
+    It is written once, to a folder beside the published one, and what the gate asks for is counted as it is
+    written. A table that fails, or a run that breaks off, leaves the published version as it was. With
+    ``csv_path`` the published version is also written as CSV, dearest first. Should Spark repeat tasks
+    that were done, counts may be too high; whether they are zero, which the gate asks, they still tell.
     """
     spark = silver.sparkSession
-    folder = tables.write_silver(silver, path)
-    staged = tables.read_silver_folder(spark, f"{path}/{folder}")
+    told = Observation()
+    folder = tables.write_silver(silver, path, told, quality.gate_columns())
+    counts = quality.observed(told)
     try:
-        counts = quality.check(staged)
+        quality.judge(counts)
     except quality.QualityGateError:
         files.remove(spark, f"{path}/{folder}")
         raise
     versions.switch(spark, path, {"silver": folder})
     if csv_path:
-        tables.write_silver_csv(staged, csv_path)
+        tables.write_silver_csv(tables.read_silver_folder(spark, f"{path}/{folder}"), csv_path)
     return counts
 
 

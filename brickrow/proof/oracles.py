@@ -210,6 +210,11 @@ SELECT count(*) AS n_rows, CAST({len(SILVER_TYPES)} AS BIGINT) AS n_columns, cou
         f"SELECT {i} AS position, '{c}' AS column_name, '{t}' AS column_type, count({c}) AS n_values FROM silver"
         for i, (c, t) in enumerate(SILVER_TYPES.items())
     ),
+    "stored_profile": f"{DIRTY_SILVER} "
+    + " UNION ALL ".join(
+        f"SELECT {i} AS position, '{c}' AS column_name, '{t}' AS column_type, count({c}) AS n_values FROM silver"
+        for i, (c, t) in enumerate(SILVER_TYPES.items())
+    ),
     "frontier_urls": f"""WITH {O}, slugs AS (
   SELECT * FROM (VALUES ('Antwerp', 'antwerp', 0), ('Flemish Brabant', 'vlaams-brabant', 1),
     ('Walloon Brabant', 'brabant-wallon', 2), ('East Flanders', 'east-flanders', 3),
@@ -306,9 +311,16 @@ UNION ALL SELECT k, 'cadastral_income_eur', cadastral_income_eur || ' €' FROM
     "raw_records": f"""WITH {RAW}, gone AS (SELECT url || '/gone' AS property_url FROM o)
 SELECT {RAW_COLUMNS} FROM raw UNION ALL BY NAME SELECT property_url FROM gone""",
     "scrape_new": f"""WITH {RAW.replace("FROM o)", "FROM o WHERE status <> 'F')")} SELECT {RAW_COLUMNS} FROM raw""",
+    "scrape_new_bucketed": f"""WITH {RAW.replace("FROM o)", "FROM o WHERE status <> 'F')")} SELECT {RAW_COLUMNS} FROM raw""",
     "append_new": f"WITH {RAW} SELECT {RAW_COLUMNS} FROM raw",
     "raw_distinct": f"""WITH {O}
 SELECT url AS property_url, CASE WHEN k % 2 = 1 THEN {N} END AS price_eur, CAST(NULL AS BIGINT) AS garden_m2 FROM o""",
+    "ragged_records": f"""WITH {O}
+SELECT CASE WHEN k % 19 <> 0 THEN url END AS property_url,
+  CASE WHEN k % 19 <> 0 AND k % 5 IN (1, 2, 4) THEN CAST(floor(total) AS BIGINT) END AS price_eur,
+  CASE WHEN k % 19 <> 0 AND k % 4 < 2 THEN k % 7 END AS bedrooms,
+  CASE WHEN k % 19 = 0 THEN NULL WHEN k % 3 = 0 THEN 'Gas' WHEN k % 3 = 1 THEN CAST(k % 9 AS VARCHAR) END AS heating_type,
+  CAST(NULL AS BIGINT) AS garden_m2 FROM o""",
     "collapse_text": f"""WITH t AS (SELECT doc_id, {squeezed("text")} AS t FROM documents)
 SELECT doc_id, md5(t) AS text_md5, CAST(length(t) AS INTEGER) AS n_chars FROM t""",
     "parse_price": scalar(f"CASE k % 6 WHEN 2 THEN NULL WHEN 4 THEN {N} % 1000 WHEN 5 THEN NULL ELSE {N} END", "price_eur"),

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from brickrow import lookups, schemas
 from brickrow.functions import links, places, text
-from brickrow.operators import clean, frontier, html, listing, quality, ranges
+from brickrow.operators import clean, frontier, html, listing, quality, ragged, ranges
 from brickrow.plans import stages
 from brickrow.proof import render, texts
-from brickrow.sources import tables
+from brickrow.sources import buckets, tables
 from brickrow.sources.scratch import scratch_dir
 from brickrow.streaming import incremental
 
@@ -119,6 +119,11 @@ def profile(spark, sf_dir):
     return quality.profile(_silver(spark, sf_dir))
 
 
+def stored_profile(spark, sf_dir):
+    """The profile of SILVER as it is stored, from the footers of its files."""
+    return quality.stored_profile(spark, tables.write_table(_silver(spark, sf_dir), scratch_dir(spark, "profiled")))
+
+
 # --- frontier and links ----------------------------------------------------------------------
 
 def frontier_urls(spark, sf_dir):
@@ -297,16 +302,34 @@ def scrape_new(spark, sf_dir):
     return stages.scrape_new(pages.select("url"), raw, pages.unionByName(older))
 
 
+def _bucket_place(spark, name):
+    """A name for a table of this run alone, and where its files lie."""
+    path = scratch_dir(spark, name)
+    return f"{name}_{path.split('-')[-1].split('/')[0]}", path
+
+
+def scrape_new_bucketed(spark, sf_dir):
+    """As ``scrape_new``, from pages and RAW in buckets by URL."""
+    orders, raw = _filled(spark, sf_dir)
+    pages = render.listing_pages(orders)
+    older = pages.select((-1 - F.col("page_id")).alias("page_id"), "url", F.lit("<p>soon</p>").alias("html"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (pages_name, pages_path), (raw_name, raw_path) = _bucket_place(spark, "pages_by_url"), _bucket_place(spark, "raw_by_url")
+    stored = buckets.write(pages.unionByName(older), pages_name, "url", n, pages_path)
+    known = buckets.write(raw, raw_name, "property_url", n, raw_path)
+    return stages.scrape_new(stored.select("url").where("page_id >= 0"), known, stored)
+
+
 def append_new(spark, sf_dir):
     """Two runs into one RAW: half of the listings first, then all; pages that failed at first are read."""
-    path = scratch_dir(spark, "raw-runs")
+    name, path = _bucket_place(spark, "raw_runs")
     pages = _listing_pages(spark, sf_dir)
     half = pages.where("page_id % 2 = 0")
     failed = half.where("page_id % 3 = 0").withColumn("html", F.lit(None).cast("string"))
     failing = half.where("page_id % 3 > 0").unionByName(failed)
-    stages.append_new(half.select("url"), failing, path)
-    stages.append_new(pages.select("url"), pages, path)
-    return stages.current_raw(spark, path)
+    stages.append_new(half.select("url"), failing, name, path=path)
+    stages.append_new(pages.select("url"), pages, name, path=path)
+    return stages.current_raw(spark, name)
 
 
 def raw_distinct(spark, sf_dir):
@@ -318,6 +341,12 @@ def raw_distinct(spark, sf_dir):
     return listing.raw_table(stacked, [F.asc("seq")]).select("property_url", "price_eur", "garden_m2")
 
 
+def ragged_records(spark, sf_dir):
+    """Records as JSON: keys missing, too many, of another type than most have, and texts that are no JSON."""
+    rows = render.json_records(_spread_orders(spark, sf_dir))
+    return ragged.to_raw(ragged.as_variant(rows, "record"), "record").select("property_url", "price_eur", "bedrooms", "heating_type", "garden_m2")
+
+
 # --- scalar functions ------------------------------------------------------------------------
 
 
@@ -421,6 +450,7 @@ QUERIES: dict[str, Query] = {
     "gate_outcomes": gate_outcomes,
     "table_shape": table_shape,
     "profile": profile,
+    "stored_profile": stored_profile,
     "frontier_urls": frontier_urls,
     "link_extract": link_extract,
     "link_normalize": link_normalize,
@@ -443,8 +473,10 @@ QUERIES: dict[str, Query] = {
     "cadastral_fallback": cadastral_fallback,
     "raw_records": raw_records,
     "scrape_new": scrape_new,
+    "scrape_new_bucketed": scrape_new_bucketed,
     "append_new": append_new,
     "raw_distinct": raw_distinct,
+    "ragged_records": ragged_records,
     "collapse_text": collapse_text,
     "parse_price": _scalar(texts.price, price_eur=text.price_eur),
     "parse_area": _scalar(texts.area, area_m2=text.area_m2),

@@ -226,3 +226,20 @@ def dirty_raw(orders: DataFrame) -> DataFrame:
     )
     columns["property_code"] = F.when(F.col("copy") == 1, cat("D", num("k"))).otherwise(columns["property_code"])
     return rows.select(*[c.cast("string").alias(name) for name, c in columns.items()])
+
+
+def json_records(orders: DataFrame) -> DataFrame:
+    """One JSON text for each order, ``record``, with ragged keys; every 19th is cut short."""
+    price = pick(
+        5,
+        "",
+        cat(',"price_eur":"', num("floor(total)"), '"'),
+        cat(',"price_eur":', num("floor(total)"), ".9"),
+        ',"price_eur":{"amount":1}',
+        cat(',"price_eur":', num("floor(total)")),
+    )
+    bedrooms = pick(4, cat(',"bedrooms":', num("k % 7")), cat(',"bedrooms":"', num("k % 7"), '"'), ',"bedrooms":null', ',"bedrooms":"some"')
+    heating = pick(3, ',"heating_type":"Gas"', cat(',"heating_type":', num("k % 9")), ',"heating_type":["Gas"]')
+    extra = pick(2, ',"agent":{"name":"x","phones":[1,2]}', "")
+    record = cat('{"property_url":"', listing_url(), '"', price, bedrooms, heating, extra, F.when(F.col("k") % 19 == 0, "").otherwise("}"))
+    return keyed(orders).select(record.alias("record"))

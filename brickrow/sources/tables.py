@@ -5,12 +5,12 @@ from __future__ import annotations
 import logging
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from brickrow import lookups, schemas
 from brickrow.operators import clean
-from brickrow.sources import versions
+from brickrow.sources import records, versions
 
 log = logging.getLogger(__name__)
 
@@ -26,10 +26,10 @@ CSV_FORMAT = {
 def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """A CSV file or directory with header, every column as text, missing-value texts as null.
 
-    A file is split among tasks; ``multiline`` allows line breaks inside quotes, but reads each file
-    in one task. A missing path raises.
+    A file is split among tasks; ``multiline`` allows line breaks inside quotes, for which the files are
+    read twice (``records``). A missing path raises.
     """
-    table = spark.read.options(**CSV_FORMAT).option("multiLine", multiline).csv(path)
+    table = records.read_records(spark, path, CSV_FORMAT) if multiline else spark.read.options(**CSV_FORMAT).csv(path)
     return table.select(
         *[F.when(~F.col(c).isin(lookups.CSV_NULLS), F.col(c)).alias(c) for c in table.columns]
     )
@@ -99,13 +99,14 @@ def write_url_list(frontier: DataFrame, path: str, order: list[str]) -> str:
     return write_csv(frontier.orderBy(*order).select(F.col("url").alias("link")), path)
 
 
-def write_silver(silver: DataFrame, path: str) -> str:
+def write_silver(silver: DataFrame, path: str, told: Observation, counts: list[Column]) -> str:
     """SILVER by province, as a new data folder under ``path`` that no reader sees yet; its name.
 
-    The rebalance keeps files few and splits a province that is large.
+    The rebalance keeps files few and splits a province that is large. ``told`` learns the ``counts`` of
+    the rows as they are written.
     """
     folder = versions.new_folder(path)
-    balanced = silver.hint("rebalance", "province")
+    balanced = silver.hint("rebalance", "province").observe(told, *counts)
     balanced.write.partitionBy("province").parquet(f"{path}/{folder}")
     return folder
 

@@ -5,10 +5,11 @@ import io
 
 import pytest
 
-from brickrow.operators import clean, frontier, listing
+from brickrow.operators import clean, frontier, listing, quality
 from brickrow.plans import stages
+from brickrow.proof import render
 from brickrow.proof.queries import QUERIES
-from brickrow.sources import tables
+from brickrow.sources import buckets, tables
 
 SF = "/root/testdata/sf0.001"
 
@@ -58,6 +59,45 @@ def test_only_the_pages_that_are_asked_for_are_parsed(pages):
     assert any("Join LeftSemi" in line for line in tree[parser:])
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    """The tables of the tests are small; large ones are not broadcast."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_bucketed_pages_and_raw_are_not_exchanged(spark, tmp_path, no_broadcast):
+    pages = render.listing_pages(spark.read.parquet(f"{SF}/orders.parquet"))
+    stored = buckets.write(pages, "pages_of_a_test", "url", 8, str(tmp_path / "pages"))
+    read = listing.to_raw(listing.records(stored.where("page_id % 2 = 0")))
+    raw = buckets.write(read, "raw_of_a_test", "property_url", 8, str(tmp_path / "raw"))
+    urls = stored.select("url").where("page_id % 3 = 0")
+    text = plan(frontier.not_yet_scraped(urls, raw))
+    assert "Exchange" not in text and "Join LeftAnti" in text
+    new = stages.scrape_new(urls, raw, stored)
+    text = plan(new)
+    exchanges = [part for part in text.split("\n\n") if part.lstrip().startswith("(") and ") Exchange" in part]
+    # Only records that were read from pages move, by their URL.
+    assert exchanges and all("property_code" in part and "html" not in part for part in exchanges)
+    assert new.count() == urls.count() - raw.join(urls, raw.property_url == urls.url).count()
+    for name in ("pages_of_a_test", "raw_of_a_test"):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_counts_of_a_stored_table_come_from_footers(spark, tmp_path):
+    rows = [("a", 1, None), (None, 2, 2.0), ("c", None, None)]
+    path = tables.write_table(spark.createDataFrame(rows, "a string, b bigint, c double"), str(tmp_path / "t"))
+    with quality.footers(spark):
+        text = plan(quality.stored_counts(spark, path))
+    assert "PushedAggregation: [COUNT(*), COUNT(a), COUNT(b), COUNT(c)]" in text
+    assert quality.stored_profile(spark, path).collect() == quality.profile(tables.read_table(spark, path)).collect()
+    assert quality.stored_shape(spark, path) == (3, 3)
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
 PAGE_QUERIES = ["link_extract", "link_normalize", "page_class_text", "page_heading", "page_text", "page_outcomes", "collapse_text"]
 
 
