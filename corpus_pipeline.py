@@ -45,8 +45,11 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced by a mark, and ``n_chars`` of the text that is left."""
     clean = secret_scan.redact(docs, secret_scan.fit(docs))
-    size = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
-    return clean.withColumn("n_chars", size)
+    # Columns by place, as further ones may differ from these in case alone.
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    text, size = (F.col(names[docs.columns.index(c)]) for c in ("text", "n_chars"))
+    counted = F.when(text.isNull(), size).otherwise(F.length(text).cast("long"))
+    return clean.toDF(*names).withColumn(names[docs.columns.index("n_chars")], counted).toDF(*docs.columns)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
