@@ -8,6 +8,7 @@ The module is pickled by value, so executors do not need the package installed.
 
 from __future__ import annotations
 
+import gc
 import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -64,90 +65,94 @@ class Selector:
         return cls is not None and (cls == self.cls if " " in self.cls else self.cls in cls.split())
 
 
-def _text(page: NodeColumns, i: int | None) -> str | None:
-    if i is None or not 0 <= i < len(page.tag):
-        return None
-    own = page.own[i]
-    return (" ".join(page.pieces[page.seg_from[i] : page.seg_to[i]]) if own is None else own) or None
-
-
-def _near(page: NodeColumns, i: int) -> str | None:
-    above = page.parent[i]
-    for at in (page.next[i], page.next[above] if above >= 0 else None, i + 1, i + 2, i + 3, i + 4):
-        found = _text(page, at)
-        if found:
-            return found
-    return None
-
-
-def _link(page: NodeColumns, i: int) -> str | None:
-    return next((page.href[k] for k in range(i + 1, page.end[i]) if page.tag[k] == "a"), None)
-
-
 class Marks:
-    """The marks of pages as flat columns, one entry for each field that any selector wants."""
+    """The marks of pages as rows, with one entry for each field that any selector wants."""
 
     def __init__(self, selectors: Sequence[Selector], kinds: dict) -> None:
         self.selectors = selectors
         self.kinds = kinds  # (tag, class) -> numbers of the selectors that may take it
         self.fields = fields_of(selectors)
-        self.columns: dict[str, list] = {name: [] for name in self.fields}
+        self.roots = [n for n, s in enumerate(selectors) if s.root]
+        # Beside number and place: what to fill, by selector.
+        self.wanted = [[f if f in s.wants or f == "parent_end" and "parent" in s.wants else None for f in self.fields[2:]] for s in selectors]
+        self.rows: list[tuple] = []
 
     def __len__(self) -> int:
-        return len(self.columns["sel"])
+        return len(self.rows)
+
+    def columns(self) -> list[Sequence]:
+        """One sequence for each of ``fields``."""
+        return list(zip(*self.rows)) or [()] * len(self.fields)
 
     def add_page(self, page: NodeColumns) -> None:
+        tags, classes, hrefs, parents = page.tag, page.cls, page.href, page.parent
+        own, pieces, seg_from, seg_to, following, end = page.own, page.pieces, page.seg_from, page.seg_to, page.next, page.end
+        selectors, kinds, add, n = self.selectors, self.kinds, self.rows.append, len(tags)
+
+        def text(i: int | None) -> str | None:
+            if i is None or i >= n:
+                return None
+            aside = own[i]
+            if aside is not None:
+                return aside or None
+            a, b = seg_from[i], seg_to[i]
+            if b - a == 1:
+                return pieces[a]
+            return " ".join(pieces[a:b]) if a < b else None
+
+        def near(i: int) -> str | None:
+            above = parents[i]
+            return (
+                text(following[i])
+                or (above >= 0 and text(following[above]))
+                or text(i + 1)
+                or text(i + 2)
+                or text(i + 3)
+                or text(i + 4)
+                or None
+            )
+
+        def held(found: str | None, word: str | None) -> str | None:
+            return found if word is None or found is None or word in found.lower() else None
+
+        def value(field: str | None, s: Selector, i: int):
+            if field is None:
+                return None
+            if field == "text":
+                return held(text(i), s.holding)
+            if field == "near":
+                return near(i)
+            if field == "href":
+                return hrefs[i]
+            if field == "link":
+                return next((hrefs[k] for k in range(i + 1, end[i]) if tags[k] == "a"), None)
+            if field == "parent":
+                return parents[i]
+            if field == "parent_end":
+                return end[parents[i]]
+            return held(text(parents[i]), s.holding)
+
+        for number in self.roots:
+            s = selectors[number]
+            add((number, 0, *[value(f, s, 0) for f in self.wanted[number]]))
         done: set[int] = set()
-        kinds, selectors = self.kinds, self.selectors
-        for number, s in enumerate(selectors):
-            if s.root:
-                self._add(page, number, s, 0)
-        tags, classes = page.tag, page.cls
-        for i in range(1, len(tags)):
+        for i in range(1, n):
             kind = tags[i], classes[i]
             numbers = kinds.get(kind)
             if numbers is None:
                 if len(kinds) > 50_000:
                     kinds.clear()
-                numbers = kinds[kind] = [n for n, s in enumerate(selectors) if not s.root and s.may_be(*kind)]
+                numbers = kinds[kind] = [k for k, s in enumerate(selectors) if not s.root and s.may_be(*kind)]
             for number in numbers:
                 s = selectors[number]
                 if s.first and number in done:
                     continue
-                if s.title is not None and (_text(page, i) or "").lower() != s.title:
+                if s.title is not None and (text(i) or "").lower() != s.title:
                     continue
-                if s.href_with is not None and (page.href[i] is None or s.href_with not in page.href[i]):
+                if s.href_with is not None and (hrefs[i] is None or s.href_with not in hrefs[i]):
                     continue
                 done.add(number)
-                self._add(page, number, s, i)
-
-    def _add(self, page: NodeColumns, number: int, s: Selector, i: int) -> None:
-        for name, column in self.columns.items():
-            if name == "sel":
-                value = number
-            elif name == "idx":
-                value = i
-            elif name not in s.wants and not (name == "parent_end" and "parent" in s.wants):
-                value = None
-            elif name == "text":
-                value = _held(_text(page, i), s.holding)
-            elif name == "near":
-                value = _near(page, i)
-            elif name == "href":
-                value = page.href[i]
-            elif name == "link":
-                value = _link(page, i)
-            elif name == "parent":
-                value = page.parent[i]
-            elif name == "parent_end":
-                value = page.end[page.parent[i]]
-            else:
-                value = _held(_text(page, page.parent[i]), s.holding)
-            column.append(value)
-
-
-def _held(text: str | None, word: str | None) -> str | None:
-    return text if word is None or text is None or word in text.lower() else None
+                add((number, i, *[value(f, s, i) for f in self.wanted[number]]))
 
 
 def fields_of(selectors: Sequence[Selector]) -> list[str]:
@@ -168,6 +173,8 @@ def selecting(selectors: Sequence[Selector]):
             for start in range(0, batch.num_rows, PAGES_PER_BATCH):
                 part = batch.slice(start, PAGES_PER_BATCH)
                 marks, at = Marks(selectors, kinds), []
+                collecting = gc.isenabled()
+                gc.disable()  # pages have no cycles, and walking their lists takes time
                 for html in part.column("html").to_pylist():
                     events = read(html)
                     at.append(None if events is None else len(marks))
@@ -175,8 +182,10 @@ def selecting(selectors: Sequence[Selector]):
                         page = NodeColumns()
                         page.add_page(events)
                         marks.add_page(page)
+                if collecting:
+                    gc.enable()
                 at.append(len(marks))
-                values = pa.StructArray.from_arrays([pa.array(marks.columns[f.name], f.type) for f in wanted], fields=wanted)
+                values = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(marks.columns(), wanted)], fields=wanted)
                 kept = [i for i, name in enumerate(part.schema.names) if name != "html"]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(i) for i in kept] + [pa.ListArray.from_arrays(pa.array(at, pa.int32()), values)],

@@ -45,9 +45,9 @@ TEXT, START, END, CUT = range(4)
 ATTRIBUTE = r"""[ \t\r\n\f]+[a-zA-Z_][a-zA-Z0-9_:-]*(?:=(?:"[^"]*"|'[^']*'|[^ \t\r\n\f"'=<>`&/]+))?"""
 #: One piece of markup and the text after it; scripts and styles whole. Other tags may hold ``>`` in quotes.
 MARKUP = re.compile(
-    rf"""<(?:(!--(?!-?>)[^-]*(?:-[^-]+)*--)
+    rf"""<(?:((?:/|(?!(?:script|style)\b))[a-zA-Z][^<>"']*(?:(?:"[^"<]*"|'[^'<]*')[^<>"']*)*)
     |((?:script|style)(?:{ATTRIBUTE})*[ \t\r\n\f]*)>(.*?)</(?:script|style)[ \t\r\n\f]*
-    |([^<>"']*(?:(?:"[^"<]*"|'[^'<]*')[^<>"']*)*))>([^<]*)""",
+    |(!--(?!-?>)[^-]*(?:-[^-]+)*--|![a-zA-Z][^<>"'\[\]]*))>([^<]*)""",
     re.VERBOSE | re.DOTALL,
 )
 PLAIN_TAG = re.compile(rf"(/?)([a-zA-Z][a-zA-Z0-9]*)((?:{ATTRIBUTE})*)[ \t\r\n\f]*(/?)")
@@ -73,11 +73,11 @@ def _named(name: str) -> str:
     return html5.get(f"{name};") or f"&{name}"
 
 
-def _read_tag(tag: str) -> tuple | None:
-    """The event of a tag, or None when it is not plain."""
+def _read_tag(tag: str, raw: bool = False) -> tuple | None:
+    """The event of a tag, or None when it is not plain; ``raw``: its text has been read with it."""
     found = PLAIN_TAG.fullmatch(tag)
     if not found:
-        return (CUT,) if PLAIN_DOCTYPE.fullmatch(tag) else None
+        return None
     closing, name, attributes, slash = found.groups()
     name = name.lower()
     if closing:
@@ -96,7 +96,8 @@ def _read_tag(tag: str) -> tuple | None:
                     cls = " ".join(value.split())
                 else:
                     href = value
-    return (START, name, cls, href, slash)
+    # Scripts and styles are read with their text, or not here.
+    return None if name in RAW_TEXT_TAGS and not slash and not raw else (START, name, cls, href, slash)
 
 
 class PlainEvents:
@@ -118,7 +119,7 @@ class PlainEvents:
             if text:
                 add((TEXT, text))
         n_open = len(found)  # how many "<" the pieces account for
-        for comment, raw, raw_text, tag, text in found:
+        for tag, raw, raw_text, mark, text in found:
             if tag:
                 try:
                     event = known[tag]
@@ -126,11 +127,11 @@ class PlainEvents:
                     if len(known) >= KEPT_TAGS:
                         known.clear()
                     event = known[tag] = _read_tag(tag)
-                if event is None or (event[1:2] and event[1] in RAW_TEXT_TAGS and event[0] == START and not event[4]):
+                if event is None:
                     return None
                 add(event)
             elif raw:
-                event = _read_tag(raw)
+                event = _read_tag(raw, True)
                 if event is None or RAW_TEXT_END.search(raw_text):
                     return None
                 add(event)
@@ -138,11 +139,11 @@ class PlainEvents:
                     add((TEXT, raw_text))
                 add((END, event[1]))
                 n_open += raw.count("<") + raw_text.count("<") + 1
-            elif comment:
-                add((CUT,))
-                n_open += comment.count("<")
             else:
-                return None
+                if mark[1] != "-" and not PLAIN_DOCTYPE.fullmatch(mark):
+                    return None
+                add((CUT,))
+                n_open += mark.count("<")
             if text:
                 if "&" in text and (text := _unescaped(text)) is None:
                     return None
@@ -226,7 +227,7 @@ class NodeColumns:
         aside_pieces: dict[int, list[str]] = {}
 
         def cut() -> None:
-            piece = " ".join("".join(text).split())
+            piece = " ".join((text[0] if len(text) == 1 else "".join(text)).split())
             text.clear()
             if piece and asides:
                 name = tags[asides[-1]]

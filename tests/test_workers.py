@@ -114,7 +114,7 @@ def marks(html, *selectors):
     page, found = NodeColumns(), Marks(selectors, {})
     page.add_page(reader()(html))
     found.add_page(page)
-    return [dict(zip(found.columns, row)) for row in zip(*found.columns.values())]
+    return [dict(zip(found.fields, row)) for row in found.rows]
 
 
 def test_selectors_test_tag_class_text_and_target():
