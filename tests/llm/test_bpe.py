@@ -41,6 +41,13 @@ def test_long_pieces_equal_the_library(own, library, text):
     assert own.encode([text]) == [ids(library, text)]
 
 
+def test_a_word_of_a_million_letters(own, library):
+    """It does not run out of memory; whole runs of four are contracted as in a short one."""
+    got = own.encode(["a" * 1_000_000])
+    assert got == [ids(library, "a" * 4000) * 250]
+    assert own.decode(got) == [b"a" * 1_000_000]
+
+
 def test_long_random_pieces_equal_the_library(own, library):
     r = random.Random(6)
     for letters in ("abcdefghijklmnop", "abctheinr"):
