@@ -52,7 +52,7 @@ GROUP_WORDS = 500_000
 
 _UNKNOWN = "und"
 _BUCKET_BITS = 1 << 15
-_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _WORD, _BLANK, _CUT = 0, 1, 2
 _KIND = np.zeros(256, np.uint8)
 _KIND[[0x20, 0x09]] = _BLANK
@@ -99,6 +99,11 @@ class Words:
     piece: np.ndarray  # number of its piece, different for each string
     owner: np.ndarray  # number of its string
     hash: np.ndarray
+    sums: np.ndarray  # from which hashes of further spans follow
+
+    def hash_of(self, start: np.ndarray, end: np.ndarray, powers: Powers) -> np.ndarray:
+        """Hashes of other spans of the bytes, as those of words."""
+        return _mixed((self.sums[end] - self.sums[start]) * powers.down[start])
 
 
 def words_of(data: bytes, offsets: np.ndarray, powers: Powers) -> Words:
@@ -119,7 +124,7 @@ def words_of(data: bytes, offsets: np.ndarray, powers: Powers) -> Words:
     up, down = powers.upto(len(codes))
     sums = np.zeros(len(codes) + 1, np.uint64)
     np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * up[: len(codes)], out=sums[1:])
-    return Words(start, end, piece, owner, _mixed((sums[end] - sums[start]) * down[start]))
+    return Words(start, end, piece, owner, _mixed((sums[end] - sums[start]) * down[start]), sums)
 
 
 def _data_of(texts: pa.Array) -> tuple[bytes, np.ndarray]:
@@ -128,7 +133,7 @@ def _data_of(texts: pa.Array) -> tuple[bytes, np.ndarray]:
     offsets = np.frombuffer(whole.buffers()[1], np.int64)[whole.offset : whole.offset + len(whole) + 1]
     data = whole.buffers()[2]
     low, high = int(offsets[0]), int(offsets[-1])
-    return (data[low:high].to_pybytes() if data is not None else b"").translate(_LOWER), offsets - low
+    return (data[low:high].to_pybytes() if data is not None else b"").translate(LOWER), offsets - low
 
 
 def chunks_of(texts: pa.Array, powers: Powers, period: int = PERIOD, longest: int = LONGEST) -> tuple[list[bytes], np.ndarray, np.ndarray]:

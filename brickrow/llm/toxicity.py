@@ -28,7 +28,6 @@ empty table gives no rows. Only ``doc_id`` and ``text`` are inputs of a score.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from dataclasses import dataclass
 from itertools import chain
 
@@ -37,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from brickrow.llm.collocations import LOWER, Powers, Words, words_of
 from brickrow.llm.common import exact, fold, labelled, steps, stored, texts_of
 
 PER_CLASS = 2000
@@ -54,38 +54,111 @@ TOGETHER = 64
 #: Distinct words whose terms a worker keeps.
 KEPT_WORDS = 150_000
 
+#: How many first letters of a word are terms too.
+BEGINNINGS = (4, 5, 6)
+
 _LETTERS = re.compile(r"[^\W\d_]+")
+_IS_LETTER = np.zeros(256, np.int64)
+_IS_LETTER[[*b"abcdefghijklmnopqrstuvwxyz"]] = 1
 
 
 def terms_of(word: str) -> list[str]:
-    """Terms of one white-space separated word."""
+    """Terms of one word."""
     out = []
     for w in _LETTERS.findall(word.lower()):
         out.append(w)
-        out += [f"{w[:n]}*" for n in (4, 5, 6) if len(w) >= n]
+        out += [f"{w[:n]}*" for n in BEGINNINGS if len(w) >= n]
     return out
 
 
-def numbers_of(words: list[str], known: dict[str, tuple], vocabulary: dict[str, int]) -> list[tuple]:
-    """Numbers of each word's terms in the vocabulary. ``known`` keeps them."""
-    out = []
-    for word in words:
-        numbers = known.get(word)
-        if numbers is None:
-            if len(known) >= KEPT_WORDS:
-                known.clear()
-            numbers = known[word] = tuple(vocabulary[t] for t in terms_of(word) if t in vocabulary)
-        out.append(numbers)
-    return out
+class Terms:
+    """Numbers of the terms in texts, all texts at once.
 
+    Words are cut and told apart as bytes. A word of ASCII letters and its first letters are looked up by
+    64-bit hashes, each distinct word once; others by their text, where ``known`` keeps what was found.
+    """
 
-def counted(text: str, known: dict[str, tuple], vocabulary: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the terms of the vocabulary in a text, ascending, and how often each occurs."""
-    words = Counter(text.split())
-    numbers = numbers_of(list(words), known, vocabulary)
-    times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), np.fromiter(map(len, numbers), np.int64, len(words)))
-    t, at = np.unique(np.fromiter(chain.from_iterable(numbers), np.int64, len(times)), return_inverse=True)
-    return t, np.bincount(at, times, len(t)).astype(np.int64)
+    def __init__(self, vocabulary: dict[str, int]) -> None:
+        self.vocabulary = vocabulary
+        self.known: dict[bytes, tuple] = {}
+        self.powers = Powers()
+        self.whole = self._table([(t, n) for t, n in vocabulary.items() if t[-1] != "*"])
+        self.beginnings = self._table([(t[:-1], n) for t, n in vocabulary.items() if t[-1] == "*"])
+
+    def _table(self, terms: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the terms of ASCII letters, ascending, and their numbers."""
+        plain = [(t.encode(), n) for t, n in terms if t.isascii()]
+        data = b"".join(t for t, _ in plain)
+        offsets = np.concatenate([[0], np.cumsum([len(t) for t, _ in plain])]).astype(np.int64)
+        hashes = words_of(data, offsets, self.powers).hash
+        order = np.argsort(hashes, kind="stable")
+        return hashes[order], np.array([n for _, n in plain], np.int64)[order]
+
+    @staticmethod
+    def _found(table: tuple[np.ndarray, np.ndarray], hashes: np.ndarray) -> np.ndarray:
+        """Numbers of the hashes in a table, -1 for those that are not there."""
+        keys, numbers = table
+        if not len(keys):
+            return np.full(len(hashes), -1, np.int64)
+        at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+        return np.where(keys[at] == hashes, numbers[at], -1)
+
+    def _numbers(self, word: bytes) -> tuple:
+        found = self.known.get(word)
+        if found is None:
+            if len(self.known) >= KEPT_WORDS:
+                self.known.clear()
+            get = self.vocabulary.get
+            found = self.known[word] = tuple(n for t in terms_of(word.decode()) if (n := get(t)) is not None)
+        return found
+
+    def _of_words(self, data: bytes, words: Words, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For the words at ``first``: which of these, and the number of one of its terms, by word."""
+        start, end = words.start[first], words.end[first]
+        letters = np.zeros(len(data) + 1, np.int64)
+        np.cumsum(_IS_LETTER[np.frombuffer(data, np.uint8)], out=letters[1:])
+        plain = np.flatnonzero(letters[end] - letters[start] == end - start)
+        which, numbers = [plain], [self._found(self.whole, words.hash[first[plain]])]
+        for n in BEGINNINGS:
+            long = plain[end[plain] - start[plain] >= n]
+            which.append(long)
+            numbers.append(self._found(self.beginnings, words.hash_of(start[long], start[long] + n, self.powers)))
+        other = np.flatnonzero(letters[end] - letters[start] != end - start)
+        found = [self._numbers(data[a:b]) for a, b in zip(start[other].tolist(), end[other].tolist())]
+        which.append(np.repeat(other, [len(x) for x in found]))
+        numbers.append(np.fromiter(chain.from_iterable(found), np.int64, len(which[-1])))
+        which, numbers = np.concatenate(which), np.concatenate(numbers)
+        there = numbers >= 0
+        which, numbers = which[there], numbers[there]
+        order = np.argsort(which, kind="stable")
+        return which[order], numbers[order]
+
+    def rows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, term and how often it occurs there, ascending by text and term."""
+        encoded = [t.encode().translate(LOWER) for t in texts]
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in encoded])]).astype(np.int64)
+        data = b"".join(encoded)
+        words = words_of(data, offsets, self.powers)
+        _, first, which = np.unique(words.hash, return_index=True, return_inverse=True)
+        # A word once for each text that has it, and how often.
+        pair, often = np.unique(words.owner * max(len(first), 1) + which, return_counts=True)
+        text, word = pair // max(len(first), 1), pair % max(len(first), 1)
+        owner, numbers = self._of_words(data, words, first)
+        begin = np.searchsorted(owner, np.arange(len(first) + 1))
+        at, times = spans(begin[word], begin[word + 1])
+        n = max(len(self.vocabulary), 1)
+        key = np.repeat(text, times) * n + numbers[at]
+        order = np.argsort(key, kind="stable")
+        key, weight = key[order], np.repeat(often, times)[order]
+        new = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+        count = np.add.reduceat(weight, new) if len(new) else weight
+        return key[new] // n, key[new] % n, count
+
+    def counted(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text its terms, ascending, and how often each occurs."""
+        owner, term, count = self.rows(texts)
+        cut = np.searchsorted(owner, np.arange(len(texts) + 1))
+        return [(term[a:b], count[a:b]) for a, b in zip(cut, cut[1:])]
 
 
 def unit(w: np.ndarray) -> np.ndarray:
@@ -281,12 +354,14 @@ class Model:
         return out
 
     def score(self, texts: list[str], known: dict) -> list[tuple[float, list[int]]]:
+        """Score and evidence of each text; ``known`` is a worker's, and keeps what it has looked up."""
+        terms = known.get("terms") or known.setdefault("terms", Terms(self.vocabulary))
         seen: dict[str, tuple[float, list[int]]] = {}
         asked = list(dict.fromkeys(texts))
+        found = terms.counted(asked)
         for a in range(0, len(asked), TOGETHER):
             queries = {}
-            for text in asked[a : a + TOGETHER]:
-                t, times = counted(text, known, self.vocabulary)
+            for text, (t, times) in zip(asked[a : a + TOGETHER], found[a : a + TOGETHER]):
                 if len(t):
                     queries[text] = weighed(t, times, self.idf)
                 else:
@@ -301,13 +376,11 @@ def frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[int, np.nd
     given = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches):
-        known: dict = {}
+        terms = Terms(given.value)
         n, found = 0, np.zeros(len(given.value), np.int64)
         for batch in steps(batches, "text", STEP):
-            for text in texts_of(batch.column("text")):
-                n += 1
-                numbers = set(chain.from_iterable(numbers_of(list(set(text.split())), known, given.value)))
-                found[np.fromiter(numbers, np.int64, len(numbers))] += 1
+            n += batch.num_rows
+            found += np.bincount(terms.rows(texts_of(batch.column("text")))[1], minlength=len(found))
         some = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(found[some], n))], names=["term", "n"])
 
@@ -356,12 +429,12 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", per_class: in
     given = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def vectors(batches):
-        known: dict = {}
+        terms = Terms(given.value)
         for batch in steps(batches, "text"):
-            found = [counted(t, known, given.value) for t in texts_of(batch.column("text"))]
+            found = terms.counted(texts_of(batch.column("text")))
             kind = pa.list_(pa.int64())
-            terms, times = (pa.array([f[i] for f in found], kind) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), terms, times], names=names)
+            columns = [pa.array([f[i] for f in found], kind) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), *columns], names=names)
 
     names = ["doc_id", "label", "terms", "times"]
     schema = "doc_id long, label int, terms array<bigint>, times array<bigint>"
