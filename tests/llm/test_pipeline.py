@@ -8,7 +8,7 @@ SF = "/root/testdata/sf0.01"
 
 
 def test_stages_and_queries():
-    assert [n.partition("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.partition("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert set(ORACLES) <= set(QUERIES)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "quality_classifier", "ngram_jaccard_join", "secret_scans", "best_fit_packing"]
 
