@@ -93,9 +93,14 @@ def quality_gate(spark, sf_dir):
     return quality.gate_counts(_silver(spark, sf_dir))
 
 
+def _stored_silver(spark, sf_dir):
+    """SILVER written once, for queries that read it several times."""
+    return tables.read_table(spark, tables.write_table(_silver(spark, sf_dir), scratch_dir(spark, "silver")))
+
+
 def gate_outcomes(spark, sf_dir):
     """What the gate says of a good table, an empty one, and one that lacks prices."""
-    good = _silver(spark, sf_dir)
+    good = _stored_silver(spark, sf_dir)
     without = good.withColumn("price_eur", F.when(F.col("bedrooms") != 3, F.col("price_eur")))
     rows = []
     for name, table in {"good": good, "empty": good.where("bedrooms < -1"), "no price": without}.items():
