@@ -408,7 +408,7 @@ def csv_roundtrip(spark, sf_dir):
 def silver_csv(spark, sf_dir):
     """Published twice, the second time with the CSV beside it, which is read back."""
     path, csv_path = scratch_dir(spark, "published"), scratch_dir(spark, "silver-csv")
-    silver = _silver(spark, sf_dir)
+    silver = _stored_silver(spark, sf_dir)
     stages.publish(silver.limit(0).unionByName(silver.where("price_eur > 100000")), path)
     stages.publish(silver, path, csv_path)
     read = tables.read_csv(spark, csv_path)

@@ -5,7 +5,7 @@ import pytest
 from brickrow.proof import queries
 
 
-@pytest.mark.parametrize("name", ["gate_outcomes"])
+@pytest.mark.parametrize("name", ["gate_outcomes", "silver_csv"])
 def test_silver_is_computed_once(spark, tmp_path, monkeypatch, name):
     rows = [(i, 1000 + i % 40, 200_000.0 + 1000 * i) for i in range(1, 401)]
     spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_totalprice double").write.parquet(str(tmp_path / "orders.parquet"))
