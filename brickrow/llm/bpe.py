@@ -5,7 +5,7 @@ met. Their bytes become rows ``(word, place, token, next token, rank of the pair
 contracts the leftmost pair of least rank of every word at once, row by row: the pair's first row takes
 the merged token, its second row goes, the rows around it learn their new neighbour and join the merge
 table for its rank. A word without a pair in the table is at its fixpoint. Ordered aggregation gives the
-words' ids, and, over ``(document, place, id)`` joined with the vocabulary, the decoded bytes.
+words' ids. Decoding takes the bytes of each id from the vocabulary, an Arrow array by id.
 
 Memory is bounded: a query has ``WORDS`` words of at most ``STEPS`` steps, and goes on from its last
 rows where words need more; a worker keeps the ids of ``KEPT`` pieces. A piece of over ``LONG`` bytes
@@ -100,7 +100,6 @@ _ALL = """
 """
 
 _IDS = "SELECT w, list(tok ORDER BY p) AS ids FROM finished GROUP BY w ORDER BY w"
-_BYTES = "SELECT d, list(bytes ORDER BY p) AS parts FROM given JOIN vocabulary USING (id) GROUP BY d ORDER BY d"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -125,12 +124,13 @@ class Codec:
         # Tokens that a lesser rank can follow from: their occurrences are contracted one at a time.
         part = np.concatenate([pair >> 16, pair & 65535])
         single = np.unique(part[np.concatenate([merged, merged]) < part])
+        by_id = {r: t for t, r in ranks.items()}
+        self.vocabulary = pa.array([by_id.get(i, b"") for i in range(len(ranks))], pa.binary())
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": f"{MEMORY_MB}MB", "temp_directory": ""})
         self.db.execute("SET preserve_insertion_order = false")
         for name, columns in {
             "merges": {"pair": pa.array(pair), "id": pa.array(merged.astype(np.int32))},
             "single": {"id": pa.array(single.astype(np.int32)), "every": pa.array(np.zeros(len(single), bool))},
-            "vocabulary": {"id": pa.array(list(ranks.values()), pa.int32()), "bytes": pa.array(list(ranks), pa.binary())},
         }.items():
             self.db.register("given", pa.table(columns))
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
@@ -230,23 +230,12 @@ class Codec:
             return [b""] * len(rows)
         if ids.min() < 0 or ids.max() >= len(self.ranks):
             raise ValueError("an id is not in the vocabulary")
-        given = pa.table(
-            {
-                "d": np.repeat(np.arange(len(rows), dtype=np.int32), size),
-                "p": (np.arange(len(ids)) - np.repeat(np.cumsum(size) - size, size)).astype(np.int32),
-                "id": ids,
-            }
-        )
-        found = self._query(_BYTES, given=given)
-        out = [b""] * len(rows)
-        for chunk, numbers in zip(found["parts"].chunks, found["d"].chunks):
-            # The parts of a list lie one after the other in one buffer.
-            offsets = chunk.offsets.to_numpy()
-            places = np.frombuffer(chunk.values.buffers()[1], np.int32)[chunk.values.offset :]
-            data = memoryview(chunk.values.buffers()[2] or b"")
-            for d, a, b in zip(numbers.to_pylist(), offsets, offsets[1:]):
-                out[d] = bytes(data[places[a] : places[b]])
-        return out
+        parts = self.vocabulary.take(pa.array(ids))
+        # The bytes of all ids lie one after the other in one buffer.
+        offsets = np.frombuffer(parts.buffers()[1], np.int32)[parts.offset : parts.offset + len(ids) + 1]
+        data = memoryview(parts.buffers()[2] or b"")
+        end = np.cumsum(size)
+        return [bytes(data[a:b]) for a, b in zip(offsets[end - size].tolist(), offsets[end].tolist())]
 
 
 _codecs: dict[tuple[str, str], Codec] = {}
