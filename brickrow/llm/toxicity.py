@@ -33,11 +33,11 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brickrow.llm.collocations import LOWER, Powers, Words, words_of
-from brickrow.llm.common import exact, fold, labelled, steps, stored, texts_of
+from brickrow.llm.common import exact, fold, labelled, slices, steps, stored, texts_of
 
 PER_CLASS = 2000
 TERMS = 3000
@@ -51,6 +51,8 @@ PRIOR_VOTES = 0.5
 STEP = 1 << 20
 #: Texts that are looked up together.
 TOGETHER = 64
+#: Examples that one task calibrates.
+EXAMPLES = 512
 #: Distinct words whose terms a worker keeps.
 KEPT_WORDS = 150_000
 
@@ -211,20 +213,23 @@ class Index:
             there = column[self.term]
             dense = np.zeros((len(common), self.size), np.float32)
             dense[there[there >= 0], owner[there >= 0]] = self.weight[there >= 0]
-            # Similar examples lie on the same side of the directions in which all differ most.
-            centred = dense - dense.mean(1, keepdims=True) if self.size else dense
-            basis = np.eye(len(common), min(4, len(common)))
+            # Similar examples lie on the same side of the directions in which all differ most. The mean is taken
+            # from the products, as a centred or a wider copy of the matrix would be as large again.
+            mean = dense.mean(1, keepdims=True) if self.size else np.zeros((len(common), 1), np.float32)
+            basis = np.eye(len(common), min(4, len(common)), dtype=np.float32)
             for _ in range(6):
-                basis = np.linalg.qr(centred @ (centred.T @ basis))[0]
-            along = centred.T @ basis
+                along = dense.T @ basis - mean.T @ basis
+                basis = np.linalg.qr(dense @ along - mean * along.sum(0))[0]
+            along = dense.T @ basis - mean.T @ basis
             sides = (along > 0) @ (1 << np.arange(along.shape[1])) if len(common) else np.zeros(self.size)
             order = np.lexsort((along[:, 0] if len(common) else np.zeros(self.size), sides))
             position = np.empty(self.size, np.int64)
             position[order] = np.arange(self.size)
             n = -(-self.size // BLOCK)
-            padded = np.zeros((len(common), n * BLOCK), np.float32)
-            padded[:, : self.size] = dense[:, order]
-            blocks = np.ascontiguousarray(padded.reshape(len(common), n, BLOCK).transpose(1, 0, 2))
+            del dense
+            blocks = np.zeros((n, len(common), BLOCK), np.float32)
+            place = position[owner[there >= 0]]
+            blocks[place // BLOCK, there[there >= 0], place % BLOCK] = self.weight[there >= 0]
             rare = np.flatnonzero(there < 0)
             rare = rare[np.argsort(self.term[rare], kind="stable")]
             self._built = {
@@ -240,6 +245,10 @@ class Index:
             }
         return self._built
 
+    def vector(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        a, b = self.begin[i : i + 2]
+        return self.term[a:b], self.weight[a:b]
+
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the ``k`` nearest examples with a cosine over 0, nearest first."""
         return self.nearest_of([(t, w)], k, [without])[0]
@@ -387,9 +396,27 @@ def frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[int, np.nd
     total = exact(docs, "text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(len(vocabulary) + 1, np.int64)
     out[total["term"].to_numpy()] = total["n"].to_numpy()
+    given.destroy()
     return int(out[-1]), out[:-1]
 
 
+def calibrated(spark: SparkSession, model: Model) -> np.ndarray:
+    """The share of toxic votes of every example, found without itself; the blocks are built in the tasks."""
+    given = spark.sparkContext.broadcast(model)
+
+    def run(batches):
+        own = given.value
+        for batch in slices(batches, TOGETHER):
+            numbers = batch.column("id").to_pylist()
+            found = own.shares([own.index.vector(i) for i in numbers], numbers)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([s for s, _ in found], pa.float64())], names=["id", "share"])
+
+    examples = spark.range(0, model.index.size, 1, -(-model.index.size // EXAMPLES))
+    found = examples.mapInArrow(run, "id long, share double").toArrow().sort_by("id")
+    given.destroy()
+    return found["share"].to_numpy()
+
+
 def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", per_class: int = PER_CLASS) -> Model:
     """Vocabulary, index and calibration from at most ``2 * per_class`` examples."""
     rows, class_weight = labelled(docs, labels, column, per_class)
@@ -439,6 +466,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", per_class: in
     names = ["doc_id", "label", "terms", "times"]
     schema = "doc_id long, label int, terms array<bigint>, times array<bigint>"
     rows = examples.mapInArrow(vectors, schema).toArrow().combine_chunks()
+    given.destroy()
     ids, label = (rows[c].to_numpy() for c in ("doc_id", "label"))
     counts = [tuple(x.values.to_numpy() for x in pair) for pair in zip(rows["terms"], rows["times"])]
     held = sorted(range(len(ids)), key=lambda i: (ids[i], label[i], *(x.tobytes() for x in counts[i])))
@@ -450,8 +478,8 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", per_class: in
     rate = float(((y * weight)[empty].sum() + 0.5 * class_weight[1] * n1 / n) / (weight[empty].sum() + 0.5))
     indexes = Index(vectors_, len(idf)), lexicon, Index(told, len(idf))
     model = Model(vocabulary, idf, *indexes, ids[held], y, weight, rate, np.zeros(1), np.zeros(1))
-    asked = [range(a, min(a + TOGETHER, len(vectors_))) for a in range(0, len(vectors_), TOGETHER)]
-    shares = np.array([share for r in asked for share, _ in model.shares([vectors_[i] for i in r], list(r))])
+    del rows, counts, vectors_, told
+    shares = calibrated(docs.sparkSession, model)
     some = ~empty
     if some.any():
         model.places, model.values = isotonic(shares[some], y[some], weight[some])

@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -143,3 +144,33 @@ def test_odd_and_no_documents_and_labels(spark, odd_docs, no_docs, module):
         assert all(0 <= r.score <= 1 for r in rows)
         assert len({r.score for r in rows if r.doc_id in (5, 6)}) == 1  # equal texts
         assert module.classify(no_docs, model).collect() == []
+
+
+def test_building_blocks_holds_few_copies_of_the_matrix():
+    """Every worker builds them, beside its other tables."""
+    rng = np.random.default_rng(5)
+    vectors = []
+    for _ in range(1024):
+        t = np.sort(rng.choice(4000, 500, replace=False))
+        vectors.append((t, toxicity.unit(rng.random(500) + 0.1)))
+    index = toxicity.Index(vectors, 4000)
+    tracemalloc.start()
+    try:
+        built = index._blocks()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 3.5 * built["blocks"].nbytes
+
+
+def test_the_driver_builds_no_blocks(spark, monkeypatch):
+    """Examples are calibrated in tasks; the shares are those of the examples one by one."""
+    rows = [(i, f"{'nasty ugly' if i % 2 else 'fine calm'} word{i % 7} text{i % 11}", i % 2) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    with monkeypatch.context() as m:
+        m.setattr(toxicity.Index, "_blocks", None)
+        model = toxicity.fit(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    shares = [model.shares([model.index.vector(i)], [i])[0][0] for i in range(model.index.size)]
+    places, values = toxicity.isotonic(np.array(shares), model.labels, model.weights)
+    assert model.index.size > 60
+    assert places.tolist() == model.places.tolist() and values.tolist() == model.values.tolist()
