@@ -1,12 +1,15 @@
 import os
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from brickrow import schemas
 from brickrow.operators import clean, listing
 from brickrow.proof import render
 from brickrow.streaming import incremental
+from brickrow.streaming.state import Best, Latest
 
 SITE = "https://site.example/en/detail/loft/"
 
@@ -123,3 +126,62 @@ def test_settings_are_as_before(spark, run):
     before = spark.conf.get(key)
     run(spark.createDataFrame(RUNS[0], schemas.PAGES))
     assert spark.conf.get(key) == before
+
+
+class Kept(dict):
+    """Map state of one bucket, as processors use it; counts the passes over all of it."""
+
+    passes = 0
+
+    def exists(self):
+        return bool(self)
+
+    getValue = dict.get
+    updateValue = dict.__setitem__
+    removeKey = dict.pop
+    containsKey = dict.__contains__
+
+    def iterator(self):
+        self.passes += 1
+        return iter(list(self.items()))
+
+
+class Handle:
+    def __init__(self):
+        self.states = {}
+
+    def getMapState(self, name, *_):
+        return self.states.setdefault(name, Kept())
+
+
+def test_one_call_settles_all_keys_of_a_bucket():
+    """Keys are handed to Python many at once; members are compared again in one pass for all of them."""
+    keys, row = (T.StructType.fromDDL(x) for x in ("code string", "url string, price long"))
+    event = Row("code", "member", "version", "now")
+    best, handle = Best(keys, row, "price", ["url"]), Handle()
+    best.init(handle)
+
+    def run(*events):
+        told = best.handleInputRows((0,), [event(c, m, v, p and {"url": m, "price": p}) for c, m, v, p in events], None)
+        return sorted((r["code"], r["version"], r["was"] and r["was"]["price"], r["now"] and r["now"]["price"]) for r in told)
+
+    assert run(*[(c, m, 1, p) for c in "xyz" for m, p in (("a", 9), ("b", 5))]) == [(c, 1, None, 9) for c in "xyz"]
+    # Two that fall and have others: one pass. One whose members are all named: none needed.
+    assert run(("x", "a", 2, 1), ("y", "a", 2, None), ("z", "a", 2, 3), ("z", "b", 2, 4)) == [("x", 2, 9, 5), ("y", 2, 9, 5), ("z", 2, 9, 4)]
+    assert handle.states["members"].passes == 1
+    assert run(("z", "a", 3, None), ("z", "b", 3, None)) == [("z", 3, 4, None)]
+    assert run(("z", "c", 1, 7)) == [("z", 4, None, 7)]
+    assert handle.states["members"].passes == 1
+
+
+def test_latest_of_all_keys_of_a_bucket():
+    keys, row = (T.StructType.fromDDL(x) for x in ("url string", "url string, page_id long"))
+    latest = Latest(keys, row, "page_id")
+    latest.init(Handle())
+    page_of = Row("url", "page_id")
+
+    def run(*pages):
+        return sorted((r["url"], r["version"], r["now"]["page_id"]) for r in latest.handleInputRows((0,), [page_of(*p) for p in pages], None))
+
+    assert run(("a", 1), ("b", 2), ("a", 3), ("c", None)) == [("a", 1, 3), ("b", 1, 2), ("c", 1, None)]
+    assert run(("a", 2), ("b", 5), ("c", None)) == [("b", 2, 5)]
