@@ -48,7 +48,7 @@ THRESHOLD = 0.5
 #: Votes that the rate of the empty neighbourhood has in every share.
 PRIOR_VOTES = 0.5
 #: Text that one step scores, in bytes.
-STEP = 1 << 20
+STEP = 1 << 19
 #: Texts that are looked up together.
 TOGETHER = 64
 #: Examples that one task calibrates.
@@ -56,6 +56,9 @@ EXAMPLES = 512
 #: Distinct words whose terms a worker keeps.
 KEPT_WORDS = 150_000
 
+#: Terms whose hashes are computed at once.
+TABLE_STEP = 10_000
+
 #: How many first letters of a word are terms too.
 BEGINNINGS = (4, 5, 6)
 
@@ -90,9 +93,12 @@ class Terms:
     def _table(self, terms: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of the terms of ASCII letters, ascending, and their numbers."""
         plain = [(t.encode(), n) for t, n in terms if t.isascii()]
-        data = b"".join(t for t, _ in plain)
-        offsets = np.concatenate([[0], np.cumsum([len(t) for t, _ in plain])]).astype(np.int64)
-        hashes = words_of(data, offsets, self.powers).hash
+        hashes = np.zeros(len(plain), np.uint64)
+        # Few at a time: powers are kept for the longest run of bytes that was hashed at once.
+        for a in range(0, len(plain), TABLE_STEP):
+            some = [t for t, _ in plain[a : a + TABLE_STEP]]
+            offsets = np.concatenate([[0], np.cumsum([len(t) for t in some])]).astype(np.int64)
+            hashes[a : a + TABLE_STEP] = words_of(b"".join(some), offsets, self.powers).hash
         order = np.argsort(hashes, kind="stable")
         return hashes[order], np.array([n for _, n in plain], np.int64)[order]
 
@@ -174,6 +180,8 @@ def weighed(t: np.ndarray, times: np.ndarray, idf: np.ndarray) -> tuple[np.ndarr
 
 #: Examples of a block.
 BLOCK = 64
+#: Queries whose rare terms are added up at once.
+ADDED = 8
 #: What sums of single precision may be off by: 2 ** -24 for each of some 2,000 terms, and more.
 SLACK = 2e-4
 
@@ -195,7 +203,7 @@ class Index:
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int):
         self.size, self.terms = len(vectors), terms
-        self.term = np.concatenate([np.zeros(0, np.int64), *(t for t, _ in vectors)])
+        self.term = np.concatenate([np.zeros(0, np.int32), *(t.astype(np.int32) for t, _ in vectors)])
         self.weight = np.concatenate([np.zeros(0), *(w for _, w in vectors)])
         self.begin = np.concatenate([[0], np.cumsum([len(t) for t, _ in vectors], dtype=np.int64)]).astype(np.int64)
         self._built = None
@@ -239,8 +247,8 @@ class Index:
                 "order": order,
                 "position": position,
                 "start": np.searchsorted(self.term[rare], np.arange(self.terms + 1)),
-                "places": position[owner[rare]],
-                "weights": self.weight[rare],
+                "places": position[owner[rare]].astype(np.int32),
+                "weights": self.weight[rare].astype(np.float32),
                 "query": np.zeros(self.terms),
             }
         return self._built
@@ -266,12 +274,20 @@ class Index:
         n, wide = len(x["blocks"]), len(x["blocks"]) * BLOCK
         common = np.zeros((len(queries), x["blocks"].shape[1]), np.float32)
         sums = np.zeros((len(queries), wide), np.float32)
-        for q, (t, w) in enumerate(queries):
+        for a in range(0, len(queries), ADDED):
+            some = queries[a : a + ADDED]
+            owner = np.repeat(np.arange(len(some)), [len(t) for t, _ in some])
+            t, w = (np.concatenate(parts) for parts in zip(*some))
             column = x["column"][t]
-            common[q, column[column >= 0]] = w[column >= 0]
-            few = t[column < 0]
-            rows, size = spans(x["start"][few], x["start"][few + 1])
-            sums[q] = np.bincount(x["places"][rows], x["weights"][rows] * np.repeat(w[column < 0], size), wide)
+            here, few = np.flatnonzero(column >= 0), np.flatnonzero(column < 0)
+            common[a + owner[here], column[here]] = w[here]
+            rows, size = spans(x["start"][t[few]], x["start"][t[few] + 1])
+            place = np.repeat(owner[few] * wide, size) + x["places"][rows]
+            added = np.bincount(place, x["weights"][rows] * np.repeat(w[few], size), len(some) * wide)
+            sums[a : a + ADDED] = added.reshape(len(some), wide)
+        for q, i in enumerate(without or []):
+            if i >= 0:
+                sums[q, x["position"][i]] = -np.inf
         bound = sums.reshape(len(queries), n, BLOCK).max(2) + common @ x["most"]
         seen = np.zeros((len(queries), n), bool)
 
@@ -281,24 +297,20 @@ class Index:
                 sums[rows, block * BLOCK : (block + 1) * BLOCK] += common[rows] @ x["blocks"][block]
             seen[wanted] = True
 
-        def told() -> np.ndarray:
-            out = np.where(np.repeat(seen, BLOCK, axis=1), sums, -1)
-            for q, i in enumerate(without or []):
-                if i >= 0:
-                    out[q, x["position"][i]] = -1
-            return out
-
         def reached(values: np.ndarray) -> np.ndarray:
             at = max(values.shape[1] - k, 0)
             return np.partition(values, at, axis=1)[:, at]
 
         most = min(n, -(-(k + 1) // BLOCK) + 1)
+        first = np.argpartition(-bound, most - 1, axis=1)[:, :most]
         best = np.zeros_like(seen)
-        np.put_along_axis(best, np.argpartition(-bound, most - 1, axis=1)[:, :most], True, axis=1)
+        np.put_along_axis(best, first, True, axis=1)
         add(best)
-        add(~seen & (bound >= reached(told())[:, None] - SLACK))
+        of_first = np.take_along_axis(sums.reshape(len(queries), n, BLOCK), first[:, :, None], axis=1)
+        add(~seen & (bound >= reached(of_first.reshape(len(queries), -1))[:, None] - SLACK))
         self.left_out = int((~seen).sum())
-        values = told()
+        sums.reshape(len(queries), n, BLOCK)[~seen] = -1
+        values = sums
         least = np.maximum(reached(values) - SLACK, np.finfo(np.float32).tiny)
         return [self._exact(t, w, x["order"][np.flatnonzero(values[q] >= least[q])], k) for q, (t, w) in enumerate(queries)]
 
@@ -308,8 +320,11 @@ class Index:
             return np.zeros(0, np.int64), np.zeros(0)
         query = self._blocks()["query"]
         query[t] = w
-        rows, size = spans(self.begin[some], self.begin[some + 1])
-        products = self.weight[rows] * query[self.term[rows]]
+        begin, end = self.begin[some], self.begin[some + 1]
+        size = end - begin
+        lists = list(zip(begin.tolist(), end.tolist()))
+        products = query[np.concatenate([self.term[a:b] for a, b in lists])]
+        products *= np.concatenate([self.weight[a:b] for a, b in lists])
         query[t] = 0
         cosines = np.add.reduceat(products, np.cumsum(size) - size)
         # Cosines that differ by rounding only are ties.

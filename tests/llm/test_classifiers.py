@@ -1,3 +1,4 @@
+import itertools
 import tracemalloc
 import zlib
 
@@ -174,3 +175,33 @@ def test_the_driver_builds_no_blocks(spark, monkeypatch):
     places, values = toxicity.isotonic(np.array(shares), model.labels, model.weights)
     assert model.index.size > 60
     assert places.tolist() == model.places.tolist() and values.tolist() == model.values.tolist()
+
+
+def test_powers_of_a_large_vocabulary_are_few():
+    """Every worker keeps them; they must not grow with all terms together."""
+    letters = "abcdefghijklmnopqrst"
+    words = ["".join(x) for x in itertools.islice(itertools.product(letters, repeat=5), 120_000)]
+    vocabulary = {w: i for i, w in enumerate(words)}
+    terms = toxicity.Terms(vocabulary)
+    assert len(terms.powers.up) <= 1 << 17
+    some = [0, 9_999, 10_000, 10_001, 119_999]
+    assert [(t.tolist(), n.tolist()) for t, n in terms.counted([words[i] for i in some])] == [([i], [1]) for i in some]
+
+
+def test_index_holds_narrow_numbers_and_finds_the_nearest():
+    rng = np.random.default_rng(5)
+    vectors = []
+    for _ in range(300):
+        t = np.flatnonzero(rng.random(400) < rng.choice([0.02, 0.3]))
+        vectors.append((t, toxicity.unit(rng.random(len(t)))))
+    index = toxicity.Index(vectors, 400)
+    assert index.term.dtype == np.int32 and index._blocks()["places"].dtype == np.int32
+    dense = np.zeros((300, 400))
+    for row, (t, w) in zip(dense, vectors):
+        row[t] = w
+    found = index.nearest_of(vectors, 7, list(range(300)))
+    for i, (ids, cosines) in enumerate(found):
+        own = dense @ dense[i]
+        own[i] = -1
+        want = [j for j in np.lexsort((np.arange(300), -own.round(9)))[:7] if own[j] > 0]
+        assert ids.tolist() == want and np.allclose(cosines, own[want], rtol=1e-12)
