@@ -547,19 +547,23 @@ def lacking(records: DataFrame) -> DataFrame:
     return pairs.select("x", F.array("y").alias("ys"), F.array(F.xxhash64("y")).alias("blocks"))
 
 
-def meeting(asking: DataFrame, there: DataFrame) -> DataFrame:
-    """``node, block``: for records in buckets the blocks that others there are in, about once for each pair.
+def meeting(*asked: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """``node, block``, of each pair of tables: for records in buckets the blocks that others there are in.
 
     Most buckets of a large group have members of the same blocks. Such buckets are one set of blocks, named by
     two hashes, and a record meets each set once, however many of its buckets have it.
     """
-    of_bucket = there.groupBy("bucket").agg(F.sort_array(F.collect_set("block")).alias("blocks"))
-    named = [F.xxhash64(F.lit(k), "blocks").alias(f"set_{k}") for k in (1, 2)]
-    sets = stored(of_bucket.select("bucket", "blocks", *named), "block-sets")
-    names = ["set_1", "set_2"]
-    met = asking.select("bucket", "node").join(sets.select("bucket", *names), "bucket").select("node", *names).distinct()
-    once = sets.groupBy(names).agg(F.first("blocks").alias("blocks"))
-    return met.join(once.select(*names, F.explode("blocks").alias("block")), names).select("node", "block")
+    names, met, sets = ["set_1", "set_2"], [], []
+    for asking, there in asked:
+        of_bucket = there.groupBy("bucket").agg(F.sort_array(F.collect_set("block")).alias("blocks"))
+        named = [F.xxhash64(F.lit(k), "blocks").alias(name) for k, name in enumerate(names, 1)]
+        sets.append(stored(of_bucket.select("bucket", "blocks", *named), "block-sets"))
+        met.append(asking.select("bucket", "node").join(sets[-1].select("bucket", *names), "bucket").select("node", *names))
+    every, known = met[0], sets[0]
+    for more, others in zip(met[1:], sets[1:]):
+        every, known = every.unionByName(more), known.unionByName(others)
+    once = known.groupBy(names).agg(F.first("blocks").alias("blocks"))
+    return every.distinct().join(once.select(*names, F.explode("blocks").alias("block")), names).select("node", "block")
 
 
 def counted(docs: DataFrame, records: DataFrame, inside: DataFrame, short: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -572,7 +576,8 @@ def counted(docs: DataFrame, records: DataFrame, inside: DataFrame, short: DataF
     blocks = records.select("node").join(own, "node", "left").withColumn("block", F.coalesce("block", F.xxhash64("node")))
     blocks = stored(blocks.withColumn("root", F.col("node")), "counted-blocks")
     rows = inside.select("bucket", "node", "block", "probe")
-    asks = meeting(rows.where("probe"), rows).unionByName(meeting(rows.where(~F.col("probe")), rows.where("probe")))
+    probing = rows.where("probe")
+    asks = meeting((probing, rows), (rows.where(~F.col("probe")), probing))
     pairs = short.select("x", F.explode("ys").alias("y"))
     for x, y in (("x", "y"), ("y", "x")):
         ends = pairs.select(F.col(x).alias("asking"), F.col(y).alias("node"))
