@@ -29,7 +29,6 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,11 +49,11 @@ PRIOR_VOTES = 0.5
 #: Text that one step scores, in bytes.
 STEP = 1 << 19
 #: Texts that are looked up together.
-TOGETHER = 64
+TOGETHER = 160
 #: Examples that one task calibrates.
 EXAMPLES = 512
-#: Distinct words whose terms a worker keeps.
-KEPT_WORDS = 150_000
+#: Places of words whose terms a task keeps, a power of two, and the most terms that such a word may have.
+KEPT_WORDS, KEPT_TERMS = 1 << 17, 4
 
 #: Terms whose hashes are computed at once.
 TABLE_STEP = 10_000
@@ -79,88 +78,139 @@ def terms_of(word: str) -> list[str]:
 class Terms:
     """Numbers of the terms in texts, all texts at once.
 
-    Words are cut and told apart as bytes. A word of ASCII letters and its first letters are looked up by
-    64-bit hashes, each distinct word once; others by their text, where ``known`` keeps what was found.
+    Words are cut and told apart as bytes. Terms are looked up by 64-bit hashes, so that workers get no
+    vocabulary of strings. What a word's terms are is kept by its hash, in as many places as ``KEPT_WORDS``: a
+    later word takes the place of an earlier one.
     """
 
     def __init__(self, vocabulary: dict[str, int]) -> None:
-        self.vocabulary = vocabulary
-        self.known: dict[bytes, tuple] = {}
-        self.powers = Powers()
+        self.size = len(vocabulary)
         self.whole = self._table([(t, n) for t, n in vocabulary.items() if t[-1] != "*"])
         self.beginnings = self._table([(t[:-1], n) for t, n in vocabulary.items() if t[-1] == "*"])
+        self._keep_nothing()
 
-    def _table(self, terms: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the terms of ASCII letters, ascending, and their numbers."""
-        plain = [(t.encode(), n) for t, n in terms if t.isascii()]
-        hashes = np.zeros(len(plain), np.uint64)
+    def _keep_nothing(self) -> None:
+        self.powers = Powers()
+        # A place that is free has a hash that belongs elsewhere.
+        self.kept = np.arange(KEPT_WORDS, dtype=np.uint64) ^ np.uint64(1)
+        self.kept_numbers = np.full((KEPT_WORDS, KEPT_TERMS), -1, np.int32)
+
+    def __getstate__(self) -> dict:
+        return {k: getattr(self, k) for k in ("size", "whole", "beginnings")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._keep_nothing()
+
+    def fresh(self) -> Terms:
+        """The same terms with no words kept, for one task."""
+        out = Terms.__new__(Terms)
+        out.__setstate__(self.__getstate__())
+        return out
+
+    @staticmethod
+    def _hashes(terms: list[bytes], powers: Powers) -> np.ndarray:
+        out = np.zeros(len(terms), np.uint64)
         # Few at a time: powers are kept for the longest run of bytes that was hashed at once.
-        for a in range(0, len(plain), TABLE_STEP):
-            some = [t for t, _ in plain[a : a + TABLE_STEP]]
+        for a in range(0, len(terms), TABLE_STEP):
+            some = terms[a : a + TABLE_STEP]
             offsets = np.concatenate([[0], np.cumsum([len(t) for t in some])]).astype(np.int64)
-            hashes[a : a + TABLE_STEP] = words_of(b"".join(some), offsets, self.powers).hash
+            out[a : a + TABLE_STEP] = words_of(b"".join(some), offsets, powers).hash
+        return out
+
+    def _table(self, terms: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the terms, ascending, and their numbers."""
+        hashes = self._hashes([t.encode() for t, _ in terms], Powers())
         order = np.argsort(hashes, kind="stable")
-        return hashes[order], np.array([n for _, n in plain], np.int64)[order]
+        return hashes[order], np.array([n for _, n in terms], np.int32)[order]
 
     @staticmethod
     def _found(table: tuple[np.ndarray, np.ndarray], hashes: np.ndarray) -> np.ndarray:
         """Numbers of the hashes in a table, -1 for those that are not there."""
         keys, numbers = table
         if not len(keys):
-            return np.full(len(hashes), -1, np.int64)
+            return np.full(len(hashes), -1, np.int32)
         at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-        return np.where(keys[at] == hashes, numbers[at], -1)
-
-    def _numbers(self, word: bytes) -> tuple:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) >= KEPT_WORDS:
-                self.known.clear()
-            get = self.vocabulary.get
-            found = self.known[word] = tuple(n for t in terms_of(word.decode()) if (n := get(t)) is not None)
-        return found
+        return np.where(keys[at] == hashes, numbers[at], np.int32(-1))
+
+    def _of_other(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """For words of more than ASCII letters: which word, and the number of one of its terms, -1 for none."""
+        text = b"\n".join(words).decode().lower()
+        points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        kinds, kind = np.unique(points, return_inverse=True)
+        letter = np.array([_LETTERS.match(chr(x)) is not None for x in kinds.tolist()], np.int8)[kind]
+        edge = np.diff(letter, prepend=np.int8(0), append=np.int8(0))
+        start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        word = np.cumsum(points == 10)[start]
+        data = text.encode()
+        # Where each code point lies in the bytes.
+        at = np.zeros(len(points) + 1, np.int64)
+        np.cumsum(1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000), out=at[1:])
+        hashed = words_of(data, np.array([0, len(data)]), self.powers)
+        which, numbers = [word], [self._found(self.whole, hashed.hash_of(at[start], at[end], self.powers))]
+        for n in BEGINNINGS:
+            long = np.flatnonzero(end - start >= n)
+            which.append(word[long])
+            numbers.append(self._found(self.beginnings, hashed.hash_of(at[start[long]], at[start[long] + n], self.powers)))
+        return np.concatenate(which), np.concatenate(numbers)
 
     def _of_words(self, data: bytes, words: Words, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For the words at ``first``: which of these, and the number of one of its terms, by word."""
         start, end = words.start[first], words.end[first]
         letters = np.zeros(len(data) + 1, np.int64)
         np.cumsum(_IS_LETTER[np.frombuffer(data, np.uint8)], out=letters[1:])
-        plain = np.flatnonzero(letters[end] - letters[start] == end - start)
+        is_plain = letters[end] - letters[start] == end - start
+        plain, other = np.flatnonzero(is_plain), np.flatnonzero(~is_plain)
         which, numbers = [plain], [self._found(self.whole, words.hash[first[plain]])]
         for n in BEGINNINGS:
             long = plain[end[plain] - start[plain] >= n]
             which.append(long)
             numbers.append(self._found(self.beginnings, words.hash_of(start[long], start[long] + n, self.powers)))
-        other = np.flatnonzero(letters[end] - letters[start] != end - start)
-        found = [self._numbers(data[a:b]) for a, b in zip(start[other].tolist(), end[other].tolist())]
-        which.append(np.repeat(other, [len(x) for x in found]))
-        numbers.append(np.fromiter(chain.from_iterable(found), np.int64, len(which[-1])))
+        if len(other):
+            of, more = self._of_other([data[a:b] for a, b in zip(start[other].tolist(), end[other].tolist())])
+            which.append(other[of])
+            numbers.append(more)
         which, numbers = np.concatenate(which), np.concatenate(numbers)
         there = numbers >= 0
         which, numbers = which[there], numbers[there]
         order = np.argsort(which, kind="stable")
         return which[order], numbers[order]
 
+    def _keep(self, hashes: np.ndarray, begin: np.ndarray, numbers: np.ndarray) -> None:
+        """Distinct words with the ends of their terms in ``numbers``; one that has more than there is room for is not kept."""
+        some = np.flatnonzero(np.diff(begin) <= KEPT_TERMS)
+        place, one = np.unique((hashes[some] & np.uint64(KEPT_WORDS - 1)).astype(np.int64), return_index=True)
+        some = some[one]
+        size = np.diff(begin)[some]
+        self.kept[place] = hashes[some]
+        for i in range(KEPT_TERMS):
+            at = np.minimum(begin[some] + i, max(len(numbers) - 1, 0))
+            self.kept_numbers[place, i] = np.where(size > i, numbers[at], np.int32(-1)) if len(numbers) else -1
+
     def rows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text, term and how often it occurs there, ascending by text and term."""
         encoded = [t.encode().translate(LOWER) for t in texts]
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in encoded])]).astype(np.int64)
         data = b"".join(encoded)
         words = words_of(data, offsets, self.powers)
-        _, first, which = np.unique(words.hash, return_index=True, return_inverse=True)
-        # A word once for each text that has it, and how often.
-        pair, often = np.unique(words.owner * max(len(first), 1) + which, return_counts=True)
-        text, word = pair // max(len(first), 1), pair % max(len(first), 1)
-        owner, numbers = self._of_words(data, words, first)
-        begin = np.searchsorted(owner, np.arange(len(first) + 1))
-        at, times = spans(begin[word], begin[word + 1])
-        n = max(len(self.vocabulary), 1)
-        key = np.repeat(text, times) * n + numbers[at]
-        order = np.argsort(key, kind="stable")
-        key, weight = key[order], np.repeat(often, times)[order]
-        new = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-        count = np.add.reduceat(weight, new) if len(new) else weight
-        return key[new] // n, key[new] % n, count
+        n = max(self.size, 1)
+        base = words.owner * n
+        place = (words.hash & np.uint64(KEPT_WORDS - 1)).astype(np.int64)
+        known = self.kept[place] == words.hash
+        found = self.kept_numbers[place[known]]
+        keys = [(base[known, None] + found)[found >= 0]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            hashes, first, which = np.unique(words.hash[new], return_index=True, return_inverse=True)
+            owner, numbers = self._of_words(data, words, new[first])
+            begin = np.searchsorted(owner, np.arange(len(hashes) + 1))
+            at, times = spans(begin[which], begin[which + 1])
+            keys.append(np.repeat(base[new], times) + numbers[at])
+            self._keep(hashes, begin, numbers)
+        key = np.sort(np.concatenate(keys))
+        cut = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+        count = np.diff(cut, append=len(key))
+        return key[cut] // n, key[cut] % n, count
 
     def counted(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text its terms, ascending, and how often each occurs."""
@@ -203,8 +253,15 @@ class Index:
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int):
         self.size, self.terms = len(vectors), terms
-        self.term = np.concatenate([np.zeros(0, np.int32), *(t.astype(np.int32) for t, _ in vectors)])
-        self.weight = np.concatenate([np.zeros(0), *(w for _, w in vectors)])
+        # Inside, terms are numbered by how many examples have them, and lie in this order in every vector.
+        have = np.bincount(np.concatenate([np.zeros(0, np.int32), *(t for t, _ in vectors)]), minlength=terms)
+        self.back = np.argsort(-have, kind="stable").astype(np.int32)
+        self.rank = np.empty(terms, np.int32)
+        self.rank[self.back] = np.arange(terms, dtype=np.int32)
+        self.have = have[self.back].astype(np.int32)
+        order = [np.argsort(self.rank[t]) for t, _ in vectors]
+        self.term = np.concatenate([np.zeros(0, np.int32), *(self.rank[t[o]] for (t, _), o in zip(vectors, order))])
+        self.weight = np.concatenate([np.zeros(0), *(w[o] for (_, w), o in zip(vectors, order))])
         self.begin = np.concatenate([[0], np.cumsum([len(t) for t, _ in vectors], dtype=np.int64)]).astype(np.int64)
         self._built = None
 
@@ -213,49 +270,53 @@ class Index:
 
     def _blocks(self) -> dict:
         if self._built is None:
-            owner = np.repeat(np.arange(self.size), np.diff(self.begin))
-            have = np.bincount(self.term, minlength=self.terms)
-            column = np.full(self.terms, -1, np.int64)
-            common = np.flatnonzero(have > max(self.size // 16, 8))
-            column[common] = np.arange(len(common))
-            there = column[self.term]
-            dense = np.zeros((len(common), self.size), np.float32)
-            dense[there[there >= 0], owner[there >= 0]] = self.weight[there >= 0]
+            owner = np.repeat(np.arange(self.size, dtype=np.int32), np.diff(self.begin))
+            common = int((self.have > max(self.size // 16, 8)).sum())
+            there = self.term < common
+            some, whose, weight = self.term[there], owner[there], self.weight[there].astype(np.float32)
+            dense = np.zeros((common, self.size), np.float32)
+            dense[some, whose] = weight
             # Similar examples lie on the same side of the directions in which all differ most. The mean is taken
             # from the products, as a centred or a wider copy of the matrix would be as large again.
-            mean = dense.mean(1, keepdims=True) if self.size else np.zeros((len(common), 1), np.float32)
-            basis = np.eye(len(common), min(4, len(common)), dtype=np.float32)
+            mean = dense.mean(1, keepdims=True) if self.size else np.zeros((common, 1), np.float32)
+            basis = np.eye(common, min(4, common), dtype=np.float32)
             for _ in range(6):
                 along = dense.T @ basis - mean.T @ basis
                 basis = np.linalg.qr(dense @ along - mean * along.sum(0))[0]
             along = dense.T @ basis - mean.T @ basis
-            sides = (along > 0) @ (1 << np.arange(along.shape[1])) if len(common) else np.zeros(self.size)
-            order = np.lexsort((along[:, 0] if len(common) else np.zeros(self.size), sides))
-            position = np.empty(self.size, np.int64)
-            position[order] = np.arange(self.size)
+            sides = (along > 0) @ (1 << np.arange(along.shape[1])) if common else np.zeros(self.size)
+            order = np.lexsort((along[:, 0] if common else np.zeros(self.size), sides))
+            position = np.empty(self.size, np.int32)
+            position[order] = np.arange(self.size, dtype=np.int32)
             n = -(-self.size // BLOCK)
             del dense
-            blocks = np.zeros((n, len(common), BLOCK), np.float32)
-            place = position[owner[there >= 0]]
-            blocks[place // BLOCK, there[there >= 0], place % BLOCK] = self.weight[there >= 0]
-            rare = np.flatnonzero(there < 0)
+            blocks = np.zeros((n, common, BLOCK), np.float32)
+            place = position[whose]
+            blocks[place // BLOCK, some, place % BLOCK] = weight
+            del some, whose, weight, place
+            rare = np.flatnonzero(~there)
             rare = rare[np.argsort(self.term[rare], kind="stable")]
             self._built = {
-                "column": column,
+                "common": common,
                 "blocks": blocks,
                 "most": np.ascontiguousarray(blocks.max(2).T),
                 "order": order,
                 "position": position,
-                "start": np.searchsorted(self.term[rare], np.arange(self.terms + 1)),
-                "places": position[owner[rare]].astype(np.int32),
-                "weights": self.weight[rare].astype(np.float32),
-                "query": np.zeros(self.terms),
+                "start": np.searchsorted(self.term[rare], np.arange(self.terms + 1, dtype=np.int32)),
+                "places": position[owner[rare]],
+                "weights": self.weight[rare],
+                "head": self.begin[:-1] + np.bincount(owner[there], minlength=self.size),
+                "query": np.zeros(common),
             }
         return self._built
 
     def vector(self, i: int) -> tuple[np.ndarray, np.ndarray]:
         a, b = self.begin[i : i + 2]
-        return self.term[a:b], self.weight[a:b]
+        return self.back[self.term[a:b]], self.weight[a:b]
+
+    def release(self) -> None:
+        """Gives up the blocks; a further query builds them again."""
+        self._built = None
 
     def nearest(self, t: np.ndarray, w: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the ``k`` nearest examples with a cosine over 0, nearest first."""
@@ -264,27 +325,28 @@ class Index:
     def nearest_of(self, queries: list[tuple], k: int, without: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """``nearest`` of each query.
 
-        Sums over rare terms and, block by block, over common ones, in single precision; a block that by its
-        greatest weights cannot reach the ``k``-th so far is left out. The few that may be among the nearest
-        are then computed exactly.
+        Sums over rare terms and, block by block, over common ones, the latter in single precision; a block that
+        by its greatest weights cannot reach the ``k``-th so far is left out. For the few that may be among the
+        nearest the common ones are then added up exactly.
         """
         if not self.size or not queries:
             return [(np.zeros(0, np.int64), np.zeros(0)) for _ in queries]
         x = self._blocks()
         n, wide = len(x["blocks"]), len(x["blocks"]) * BLOCK
         common = np.zeros((len(queries), x["blocks"].shape[1]), np.float32)
-        sums = np.zeros((len(queries), wide), np.float32)
+        rare = np.zeros((len(queries), wide))
         for a in range(0, len(queries), ADDED):
             some = queries[a : a + ADDED]
             owner = np.repeat(np.arange(len(some)), [len(t) for t, _ in some])
             t, w = (np.concatenate(parts) for parts in zip(*some))
-            column = x["column"][t]
-            here, few = np.flatnonzero(column >= 0), np.flatnonzero(column < 0)
-            common[a + owner[here], column[here]] = w[here]
-            rows, size = spans(x["start"][t[few]], x["start"][t[few] + 1])
+            rank = self.rank[t]
+            here, few = np.flatnonzero(rank < x["common"]), np.flatnonzero(rank >= x["common"])
+            common[a + owner[here], rank[here]] = w[here]
+            rows, size = spans(x["start"][rank[few]], x["start"][rank[few] + 1])
             place = np.repeat(owner[few] * wide, size) + x["places"][rows]
             added = np.bincount(place, x["weights"][rows] * np.repeat(w[few], size), len(some) * wide)
-            sums[a : a + ADDED] = added.reshape(len(some), wide)
+            rare[a : a + ADDED] = added.reshape(len(some), wide)
+        sums = rare.astype(np.float32)
         for q, i in enumerate(without or []):
             if i >= 0:
                 sums[q, x["position"][i]] = -np.inf
@@ -312,21 +374,22 @@ class Index:
         sums.reshape(len(queries), n, BLOCK)[~seen] = -1
         values = sums
         least = np.maximum(reached(values) - SLACK, np.finfo(np.float32).tiny)
-        return [self._exact(t, w, x["order"][np.flatnonzero(values[q] >= least[q])], k) for q, (t, w) in enumerate(queries)]
+        return [self._exact(t, w, rare[q], np.flatnonzero(values[q] >= least[q]), k) for q, (t, w) in enumerate(queries)]
 
-    def _exact(self, t: np.ndarray, w: np.ndarray, some: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The nearest of some examples that all share a term with the query."""
-        if not len(some):
+    def _exact(self, t: np.ndarray, w: np.ndarray, rare: np.ndarray, places: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The nearest of the examples at some places; ``rare`` has what the rare terms give at every place."""
+        if not len(places):
             return np.zeros(0, np.int64), np.zeros(0)
-        query = self._blocks()["query"]
-        query[t] = w
-        begin, end = self.begin[some], self.begin[some + 1]
-        size = end - begin
+        x = self._blocks()
+        query, rank, some = x["query"], self.rank[t], x["order"][places]
+        shared = rank < x["common"]
+        query[:] = 0
+        query[rank[shared]] = w[shared]
+        begin, end = self.begin[some], x["head"][some]
         lists = list(zip(begin.tolist(), end.tolist()))
         products = query[np.concatenate([self.term[a:b] for a, b in lists])]
         products *= np.concatenate([self.weight[a:b] for a, b in lists])
-        query[t] = 0
-        cosines = np.add.reduceat(products, np.cumsum(size) - size)
+        cosines = rare[places] + np.bincount(np.repeat(np.arange(len(some)), end - begin), products, len(some))
         # Cosines that differ by rounding only are ties.
         first = np.lexsort((some, -cosines.round(9)))[:k]
         return some[first], cosines[first]
@@ -353,7 +416,9 @@ def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarr
 
 @dataclass
 class Model:
+    #: On the driver; workers have hashes of the terms.
     vocabulary: dict[str, int]
+    terms: Terms
     idf: np.ndarray
     index: Index
     #: Which terms are in the lexicon, and the examples' vectors cut to it.
@@ -366,6 +431,9 @@ class Model:
     places: np.ndarray
     values: np.ndarray
 
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "vocabulary": {}}
+
     def shares(self, queries: list[tuple], without: list[int] | None = None) -> list[tuple[float, np.ndarray]]:
         """Weighted share of toxic votes, where the rate of texts without terms has some too; the nearest over all terms."""
         near = self.index.nearest_of(queries, NEAREST, without)
@@ -378,8 +446,8 @@ class Model:
         return out
 
     def score(self, texts: list[str], known: dict) -> list[tuple[float, list[int]]]:
-        """Score and evidence of each text; ``known`` is a worker's, and keeps what it has looked up."""
-        terms = known.get("terms") or known.setdefault("terms", Terms(self.vocabulary))
+        """Score and evidence of each text; ``known`` is a task's, and keeps what it has looked up."""
+        terms = known.get("terms") or known.setdefault("terms", self.terms.fresh())
         seen: dict[str, tuple[float, list[int]]] = {}
         asked = list(dict.fromkeys(texts))
         found = terms.counted(asked)
@@ -395,13 +463,13 @@ class Model:
         return [seen[text] for text in texts]
 
 
-def frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[int, np.ndarray]:
+def frequencies(docs: DataFrame, known: Terms) -> tuple[int, np.ndarray]:
     """Number of documents, and of those with each term of the vocabulary."""
-    given = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    given = docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches):
-        terms = Terms(given.value)
-        n, found = 0, np.zeros(len(given.value), np.int64)
+        terms = given.value.fresh()
+        n, found = 0, np.zeros(terms.size, np.int64)
         for batch in steps(batches, "text", STEP):
             n += batch.num_rows
             found += np.bincount(terms.rows(texts_of(batch.column("text")))[1], minlength=len(found))
@@ -409,7 +477,7 @@ def frequencies(docs: DataFrame, vocabulary: dict[str, int]) -> tuple[int, np.nd
         yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(found[some], n))], names=["term", "n"])
 
     total = exact(docs, "text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(len(vocabulary) + 1, np.int64)
+    out = np.zeros(known.size + 1, np.int64)
     out[total["term"].to_numpy()] = total["n"].to_numpy()
     given.destroy()
     return int(out[-1]), out[:-1]
@@ -425,6 +493,9 @@ def calibrated(spark: SparkSession, model: Model) -> np.ndarray:
             numbers = batch.column("id").to_pylist()
             found = own.shares([own.index.vector(i) for i in numbers], numbers)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([s for s, _ in found], pa.float64())], names=["id", "share"])
+        # A worker that waits for another task keeps what was broadcast, beside those that score.
+        own.index.release()
+        own.told.release()
 
     examples = spark.range(0, model.index.size, 1, -(-model.index.size // EXAMPLES))
     found = examples.mapInArrow(run, "id long, share double").toArrow().sort_by("id")
@@ -453,7 +524,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", per_class: in
     none, nothing = Index([], 0), np.zeros(0)
     if not n1 or not n0:
         rate = (n1 + 0.5) / (n + 1) if n else 0.0
-        return Model({}, nothing, none, np.zeros(0, bool), none, np.zeros(0, np.int64), nothing, nothing, rate, np.zeros(1), np.zeros(1))
+        return Model({}, Terms({}), nothing, none, np.zeros(0, bool), none, np.zeros(0, np.int64), nothing, nothing, rate, np.zeros(1), np.zeros(1))
     a, b = F.sum("label"), F.sum(1 - F.col("label"))
     frequency = examples.mapInArrow(words, "term string, label int").groupBy("term").agg(a.alias("a"), b.alias("b"))
     # As many rows as the examples have terms.
@@ -466,12 +537,13 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", per_class: in
     lexicon = np.zeros(len(chi), bool)
     lexicon[apart[np.argsort(-chi[apart], kind="stable")[:TERMS]]] = True
     vocabulary = {t: i for i, t in enumerate(found["term"].to_pylist())}
-    count, with_term = frequencies(docs, vocabulary)
+    known = Terms(vocabulary)
+    count, with_term = frequencies(docs, known)
     idf = np.log((1 + count) / (1 + with_term)) + 1
-    given = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    given = docs.sparkSession.sparkContext.broadcast(known)
 
     def vectors(batches):
-        terms = Terms(given.value)
+        terms = given.value.fresh()
         for batch in steps(batches, "text"):
             found = terms.counted(texts_of(batch.column("text")))
             kind = pa.list_(pa.int64())
@@ -492,7 +564,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", per_class: in
     empty = np.array([not len(t) for t, _ in vectors_])
     rate = float(((y * weight)[empty].sum() + 0.5 * class_weight[1] * n1 / n) / (weight[empty].sum() + 0.5))
     indexes = Index(vectors_, len(idf)), lexicon, Index(told, len(idf))
-    model = Model(vocabulary, idf, *indexes, ids[held], y, weight, rate, np.zeros(1), np.zeros(1))
+    model = Model(vocabulary, known, idf, *indexes, ids[held], y, weight, rate, np.zeros(1), np.zeros(1))
     del rows, counts, vectors_, told
     shares = calibrated(docs.sparkSession, model)
     some = ~empty

@@ -1,4 +1,7 @@
+import collections
 import itertools
+import pickle
+import re
 import tracemalloc
 import zlib
 
@@ -205,3 +208,60 @@ def test_index_holds_narrow_numbers_and_finds_the_nearest():
         own[i] = -1
         want = [j for j in np.lexsort((np.arange(300), -own.round(9)))[:7] if own[j] > 0]
         assert ids.tolist() == want and np.allclose(cosines, own[want], rtol=1e-12)
+
+
+def odd_words(seed, n):
+    r = np.random.default_rng(seed)
+    letters = ["a", "b", "z", "Q", "é", "É", "İ", "ß", "ǆ", "中", "テ", "😀", "1", "٣", "²", "_", "&", "Ⅷ", "ª", "̇", "\x85", "\xa0", " ", "\n", "."]
+    return ["".join(r.choice(letters, r.integers(0, 40))) for _ in range(n)]
+
+
+def test_terms_of_odd_words_are_those_of_the_strings(monkeypatch):
+    """Also with few places for words, where later words take those of earlier ones."""
+    texts = odd_words(1, 600)
+    split = lambda text: re.split(r"[\x20\x09-\x0d.,;:!?]+", text.translate({c: c + 32 for c in range(65, 91)}))
+    every = sorted({t for text in texts[::2] for w in split(text) for t in toxicity.terms_of(w)})
+    vocabulary = {t: i for i, t in enumerate(every)}
+    want = []
+    for text in texts:
+        found = [vocabulary[t] for w in split(text) for t in toxicity.terms_of(w) if t in vocabulary]
+        want.append(sorted(collections.Counter(found).items()))
+    for places in (toxicity.KEPT_WORDS, 32):
+        monkeypatch.setattr(toxicity, "KEPT_WORDS", places)
+        terms = toxicity.Terms(vocabulary)
+        for _ in range(2):
+            found = [x for a in range(0, 600, 150) for x in terms.counted(texts[a : a + 150])]
+            assert [list(zip(t.tolist(), n.tolist())) for t, n in found] == want
+
+
+def test_terms_of_a_word_are_looked_up_once(monkeypatch):
+    terms = toxicity.Terms({"some": 0, "some*": 1, "word": 2, "word*": 3, "words": 4, "words*": 5})
+    asked = []
+    look = toxicity.Terms._of_words
+    monkeypatch.setattr(toxicity.Terms, "_of_words", lambda self, data, words, first: asked.append(len(first)) or look(self, data, words, first))
+    once = terms.counted(["some words", "other words, (some)"])
+    again = terms.counted(["words some", "(some) words other"])
+    assert asked == [4]
+    assert [(t.tolist(), n.tolist()) for t, n in once] == [(t.tolist(), n.tolist()) for t, n in again]
+
+
+def test_workers_get_no_strings_of_the_vocabulary(spark):
+    """Workers of several stages wait beside each other, each with what was broadcast to it."""
+    rows = [(i, f"{'nasty ugly' if i % 2 else 'fine calm'} word{i % 7} text{i % 11} zebrafinch", i % 2) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    sent = pickle.dumps(model)
+    assert "zebrafinch" in model.vocabulary and b"zebrafinch" not in sent
+    texts = [t for _, t, _ in rows] + ["nasty", "calm zebrafinches", "", "(ugly) 123"]
+    assert pickle.loads(sent).score(texts, {}) == model.score(texts, {})
+
+
+def test_blocks_that_were_given_up_are_built_again():
+    rng = np.random.default_rng(2)
+    vectors = [(t, toxicity.unit(rng.random(len(t)) + 0.1)) for t in (np.sort(rng.choice(90, 12, replace=False)) for _ in range(200))]
+    index = toxicity.Index(vectors, 90)
+    found = index.nearest_of(vectors, 5)
+    index.release()
+    assert index._built is None
+    for (ids, cosines), (more, same) in zip(found, index.nearest_of(vectors, 5)):
+        assert ids.tolist() == more.tolist() and cosines.tolist() == same.tolist()
