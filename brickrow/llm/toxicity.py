@@ -28,7 +28,9 @@ empty table gives no rows. Only ``doc_id`` and ``text`` are inputs of a score.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -85,8 +87,8 @@ class Terms:
 
     def __init__(self, vocabulary: dict[str, int]) -> None:
         self.size = len(vocabulary)
-        self.whole = self._table([(t, n) for t, n in vocabulary.items() if t[-1] != "*"])
-        self.beginnings = self._table([(t[:-1], n) for t, n in vocabulary.items() if t[-1] == "*"])
+        self.whole = self._table(vocabulary, False)
+        self.beginnings = self._table(vocabulary, True)
         self._keep_nothing()
 
     def _keep_nothing(self) -> None:
@@ -109,20 +111,18 @@ class Terms:
         return out
 
     @staticmethod
-    def _hashes(terms: list[bytes], powers: Powers) -> np.ndarray:
-        out = np.zeros(len(terms), np.uint64)
+    def _table(vocabulary: dict[str, int], beginnings: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the terms of one kind, ascending, and their numbers."""
+        hashes, numbers, powers = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)], Powers()
+        terms = ((t.removesuffix("*").encode(), n) for t, n in vocabulary.items() if (t[-1] == "*") == beginnings)
         # Few at a time: powers are kept for the longest run of bytes that was hashed at once.
-        for a in range(0, len(terms), TABLE_STEP):
-            some = terms[a : a + TABLE_STEP]
-            offsets = np.concatenate([[0], np.cumsum([len(t) for t in some])]).astype(np.int64)
-            out[a : a + TABLE_STEP] = words_of(b"".join(some), offsets, powers).hash
-        return out
-
-    def _table(self, terms: list[tuple[str, int]]) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the terms, ascending, and their numbers."""
-        hashes = self._hashes([t.encode() for t, _ in terms], Powers())
+        while some := list(islice(terms, TABLE_STEP)):
+            offsets = np.concatenate([[0], np.cumsum([len(t) for t, _ in some])]).astype(np.int64)
+            hashes.append(words_of(b"".join([t for t, _ in some]), offsets, powers).hash)
+            numbers.append(np.array([n for _, n in some], np.int32))
+        hashes, numbers = np.concatenate(hashes), np.concatenate(numbers)
         order = np.argsort(hashes, kind="stable")
-        return hashes[order], np.array([n for _, n in terms], np.int32)[order]
+        return hashes[order], numbers[order]
 
     @staticmethod
     def _found(table: tuple[np.ndarray, np.ndarray], hashes: np.ndarray) -> np.ndarray:
@@ -254,15 +254,19 @@ class Index:
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int):
         self.size, self.terms = len(vectors), terms
         # Inside, terms are numbered by how many examples have them, and lie in this order in every vector.
-        have = np.bincount(np.concatenate([np.zeros(0, np.int32), *(t for t, _ in vectors)]), minlength=terms)
+        have = np.zeros(terms, np.int32)
+        for t, _ in vectors:
+            have[t] += 1
         self.back = np.argsort(-have, kind="stable").astype(np.int32)
         self.rank = np.empty(terms, np.int32)
         self.rank[self.back] = np.arange(terms, dtype=np.int32)
-        self.have = have[self.back].astype(np.int32)
-        order = [np.argsort(self.rank[t]) for t, _ in vectors]
-        self.term = np.concatenate([np.zeros(0, np.int32), *(self.rank[t[o]] for (t, _), o in zip(vectors, order))])
-        self.weight = np.concatenate([np.zeros(0), *(w[o] for (_, w), o in zip(vectors, order))])
+        self.have = have[self.back]
         self.begin = np.concatenate([[0], np.cumsum([len(t) for t, _ in vectors], dtype=np.int64)]).astype(np.int64)
+        self.term, self.weight = np.empty(self.begin[-1], np.int32), np.empty(self.begin[-1])
+        for (t, w), a, b in zip(vectors, self.begin, self.begin[1:]):
+            rank = self.rank[t]
+            order = np.argsort(rank)
+            self.term[a:b], self.weight[a:b] = rank[order], w[order]
         self._built = None
 
     def __getstate__(self) -> dict:
@@ -556,7 +560,12 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", per_class: in
     given.destroy()
     ids, label = (rows[c].to_numpy() for c in ("doc_id", "label"))
     counts = [tuple(x.values.to_numpy() for x in pair) for pair in zip(rows["terms"], rows["times"])]
-    held = sorted(range(len(ids)), key=lambda i: (ids[i], label[i], *(x.tobytes() for x in counts[i])))
+    # Terms decide only between rows with the same id and label.
+    alike = Counter(zip(ids.tolist(), label.tolist()))
+    held = sorted(
+        range(len(ids)),
+        key=lambda i: (ids[i], label[i], *(x.tobytes() for x in counts[i] if alike[int(ids[i]), int(label[i])] > 1)),
+    )
     y = label[held].astype(float)
     weight = np.array([class_weight[int(k)] for k in y])
     vectors_ = [weighed(*counts[i], idf) for i in held]
